@@ -1,0 +1,30 @@
+"""Rounding that does not depend on the order of a floating-point sum.
+
+A mean of money amounts often ends exactly in a half at the rounding place, so
+that the last bit of a sum decides. Lifting by a thousandth of the last place
+first makes such ties round alike in every plan and in the SQL check.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def steady_round(c: Column | str, places: int) -> Column:
+    return F.round((F.col(c) if isinstance(c, str) else c) + 10.0 ** -(places + 3), places)
+
+
+def steady_sql(sql: str) -> str:
+    """The same for every ``round(x, k)`` of a SQL text."""
+    out, at = "", 0
+    while (i := sql.find("round(", at)) >= 0:
+        depth, j, comma = 1, i + 6, -1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[j], 0)
+            comma = j if sql[j] == "," and depth == 1 else comma
+            j += 1
+        places = int(sql[comma + 1 : j - 1])
+        out += f"{sql[at:i]}round(({steady_sql(sql[i + 6 : comma])}) + 1e-{places + 3}, {places})"
+        at = j
+    return out + sql[at:]
