@@ -16,6 +16,7 @@ letters and digits in lower case, with U+00AD and U+200B removed first.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -123,7 +124,7 @@ def leaked_items(items: DataFrame, documents: DataFrame, *, min_words: int = MIN
     found, number = None, 0
     for block in pattern_blocks(asked.toLocalIterator(), min_words, block_chars):
         blob = spark.sparkContext.broadcast(block)
-        part = texts.mapInArrow(_scan(_Shared(blob, f"{spark.sparkContext.applicationId}-{id(blob)}-{number}"), min_words, spans), schema)
+        part = texts.mapInArrow(_scan(_Shared(blob, uuid.uuid4().hex), min_words, spans), schema)
         found, number = (part if found is None else found.unionByName(part)), number + 1
     if found is None:
         return spark.createDataFrame([], schema)
