@@ -2,16 +2,16 @@
 
 ``possible_repeats`` sends each identifier's 64-bit hash, already combined
 within its input batch, to the shard of the hash. A shard keeps one Bloom
-filter per time bucket (in segments of fixed capacity, so a heavy bucket only
-adds segments) and tests every identifier against the filters of its own and
-all other buckets. What no filter has is definitely new and goes no further.
-A possible repeat names the buckets that hold it. ``repeated_rows`` then reads
+filter per time bucket, and one over all of them; filters grow by segments.
+What the common filter lacks is definitely new and goes no further. Only a
+possible repeat is tried on the buckets' filters and names those that may hold
+it. ``repeated_rows`` then reads
 only those (bucket, identifier) rows of the stored table and decides exactly,
 on the identifier's text.
 
 Scale: an identifier that makes up a third of all rows leaves each Arrow batch
-as one row per bucket; filters take about 1.2 bytes an identifier in its shard,
-and the number of shards follows the shuffle partitions. The exact step
+as one row per bucket; filters take about 4 bytes an identifier of a shard, and
+the number of shards follows the shuffle partitions. The exact step
 aggregates with map-side combine before it joins.
 
 Defined cases: null identifiers are never repeats; an empty identifier is an
@@ -28,43 +28,52 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CAPACITY = 1 << 15  # identifiers of a filter segment
-BITS = 10 * CAPACITY
+FIRST = 1 << 10  # identifiers of a filter's first segment; each further one holds twice as many
+LAST = 1 << 20
+BITS_EACH = 16
 PROBES = 6
 
 
-class BucketFilter:
-    """Bloom filter of one time bucket: segments of ``CAPACITY`` identifiers."""
+class BloomFilter:
+    """Bloom filter of packed bits that grows by segments of doubling capacity."""
 
     def __init__(self) -> None:
         self.segments: list[np.ndarray] = []
+        self.size = FIRST // 2
         self.room = 0
 
     @staticmethod
-    def places(ids: np.ndarray) -> np.ndarray:
-        mixed = ids.astype(np.uint64)
+    def probes(ids: np.ndarray) -> np.ndarray:
+        """64-bit probe values; a segment uses as many low bits as it has."""
         with np.errstate(over="ignore"):
-            mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (ids ^ (ids >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
             mixed ^= mixed >> np.uint64(29)
             step = (mixed >> np.uint64(32)) | np.uint64(1)
-            return np.stack([(mixed + np.uint64(i) * step) % np.uint64(BITS) for i in range(PROBES)])
+            return np.stack([mixed + np.uint64(i) * step for i in range(PROBES)])
 
-    def has(self, places: np.ndarray) -> np.ndarray:
-        hit = np.zeros(places.shape[1], bool)
+    @staticmethod
+    def _at(bits: np.ndarray, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        p = probes & np.uint64(8 * len(bits) - 1)
+        return (p >> np.uint64(3)).astype(np.int64), np.uint8(1) << (p & np.uint64(7)).astype(np.uint8)
+
+    def has(self, probes: np.ndarray) -> np.ndarray:
+        hit = np.zeros(probes.shape[1], bool)
         for bits in self.segments:
-            hit |= bits[places].all(axis=0)
+            at, mask = self._at(bits, probes)
+            hit |= ((bits[at] & mask) != 0).all(axis=0)
         return hit
 
-    def add(self, places: np.ndarray) -> None:
-        at, n = 0, places.shape[1]
-        while at < n:
+    def add(self, probes: np.ndarray) -> None:
+        done, n = 0, probes.shape[1]
+        while done < n:
             if not self.room:
-                self.segments.append(np.zeros(BITS, bool))
-                self.room = CAPACITY
-            take = min(self.room, n - at)
-            self.segments[-1][places[:, at : at + take].ravel()] = True
+                self.size = self.room = min(2 * self.size, LAST)
+                self.segments.append(np.zeros(self.size * BITS_EACH // 8, np.uint8))
+            take = min(self.room, n - done)
+            at, mask = self._at(self.segments[-1], probes[:, done : done + take])
+            np.bitwise_or.at(self.segments[-1], at.ravel(), mask.ravel())
             self.room -= take
-            at += take
+            done += take
 
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,25 +86,27 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Possible repeats of one shard; input sorted by (shard, bucket)."""
-    shard, filters = None, {}
+    shard, filters, any_bucket = None, {}, BloomFilter()
 
     def run(bucket: int, h: np.ndarray, n: np.ndarray) -> tuple[list, list]:
         order = np.argsort(h, kind="stable")
         h, n = h[order], n[order]
         first = np.r_[True, h[1:] != h[:-1]]
         ids, counts = h[first], np.add.reduceat(n, np.flatnonzero(first))
-        places = BucketFilter.places(ids.view(np.uint64))
-        own = filters.setdefault(bucket, BucketFilter())
-        out_b, out_h = [], []
-        repeat = (counts > 1) | own.has(places)
-        for other, known in filters.items():
-            if other != bucket and (hit := known.has(places)).any():
-                repeat |= hit
-                out_b.append(np.full(int(hit.sum()), other, np.int64))
-                out_h.append(ids[hit])
-        out_b.append(np.full(int(repeat.sum()), bucket, np.int64))
-        out_h.append(ids[repeat])
-        own.add(places)
+        probes = BloomFilter.probes(ids.view(np.uint64))
+        maybe = any_bucket.has(probes)  # definitely new otherwise
+        repeat = maybe | (counts > 1)
+        out_b, out_h = [np.full(int(repeat.sum()), bucket, np.int64)], [ids[repeat]]
+        if maybe.any():
+            old, asked = ids[maybe], probes[:, maybe]
+            for other, known in filters.items():
+                if other != bucket and (hit := known.has(asked)).any():
+                    out_b.append(np.full(int(hit.sum()), other, np.int64))
+                    out_h.append(old[hit])
+        new = probes[:, ~maybe]
+        any_bucket.add(new)
+        # an id that is in the bucket already, by another batch, may be added again
+        filters.setdefault(bucket, BloomFilter()).add(probes)
         return out_b, out_h
 
     for batch in batches:
@@ -106,7 +117,7 @@ def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got_b, got_h = [], []
         for lo, hi in zip(cuts, [*cuts[1:], len(s)]):
             if s[lo] != shard:
-                shard, filters = s[lo], {}
+                shard, filters, any_bucket = s[lo], {}, BloomFilter()
             out_b, out_h = run(int(b[lo]), h[lo:hi], n[lo:hi])
             got_b += out_b
             got_h += out_h

@@ -35,12 +35,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     the files and recompute nothing. Files are removed when the driver exits.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    atexit.register(discard_path, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, removed when the driver exits."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(discard_path, spark, path)
+    return path
+
+
 def discard_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch table; silent if the session is already gone."""
     try:
