@@ -184,9 +184,9 @@ def overlapping_classes(classes: DataFrame, *, q: int = GRAM, edits: int = EDITS
     lists = materialize(lists.join(classes.select("cid", "n_train", "n_eval"), "cid"), "term-lists")
     side = lambda c, n: lists.where(f"{n} > 0").select("term", F.col("cid").alias(f"{c}"), F.col("w").alias(f"w_{c}"), F.col("rest").alias(f"rest_{c}"), F.col("least").alias(f"least_{c}"))
     met = side("a", "n_train").join(side("b", "n_eval"), "term").where("a <> b")
-    # what is not listed of either text adds at most the smaller residual norm
+    # shared terms that did not meet all lie beyond the list that ends first
     pairs = met.groupBy("a", "b").agg(
-        F.sum("w_a").alias("part"), F.least(F.max("rest_a"), F.max("rest_b")).alias("rest"), F.greatest(F.max("least_a"), F.max("least_b")).alias("least"),
+        F.sum("w_a").alias("part"), F.greatest(F.max("rest_a"), F.max("rest_b")).alias("rest"), F.greatest(F.max("least_a"), F.max("least_b")).alias("least"),
     ).where("part + rest >= least * (1 - 1e-9)").select("a", "b", "least")
     text = lambda c: classes.select(F.col("cid").alias(c), F.col("t").alias(f"t{c}"))
     dotted = pairs.join(text("a"), "a").join(text("b"), "b").mapInPandas(_dots(shared, q), "a long, b long, least double, ta string, tb string, dot double, cosine double")
