@@ -38,9 +38,9 @@ def _records(spark, data):
 
 def test_overlap_against_brute_force(spark):
     r = random.Random(1)
-    base = ["".join(r.choices("0123456789abcdef", k=n)) for n in (64, 64, 64, 60, 45, 41, 40, 39, 20, 19, 18, 17, 12, 5, 2, 1)] + ["0" * 60 + "ab1", "0" * 30, "ab" * 32]
+    base = ["".join(r.choices("0123456789abcdef", k=n)) for n in (64, 64, 64, 60, 45, 41, 40, 39, 27, 26, 25, 24, 23, 22, 17, 12, 5, 2, 1)] + ["0" * 60 + "ab1", "0" * 30, "ab" * 32]
     data = []
-    for i in range(900):
+    for i in range(1000):
         t = _edit(r, r.choice(base))
         if r.random() < 0.2:
             t = t[: r.randrange(38, 66)]

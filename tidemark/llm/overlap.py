@@ -42,12 +42,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.clean import ident
 from tidemark.session import materialize
 
-GRAM = 6
+#: Long enough that chance grams of hex text seldom meet: 16 ** GRAM is far above the number of texts.
+GRAM = 8
 EDITS = 2
 PREFIX = 40
 COUNTERS = 1 << 16
-#: Longest text whose threshold may not be positive, plus the length two edits add.
-SHORT = GRAM - 1 + GRAM * EDITS + EDITS
 # Spellings of a missing hash.
 MISSING = ("", "na", "n/a", "null", "none")
 
