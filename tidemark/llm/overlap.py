@@ -28,7 +28,6 @@ texts are compared whole.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -63,16 +62,31 @@ def tx_text(c: Column) -> Column:
     return F.when(~t.isin(*MISSING) & ~t.rlike("^0+$"), t)
 
 
-def terms(text: str, q: int) -> np.ndarray:
-    """64-bit terms: every q-gram with the number of its occurrence."""
-    seen: Counter = Counter()
-    out = []
-    for i in range(len(text) - q + 1):
-        gram = text[i : i + q]
-        n = seen[gram]
-        seen[gram] += 1
-        out.append(xxhash.xxh64_intdigest(gram.encode("utf-8", "surrogatepass"), n))
-    return np.array(out, np.uint64)
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def term_batch(texts: list[str], q: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, 64-bit term) of every q-gram with the number of its occurrence, by text."""
+    lens = np.array([len(t) for t in texts], np.int64)
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    n = len(points) - q + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    h = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(q):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + points[j : n + j]
+        owner = np.repeat(np.arange(len(texts)), lens)[:n]
+        inside = np.arange(n) + q <= np.cumsum(lens)[owner]
+        owner, h = owner[inside], _mixed(h[inside])
+        order = np.lexsort((h, owner))
+        owner, h = owner[order], h[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])][: len(h)]
+        at = np.arange(len(h))
+        occurrence = at - np.maximum.accumulate(np.where(new, at, 0))
+        return owner, _mixed(h + occurrence.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
 def _counter(t: np.ndarray) -> np.ndarray:
@@ -83,9 +97,7 @@ def _count_terms(q: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            own = [terms(t.as_py(), q) for t in batch.column("t")]
-            if own:
-                total += np.bincount(_counter(np.concatenate(own)), minlength=COUNTERS)
+            total += np.bincount(_counter(term_batch(batch.column("t").to_pylist(), q)[1]), minlength=COUNTERS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
 
@@ -101,12 +113,15 @@ def term_weights(texts: DataFrame, q: int = GRAM) -> np.ndarray:
     return np.log1p(counts.sum() / counts).astype(np.float64) ** 2
 
 
-def vector(text: str, weights: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
-    """Terms and squared weights, heaviest first; ties by term."""
-    t = terms(text, q)
+def vectors(texts: list[str], weights: np.ndarray, q: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Terms and squared weights of each text, heaviest first; ties by term."""
+    owner, t = term_batch(texts, q)
     w = weights[_counter(t)]
-    order = np.lexsort((t, -w))
-    return t[order], w[order]
+    order = np.lexsort((t, -w, owner))
+    t, w = t[order], w[order]
+    cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        yield t[lo:hi], w[lo:hi]
 
 
 def need(w: np.ndarray, q: int, edits: int) -> float:
@@ -129,11 +144,10 @@ def _lists(shared, q: int, edits: int):
         weights = shared.value
         for batch in batches:
             cols: list[list[np.ndarray]] = [[], [], [], [], []]
-            for cid, text in zip(batch.column("cid").to_pylist(), batch.column("t")):
-                text = text.as_py()
+            texts = batch.column("t").to_pylist()
+            for cid, text, (t, w) in zip(batch.column("cid").to_pylist(), texts, vectors(texts, weights, q)):
                 parts = []
                 if len(text) > short:
-                    t, w = vector(text, weights, q)
                     least = need(w, q, edits)
                     rest = np.maximum(least + w[: q * edits].sum() - np.cumsum(w), 0.0)
                     listed = min(int(np.searchsorted(-rest, -least * (1 - 1e-9), side="right")) + 1, len(t))
@@ -155,8 +169,7 @@ def _dots(shared, q: int):
         weights = shared.value
         for pairs in batches:
             dots, sizes = [], []
-            for x, y in zip(pairs["ta"], pairs["tb"]):
-                (s, v), (t, w) = vector(x, weights, q), vector(y, weights, q)
+            for (s, v), (t, w) in zip(vectors(list(pairs["ta"]), weights, q), vectors(list(pairs["tb"]), weights, q)):
                 dots.append(float(v[np.isin(s, t)].sum()))
                 sizes.append(float(np.sqrt(v.sum() * w.sum())))
             pairs["dot"], pairs["cosine"] = dots, [d / n if n else 0.0 for d, n in zip(dots, sizes)]
