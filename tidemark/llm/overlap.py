@@ -143,9 +143,10 @@ def _lists(shared, q: int, edits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
-            cols: list[list[np.ndarray]] = [[], [], [], [], []]
+            cols: list[list[np.ndarray]] = [[] for _ in range(6)]
+            sides = (batch.column("n_train").to_numpy() > 0) + 2 * (batch.column("n_eval").to_numpy() > 0)
             texts = batch.column("t").to_pylist()
-            for cid, text, (t, w) in zip(batch.column("cid").to_pylist(), texts, vectors(texts, weights, q)):
+            for cid, side, text, (t, w) in zip(batch.column("cid").to_pylist(), sides, texts, vectors(texts, weights, q)):
                 parts = []
                 if len(text) > short:
                     least = need(w, q, edits)
@@ -156,10 +157,10 @@ def _lists(shared, q: int, edits: int):
                     d = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 1 << 40) for x in deletions(text, edits)], np.uint64)
                     parts.append((d, np.zeros(len(d)), np.zeros(len(d)), np.zeros(len(d))))
                 for t, w, rest_, least_ in parts:
-                    for c, x in zip(cols, (np.full(len(t), cid, np.int64), t.view(np.int64), w, rest_, least_)):
+                    for c, x in zip(cols, (np.full(len(t), cid, np.int64), np.full(len(t), side, np.int32), t.view(np.int64), w, rest_, least_)):
                         c.append(x)
             if cols[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["cid", "term", "w", "rest", "least"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["cid", "side", "term", "w", "rest", "least"])
 
     return run
 
@@ -192,10 +193,10 @@ def overlapping_classes(classes: DataFrame, *, q: int = GRAM, edits: int = EDITS
     spark = classes.sparkSession
     same = classes.where("n_train > 0 AND n_eval > 0").select(F.col("cid").alias("train_cid"), F.col("cid").alias("eval_cid"), F.lit(1.0).alias("cosine"))
     shared = spark.sparkContext.broadcast(term_weights(classes.select("t"), q))  # COUNTERS numbers at any size
-    lists = classes.select("cid", "t").mapInArrow(_lists(shared, q, edits), "cid long, term long, w double, rest double, least double")
-    lists = materialize(lists.join(classes.select("cid", "n_train", "n_eval"), "cid"), "term-lists")
-    side = lambda c, n: lists.where(f"{n} > 0").select("term", F.col("cid").alias(f"{c}"), F.col("w").alias(f"w_{c}"), F.col("rest").alias(f"rest_{c}"), F.col("least").alias(f"least_{c}"))
-    met = side("a", "n_train").join(side("b", "n_eval"), "term").where("a <> b")
+    lists = classes.select("cid", "t", "n_train", "n_eval").mapInArrow(_lists(shared, q, edits), "cid long, side int, term long, w double, rest double, least double")
+    lists = materialize(lists, "term-lists")
+    side = lambda c, bit: lists.where(f"side & {bit} > 0").select("term", F.col("cid").alias(f"{c}"), F.col("w").alias(f"w_{c}"), F.col("rest").alias(f"rest_{c}"), F.col("least").alias(f"least_{c}"))
+    met = side("a", 1).join(side("b", 2), "term").where("a <> b")
     # shared terms that did not meet all lie beyond the list that ends first
     pairs = met.groupBy("a", "b").agg(
         F.sum("w_a").alias("part"), F.greatest(F.max("rest_a"), F.max("rest_b")).alias("rest"), F.greatest(F.max("least_a"), F.max("least_b")).alias("least"),
