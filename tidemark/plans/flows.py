@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.clean import ident
 from tidemark.functions.rounding import steady_round, steady_sql
 from tidemark.operators.shards import byte_shards, row_shards
+from tidemark.operators.asof import prior_rank
+from tidemark.plans.dealt import _FORCE, _NEWS, p6_found
 from tidemark.session import scratch, table
 from tidemark.sources import readers, sinks
 from tidemark.streaming import jobs
@@ -47,6 +49,19 @@ def capture_index(spark: SparkSession, root: str) -> DataFrame:
     return readers.cdx_rows(lines, "20260701000000")
 
 
+def context_index(spark: SparkSession, root: str) -> DataFrame:
+    """The context index: every trade with its mapping, news in force and links before it, written partitioned and read back (SK5, J1, J9)."""
+    t = table(spark, root, "trades").select("trade_row_id", ident(F.col("fixture_id")).alias("fixture"), ident(F.col("condition_id")).alias("condition"), F.col("query_us").alias("t"), "token_mapping_status")
+    links = table(spark, root, "fixture_news").select(ident(F.col("fixture_id")).alias("fixture"), F.col("eligible_us").alias("t"))
+    n = prior_rank(t.select("trade_row_id", "fixture", "t"), links, ["fixture"], "t", "n_links").select("trade_row_id", "n_links")
+    news = p6_found(spark, root)
+    day = F.date_format(F.timestamp_micros("t"), "yyyy-MM")
+    rows = t.join(n, "trade_row_id", "left").join(news, "trade_row_id", "left").withColumn("month", F.coalesce(day, F.lit("none")))
+    path = scratch(spark, "context-index")
+    sinks.publish(rows, path, by=["month"])
+    return readers.read_rows(spark, path).select("trade_row_id", "news_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("month").cast("string").alias("month"))
+
+
 def schedule(spark: SparkSession, root: str) -> DataFrame:
     """Quarter-hour batches between the first and last publication (SC18)."""
     lo, hi = table(spark, root, "news").agg(F.min("published_us"), F.max("published_us")).first()
@@ -74,7 +89,7 @@ def stream_inventory(spark: SparkSession, root: str) -> DataFrame:
     return out.groupBy("key").agg(F.count("*").alias("n_instants"), F.max("time_us").alias("last_us"), F.count("quantity").alias("n_known"))
 
 
-QUERIES = {f.__name__: f for f in (sharded_export, byte_sized_shards, csv_aliases, capture_index, schedule, stream_windows, stream_sessions, stream_inventory)}
+QUERIES = {f.__name__: f for f in (sharded_export, byte_sized_shards, csv_aliases, capture_index, context_index, schedule, stream_windows, stream_sessions, stream_inventory)}
 
 _WS = "' ' || chr(9) || chr(10) || chr(13)"
 
@@ -85,6 +100,8 @@ SELECT p // 16384 AS shard, count(*) AS n, sum(b)::bigint AS bytes, min(news_id)
     "csv_aliases": f"SELECT count(*) AS n, count(DISTINCT lower(trim(wallet, {_WS}))) AS n_wallets, 0::bigint AS n_memo, sum(trade_row_id)::bigint AS id_sum FROM trades WHERE observation_id IS NOT NULL",
     "capture_index": """WITH p AS (SELECT replace(lower(path), ' ', '') AS url, upper(translate(substr(uncompressed_sha256, 1, 32), '0189', 'GHIJ')) AS digest, strftime(captured_at, '%Y%m%d%H%M%S') AS stamp, row_count FROM source_pages)
 SELECT url, digest, min(stamp) AS stamp FROM p WHERE row_count > 0 AND stamp < '20260701000000' AND url IS NOT NULL AND regexp_full_match(digest, '[A-Z2-7]{32}') GROUP BY 1, 2""",
+    "context_index": _NEWS + f""", g AS (SELECT trade_row_id, news_id {_FORCE}), l AS (SELECT x.trade_row_id, count(*) AS n FROM trades x JOIN fixture_news f ON lower(trim(x.fixture_id, {_WS})) = lower(trim(f.fixture_id, {_WS})) AND f.eligible_us < x.query_us GROUP BY 1)
+SELECT x.trade_row_id, g.news_id, coalesce(l.n, 0) AS n_links, coalesce(strftime(make_timestamp(x.query_us), '%Y-%m'), 'none') AS month FROM trades x LEFT JOIN g USING (trade_row_id) LEFT JOIN l USING (trade_row_id)""",
     "schedule": """WITH b AS (SELECT (min(published_us) + 899999999) // 900000000 * 900000000 AS a, max(published_us) AS z FROM news), s AS (SELECT unnest(range(a, z, 900000000)) AS batch_us FROM b) SELECT batch_us, strftime(make_timestamp(batch_us), '%Y%m%d%H%M%S') AS stamp FROM s""",
     "stream_windows": "SELECT epoch_us(ts) // 86400000000 * 86400000000 AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
     "stream_sessions": """WITH e AS (SELECT user_id, epoch_us(ts) AS t FROM events), g AS (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY user_id ORDER BY t) >= 21600000000, true)::int AS new FROM e), i AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t) AS s FROM g)
