@@ -27,4 +27,4 @@ def data():
 
 def rows(df):
     """Sorted tuples of a small result."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(x is not None, x) for x in r])
