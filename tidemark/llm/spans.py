@@ -47,6 +47,8 @@ MIN_CHARS = 400
 GRAM = 200
 STEP = 67
 CHUNK = 1 << 15
+#: Rows of an output batch, which bounds a worker's memory whatever the texts hold.
+ROWS = 20_000
 #: A side up to this many bytes may be broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 16 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -148,6 +150,9 @@ def _blocks(min_chars: int, q: int, step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = ["doc", "core", "context", "before", "after", "at", "least", "most"]
         kinds = [pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
+        def flush(rows):
+            return pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)], fields)
+
         for batch in batches:
             rows: list[list] = [[] for _ in fields]
             for i, text, kept in zip(*(batch.column(c) for c in ("doc", "text", "vs"))):
@@ -169,8 +174,11 @@ def _blocks(min_chars: int, q: int, step: int):
                             whole = blake2b(f"{len(before)} {at - last} ".encode() + key + (before + after).encode("utf-8", "surrogatepass"), digest_size=16).digest()
                             for column, x in zip(rows, (doc, key, whole, before, after, s, at - last, at - first)):
                                 column.append(x)
+                    if len(rows[0]) >= ROWS:
+                        yield flush(rows)
+                        rows = [[] for _ in fields]
             if rows[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)], fields)
+                yield flush(rows)
 
     return run
 
