@@ -46,6 +46,8 @@ GRAM = 8
 EDITS = 2
 PREFIX = 40
 COUNTERS = 1 << 16
+#: Characters handled at once by a worker.
+PORTION = 1 << 20
 # Spellings of a missing hash.
 MISSING = ("", "na", "n/a", "null", "none")
 
@@ -89,6 +91,18 @@ def term_batch(texts: list[str], q: int) -> tuple[np.ndarray, np.ndarray]:
         return owner, _mixed(h + occurrence.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
+def _portions(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most ``PORTION`` characters, or of one text."""
+    lo, used = 0, 0
+    for i, t in enumerate(texts):
+        if used and used + len(t) > PORTION:
+            yield lo, i
+            lo, used = i, 0
+        used += len(t)
+    if texts:
+        yield lo, len(texts)
+
+
 def _counter(t: np.ndarray) -> np.ndarray:
     return (t >> np.uint64(48)).astype(np.int64)
 
@@ -97,7 +111,9 @@ def _count_terms(q: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            total += np.bincount(_counter(term_batch(batch.column("t").to_pylist(), q)[1]), minlength=COUNTERS)
+            texts = batch.column("t").to_pylist()
+            for lo, hi in _portions(texts):
+                total += np.bincount(_counter(term_batch(texts[lo:hi], q)[1]), minlength=COUNTERS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
 
@@ -115,13 +131,14 @@ def term_weights(texts: DataFrame, q: int = GRAM) -> np.ndarray:
 
 def vectors(texts: list[str], weights: np.ndarray, q: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Terms and squared weights of each text, heaviest first; ties by term."""
-    owner, t = term_batch(texts, q)
-    w = weights[_counter(t)]
-    order = np.lexsort((t, -w, owner))
-    t, w = t[order], w[order]
-    cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-    for lo, hi in zip(cuts[:-1], cuts[1:]):
-        yield t[lo:hi], w[lo:hi]
+    for a, b in _portions(texts):
+        owner, t = term_batch(texts[a:b], q)
+        w = weights[_counter(t)]
+        order = np.lexsort((t, -w, owner))
+        t, w = t[order], w[order]
+        cuts = np.searchsorted(owner, np.arange(b - a + 1))
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield t[lo:hi], w[lo:hi]
 
 
 def need(w: np.ndarray, q: int, edits: int) -> float:
