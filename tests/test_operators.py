@@ -9,6 +9,7 @@ import zipfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tidemark.functions import scalars as S
 from tidemark.functions.clean import epoch_us, hex_ident, unit_price
@@ -18,7 +19,7 @@ from tidemark.operators import labels as G
 from tidemark.operators import ledgers as L
 from tidemark.operators import metrics as M
 from tidemark.operators import sequences as Q
-from tidemark.operators.asof import asof_prior, fresh, prior_frame, prior_totals
+from tidemark.operators.asof import asof_prior, fresh, prior_frame, prior_totals, with_halo
 from tidemark.operators.shards import byte_shards, row_shards
 from tidemark.sources import readers, sinks
 from tidemark.streaming import jobs
@@ -67,6 +68,15 @@ def test_frames_ignore_ties(spark):
     assert rows(df.select("id", F.count("*").over(prior_frame(["k"], "t")).alias("n"))) == [(1, 0), (2, 0), (3, 2)]
 
 
+@pytest.mark.parametrize("block", [1, 10, 64, 10**6])
+def test_halo_frames_equal_whole_frames(spark, block):
+    r = random.Random(block)
+    df = spark.createDataFrame([(i, r.choice("ab"), r.randrange(-100, 200)) for i in range(300)] + [(999, None, 1), (998, "a", None)], "id long, k string, t long")
+    n = lambda by: F.count("*").over(W.partitionBy(*by).orderBy("t").rangeBetween(-25, 40)).alias("n")
+    got = with_halo(df, ["k"], "t", back_us=25, ahead_us=40, block_us=block).select("id", n(["k", "__b"]), "__own").where("__own").drop("__own")
+    assert rows(got) == rows(df.dropna().select("id", n(["k"])))
+
+
 def _inventory(spark, fills):
     df = spark.createDataFrame(fills, "k string, time_us long, side string, shares double, price double")
     return {r.key: (r.quantity, r.cost, r.realised, r.reason) for r in M.average_cost_inventory(df, F.col("k")).collect()}

@@ -10,7 +10,8 @@ before the block comes from one carry row per (entity, block), computed over
 block summaries. A hot entity is thereby spread over its blocks, and no window
 partition holds more than a block's rows.
 
-Frames over the full past (``prior_frame``) are for entities of bounded size.
+Frames over the full past (``prior_frame``) are for entities of bounded size;
+frames of bounded length use ``with_halo``.
 """
 
 from __future__ import annotations
@@ -76,6 +77,19 @@ def next_frame(by: list[str], time: str, ahead_us: int):
     return W.partitionBy(*by).orderBy(time).rangeBetween(0, ahead_us - 1)
 
 
+def with_halo(rows: DataFrame, by: list[str], time: str, *, back_us: int = 0, ahead_us: int = 0, block_us: int = DAY_US) -> DataFrame:
+    """Rows by time block, with copies where the frames of other blocks reach them.
+
+    Window over ``[*by, "__b"]`` with a range frame inside ``[-back_us,
+    ahead_us]``, then keep ``__own``: a hot entity's frames are computed block
+    by block. Rows without key or time are left out.
+    """
+    t = F.col(time)
+    at = lambda x: F.floor(x / F.lit(block_us)).cast("long")
+    copies = F.explode(F.sequence(at(t - ahead_us), at(t + back_us)))
+    return rows.dropna(subset=[*by, time]).withColumn("__b", copies).withColumn("__own", F.col("__b") == at(t))
+
+
 def prior_totals(probes: DataFrame, events: DataFrame, by: list[str], time: str, measures: dict[str, Column], *, least: dict[str, Column] | None = None, block_us: int = DAY_US) -> DataFrame:
     """Probes with sums (and minima) of ``events`` strictly before each.
 

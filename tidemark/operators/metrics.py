@@ -13,16 +13,17 @@ from pyspark.sql import Window as W
 from tidemark.operators.asof import DAY_US, prior_totals
 
 
-def behaviour_metrics(probes: DataFrame, executions: DataFrame) -> DataFrame:
+def behaviour_metrics(probes: DataFrame, executions: DataFrame, *, block_us: int = DAY_US) -> DataFrame:
     """Mean, variation, buy share and rate of what each actor did strictly before.
 
     Both sides: actor, time_us; executions also side and notional (DOUBLE).
-    Unknown is null, never zero.
+    Unknown is null, never zero. ``block_us`` should hold several rows of a
+    usual actor, and few enough of a hot one for a task.
     """
     buy = F.when(F.col("side") == "BUY", F.col("notional")).otherwise(F.lit(0.0))
     got = prior_totals(
         probes, executions, ["actor"], "time_us",
-        {"__n": F.lit(1).cast("long"), "__s": F.col("notional"), "__q": F.col("notional") * F.col("notional"), "__u": buy}, least={"__t": F.col("time_us")},
+        {"__n": F.lit(1).cast("long"), "__s": F.col("notional"), "__q": F.col("notional") * F.col("notional"), "__u": buy}, least={"__t": F.col("time_us")}, block_us=block_us,
     )
     mean = F.col("__s") / F.col("__n")
     sd = F.sqrt(F.greatest(F.col("__q") / F.col("__n") - mean * mean, F.lit(0.0)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions.clean import epoch_us, ident, outer_trim, unit_price
-from tidemark.operators.asof import asof_prior, fresh, micros, next_frame, prior_frame, prior_rank
+from tidemark.operators.asof import DAY_US, asof_prior, fresh, micros, next_frame, prior_frame, prior_rank, with_halo
 from tidemark.functions.rounding import steady_round, steady_sql
 from tidemark.session import table
 
@@ -55,7 +55,7 @@ def _trade_probes(spark: SparkSession, root: str) -> DataFrame:
 
 def asof_price_staleness(spark: SparkSession, root: str) -> DataFrame:
     """Price known before each trade if at most 300 s old, else the reason."""
-    got = asof_prior(_trade_probes(spark, root), prices(spark, root), ["token"], "t", ["price"])
+    got = asof_prior(_trade_probes(spark, root), prices(spark, root), ["token"], "t", ["price"], block_us=7 * DAY_US)
     price, why = fresh("prior_price", "prior_t", "t", 300 * SEC)
     return got.select("trade_row_id", price.alias("price"), (F.col("t") - F.col("prior_t")).alias("age_us"), why.alias("reason"))
 
@@ -64,10 +64,10 @@ def price_change_lookback(spark: SparkSession, root: str) -> DataFrame:
     """Change of the known price over 300 and 900 s: two further as-ofs."""
     got = _trade_probes(spark, root).dropna()
     p = prices(spark, root)
-    got = asof_prior(got, p, ["token"], "t", ["price"], prefix="now_")
+    got = asof_prior(got, p, ["token"], "t", ["price"], prefix="now_", block_us=7 * DAY_US)
     for s in (300, 900):
         moved = got.withColumn("t0", F.col("t")).withColumn("t", F.col("t") - s * SEC)
-        got = asof_prior(moved, p, ["token"], "t", ["price"], prefix=f"back{s}_").withColumn("t", F.col("t0")).drop("t0")
+        got = asof_prior(moved, p, ["token"], "t", ["price"], prefix=f"back{s}_", block_us=7 * DAY_US).withColumn("t", F.col("t0")).drop("t0")
     return got.select("trade_row_id", *[steady_round(F.col("now_price") - F.col(f"back{s}_price"), 9).alias(f"change_{s}s") for s in (300, 900)])
 
 
@@ -83,9 +83,9 @@ def prior_counts_orders(spark: SparkSession, root: str) -> DataFrame:
 
 def label_next_window(spark: SparkSession, root: str) -> DataFrame:
     """Does the user act again in (t, t + h)? Itself is not counted."""
-    by = ["user_id"]
-    e = events(spark, root)
-    return e.select("event_id", *[(F.count("*").over(next_frame(by, "t", h * SEC)) > 1).cast("int").alias(f"label_{h}s") for h in (900, 3600, 21600)])
+    e = with_halo(events(spark, root), ["user_id"], "t", ahead_us=21600 * SEC)
+    frame = lambda h: next_frame(["user_id", "__b"], "t", h * SEC)
+    return e.select("event_id", "__own", *[(F.count("*").over(frame(h)) > 1).cast("int").alias(f"label_{h}s") for h in (900, 3600, 21600)]).where("__own").drop("__own")
 
 
 def published_before_kickoff(spark: SparkSession, root: str) -> DataFrame:

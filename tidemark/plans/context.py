@@ -10,7 +10,7 @@ from tidemark.functions.clean import ident
 from tidemark.operators import context as C
 from tidemark.operators import labels as G
 from tidemark.operators import ledgers as L
-from tidemark.operators.asof import asof_prior, micros, prior_rank
+from tidemark.operators.asof import asof_prior, micros, prior_rank, with_halo
 from tidemark.functions.rounding import steady_round, steady_sql
 from tidemark.session import table
 
@@ -101,9 +101,9 @@ def scheduled_windows(spark: SparkSession, root: str) -> DataFrame:
     e = _events(spark, root).select("user_id", "t")
     span = e.groupBy("user_id").agg(F.min("t").alias("a"), F.max("t").alias("b"))
     q = span.select("user_id", G.fixed_grid(F.floor(F.col("a") / (6 * HOUR)) * 6 * HOUR + 6 * HOUR, F.col("b") + 1, 6 * HOUR).alias("t"))
-    line = q.withColumn("k", F.lit(0)).unionByName(e.withColumn("k", F.lit(1)))
-    n = lambda lo, hi: F.coalesce(F.sum("k").over(W.partitionBy("user_id").orderBy("t").rangeBetween(lo, hi)), F.lit(0))
-    out = line.withColumns({"n_prior_24h": n(-24 * HOUR, -1), "n_next": n(0, 6 * HOUR - 1)}).where("k = 0")
+    line = with_halo(q.withColumn("k", F.lit(0)).unionByName(e.withColumn("k", F.lit(1))), ["user_id"], "t", back_us=24 * HOUR, ahead_us=6 * HOUR, block_us=7 * 24 * HOUR)
+    n = lambda lo, hi: F.coalesce(F.sum("k").over(W.partitionBy("user_id", "__b").orderBy("t").rangeBetween(lo, hi)), F.lit(0))
+    out = line.withColumns({"n_prior_24h": n(-24 * HOUR, -1), "n_next": n(0, 6 * HOUR - 1)}).where("k = 0 AND __own")
     return out.select("user_id", F.col("t").alias("query_us"), "n_prior_24h", (F.col("n_next") > 0).cast("int").alias("label"))
 
 
@@ -139,9 +139,10 @@ def occurrence_labels(spark: SparkSession, root: str) -> DataFrame:
     w = e.where("event_type = 'view'").select("event_id", "user_id", F.col("t").alias("start"), (F.col("t") + 2 * HOUR).alias("end"))
     c = G.covered(w, G.merge_intervals(_coverage(spark, root).where("start % 3 <> 0"), ["user_id"]), ["user_id"])
     line = c.select("event_id", "user_id", F.col("start").alias("t"), "covered", F.lit(0).alias("k")).unionByName(e.where("event_type <> 'view'").select("user_id", "t", F.lit(1).alias("k")), allowMissingColumns=True)
-    n = F.sum("k").over(W.partitionBy("user_id").orderBy("t").rangeBetween(0, 2 * HOUR - 1))
+    line = with_halo(line, ["user_id"], "t", ahead_us=2 * HOUR)
+    n = F.sum("k").over(W.partitionBy("user_id", "__b").orderBy("t").rangeBetween(0, 2 * HOUR - 1))
     label = F.when(F.col("n") > 0, "OCCURRED").when(F.col("covered"), "NOT_OBSERVED").otherwise("CENSORED")
-    return line.withColumn("n", n).where("k = 0").select("event_id", label.alias("label"), F.col("n").cast("long").alias("n"))
+    return line.withColumn("n", n).where("k = 0 AND __own").select("event_id", label.alias("label"), F.col("n").cast("long").alias("n"))
 
 
 def historical_universe(spark: SparkSession, root: str) -> DataFrame:

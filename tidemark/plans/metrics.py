@@ -34,7 +34,7 @@ _ROUND = {"average_notional": 4, "notional_cv": 6, "buy_share": 6, "per_day": 6}
 def actor_behaviour(spark: SparkSession, root: str) -> DataFrame:
     """Behaviour metrics strictly before every order; instants tie (A5a-d, W6)."""
     o = _order_fills(spark, root)
-    m = M.behaviour_metrics(o.select("o_orderkey", "actor", "time_us"), o)
+    m = M.behaviour_metrics(o.select("o_orderkey", "actor", "time_us"), o, block_us=365 * DAY_US)
     return m.select("o_orderkey", "n_prior", *[steady_round(c, d).alias(c) for c, d in _ROUND.items()], "reason")
 
 
