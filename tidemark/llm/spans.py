@@ -5,9 +5,10 @@ says that every run of t grams inside [a, b] that contains gram m has gram m as
 its leftmost minimum; the windows of a text are the nodes of the Cartesian tree
 over its gram hashes that are t grams wide. Spans of ``min_chars`` code points
 are exactly the runs of t = min_chars - q + 1 grams, so each belongs to one
-window. Equal spans have equal minima under every hash function: one function
-already finds all of them, and further ones could only repeat candidates. The
-verification after it is exact.
+window. Equal spans have equal minima under every hash function, so one already
+finds all of them; with ``hashes`` above 1 a span stays a candidate only where
+the kept windows of all functions overlap, which thins what is verified and
+loses nothing. The verification after it is exact.
 
 1. ``window_signatures``: the distinct minima of each text, about 2/(t+1) a
    character. Minima held by two documents are kept.
@@ -85,6 +86,29 @@ def gram_hashes(points: np.ndarray, q: int) -> np.ndarray:
     return h
 
 
+def rehashed(h: np.ndarray, number: int) -> np.ndarray:
+    """The gram hashes under the hash function of that number."""
+    if not number:
+        return h
+    with np.errstate(over="ignore"):
+        x = (h + np.uint64(number) * np.uint64(0xA24BAED4963EE407)) * np.uint64(0x9FB21C651E98DF25)
+        return x ^ (x >> np.uint64(28))
+
+
+def overlaps(ranges: list[tuple[int, int]], others: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Interval join of two sorted lists of disjoint ranges: their common parts."""
+    out, i, j = [], 0, 0
+    while i < len(ranges) and j < len(others):
+        lo, hi = max(ranges[i][0], others[j][0]), min(ranges[i][1], others[j][1])
+        if lo <= hi:
+            out.append((lo, hi))
+        if ranges[i][1] < others[j][1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 def compact_windows(h: np.ndarray, t: int) -> list[tuple[int, int, int]]:
     """(first start, last start, minimum) of the spans of each Cartesian-tree node."""
     n, out = len(h), []
@@ -125,12 +149,16 @@ def text_windows(text: str, min_chars: int, q: int) -> Iterator[tuple[np.ndarray
         yield h, compact_windows(h, min_chars - q + 1), at
 
 
-def _signatures(min_chars: int, q: int):
+def _signatures(min_chars: int, q: int, hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, values = [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = [h[[w[2] for w in windows]] for h, windows, _ in text_windows(text.as_py(), min_chars, q) if windows]
+                own = []
+                for h, windows, _ in text_windows(text.as_py(), min_chars, q):
+                    for number in range(hashes if windows else 0):
+                        other = rehashed(h, number)
+                        own.append(other[[w[2] for w in (compact_windows(other, min_chars - q + 1) if number else windows)]])
                 if own:
                     distinct = np.unique(np.concatenate(own))
                     values.append(distinct)
@@ -141,12 +169,30 @@ def _signatures(min_chars: int, q: int):
     return run
 
 
-def window_signatures(texts: DataFrame, *, min_chars: int = MIN_CHARS, q: int = GRAM) -> DataFrame:
-    """Distinct (doc, v): minima of the compact windows of each text."""
-    return texts.mapInArrow(_signatures(min_chars, q), "doc long, v long")
+def window_signatures(texts: DataFrame, *, min_chars: int = MIN_CHARS, q: int = GRAM, hashes: int = 1) -> DataFrame:
+    """Distinct (doc, v): minima of the compact windows of each text under each function."""
+    return texts.mapInArrow(_signatures(min_chars, q, hashes), "doc long, v long")
+
+
+def _kept(h: np.ndarray, windows: list[tuple[int, int, int]], kept: np.ndarray) -> list[tuple[int, int, int]]:
+    return [w for w, hit in zip(windows, np.isin(h[[w[2] for w in windows]], kept)) if hit]
+
+
+def _candidates(h: np.ndarray, windows: list[tuple[int, int, int]], kept: np.ndarray, t: int, hashes: int) -> Iterator[tuple[int, int, int]]:
+    """Windows of the first function with a kept minimum, cut to where those of the others have one too."""
+    first = sorted(_kept(h, windows, kept))
+    ranges = [(lo, hi) for lo, hi, _ in first]
+    for number in range(1, hashes):
+        other = rehashed(h, number)
+        ranges = overlaps(ranges, sorted((lo, hi) for lo, hi, _ in _kept(other, compact_windows(other, t), kept)))
+    i = 0
+    for lo, hi, m in first:
+        while i < len(ranges) and ranges[i][0] <= hi:
+            yield (*ranges[i], m)
+            i += 1
 
 
-def _blocks(min_chars: int, q: int, step: int):
+def _blocks(min_chars: int, q: int, step: int, hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = ["doc", "core", "context", "before", "after", "at", "least", "most"]
         kinds = [pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
@@ -161,9 +207,7 @@ def _blocks(min_chars: int, q: int, step: int):
                 for h, windows, base in text_windows(text, min_chars, q):
                     if not windows:
                         continue
-                    for (lo, hi, m), hit in zip(windows, np.isin(h[[w[2] for w in windows]], kept)):
-                        if not hit:
-                            continue
+                    for lo, hi, m in _candidates(h, windows, kept, min_chars - q + 1, hashes):
                         for k in range((m - hi) // step, (m - lo) // step + 1):
                             at = m - step * k
                             first, last = max(lo, at - step + 1), min(hi, at)
@@ -183,19 +227,19 @@ def _blocks(min_chars: int, q: int, step: int):
     return run
 
 
-def shared_blocks(documents: DataFrame, doc_id: str, text: str, *, min_chars: int = MIN_CHARS, q: int = GRAM, step: int = STEP) -> DataFrame:
+def shared_blocks(documents: DataFrame, doc_id: str, text: str, *, min_chars: int = MIN_CHARS, q: int = GRAM, step: int = STEP, hashes: int = 1) -> DataFrame:
     """Rows (doc, first, last): all spans starting from first to last are shared.
 
     Ranges of one document may touch or overlap.
     """
     texts = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.col("doc").isNotNull() & (F.char_length("text") >= min_chars))
-    signs = materialize(window_signatures(texts, min_chars=min_chars, q=q), "span-signatures")
+    signs = materialize(window_signatures(texts, min_chars=min_chars, q=q, hashes=hashes), "span-signatures")
     held = signs.groupBy("v").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).where("d0 < d1").select("v")
     kept = materialize(signs.join(held, "v", "left_semi").groupBy("doc").agg(F.collect_list("v").alias("vs")), "span-candidates")
     size = kept.agg(F.coalesce(F.sum(F.size("vs") * 8 + 32), F.lit(0))).first()[0]
     chosen = texts.join(F.broadcast(kept) if size <= BROADCAST_BYTES else kept, "doc")
     blocks = materialize(
-        chosen.mapInArrow(_blocks(min_chars, q, step), "doc long, core binary, context binary, before string, after string, at int, least int, most int"), "span-blocks"
+        chosen.mapInArrow(_blocks(min_chars, q, step, hashes), "doc long, core binary, context binary, before string, after string, at int, least int, most int"), "span-blocks"
     )
 
     context = blocks.groupBy("core", "context").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"))
