@@ -59,7 +59,7 @@ def context_index(spark: SparkSession, root: str) -> DataFrame:
     rows = t.join(n, "trade_row_id", "left").join(news, "trade_row_id", "left").withColumn("month", F.coalesce(day, F.lit("none")))
     path = scratch(spark, "context-index")
     sinks.publish(rows, path, by=["month"])
-    return readers.read_rows(spark, path).select("trade_row_id", "news_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("month").cast("string").alias("month"))
+    return readers.read_rows(spark, path, "trade_row_id long, n_links long, news_id string, month string").select("trade_row_id", "news_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("month").cast("string").alias("month"))
 
 
 def schedule(spark: SparkSession, root: str) -> DataFrame:

@@ -207,7 +207,7 @@ def scenario_grid(spark: SparkSession, root: str) -> DataFrame:
     """Time and storage for lists of rates and sizes."""
     n = table(spark, root, "trades").agg(F.count("*").alias("n"), F.countDistinct("wallet").alias("w"))
     g = n.withColumn("rate", F.explode(F.array(*[F.lit(x) for x in (100, 1000, 10000)]))).withColumn("bytes", F.explode(F.array(*[F.lit(x) for x in (500, 767, 1000)])))
-    return g.select("rate", "bytes", steady_round(F.col("n") / F.col("rate"), 6).alias("seconds"), (F.col("n") * F.col("bytes")).alias("storage"), steady_round(F.col("n") / F.col("w"), 6).alias("per_wallet"))
+    return g.select("rate", "bytes", steady_round(F.col("n") / F.col("rate"), 6).alias("seconds"), (F.col("n") * F.col("bytes")).alias("storage"), steady_round(F.try_divide(F.col("n"), F.col("w")), 6).alias("per_wallet"))
 
 
 def loss_series(spark: SparkSession, root: str) -> DataFrame:
