@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.clean import ident
+from tidemark.functions.clean import split_name  # noqa: F401 - part of this module's names
 from tidemark.session import materialize
 
 #: Long enough that chance grams of hex text seldom meet: 16 ** GRAM is far above the number of texts.
@@ -52,12 +52,6 @@ PORTION = 1 << 20
 MISSING = ("", "na", "n/a", "null", "none")
 
 
-def split_name(c: Column) -> Column:
-    """train, validation or test; null for anything else."""
-    s = ident(c)
-    return F.when(s.isin("train", "training"), "train").when(s.isin("validation", "valid", "val", "dev"), "validation").when(s == "test", "test")
-
-
 def tx_text(c: Column) -> Column:
     """Comparable form of a transaction hash, or null where it is missing."""
     t = F.regexp_replace(F.regexp_replace(F.lower(c), r"[ \t\r\n:_-]+", ""), "^0x", "")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.functions.clean import hex_ident, ident
+from tidemark.functions.clean import hex_ident, ident, split_name
 from tidemark.operators import ledgers as L
 from tidemark.operators.asof import micros
 from tidemark.session import table
@@ -49,7 +49,7 @@ def exclusion_filter(spark: SparkSession, root: str) -> DataFrame:
 
 def cross_split_keys(spark: SparkSession, root: str) -> DataFrame:
     """Transactions that stand in more than one split (F9, SO7, A4)."""
-    r = table(spark, root, "transactions").select(hex_ident(F.col("tx")).alias("tx"), F.substring(ident(F.col("split")), 1, 2).alias("s")).dropna()
+    r = table(spark, root, "transactions").select(hex_ident(F.col("tx")).alias("tx"), split_name(F.col("split")).alias("s")).dropna()
     return L.crossing_keys(r, "tx", F.col("s"))
 
 
@@ -129,7 +129,7 @@ def replaced_log(spark: SparkSession, root: str) -> DataFrame:
 
 def split_disjointness(spark: SparkSession, root: str) -> DataFrame:
     """Fixtures, transactions and sources shared by two splits (SO3, G8, V8)."""
-    r = table(spark, root, "transactions").select(F.substring(ident(F.col("split")), 1, 2).alias("s"), hex_ident(F.col("tx")).alias("tx"), ident(F.col("fixture_id")).alias("fixture"), "source").where("s IN ('tr', 'va', 'te')")
+    r = table(spark, root, "transactions").select(split_name(F.col("split")).alias("s"), hex_ident(F.col("tx")).alias("tx"), ident(F.col("fixture_id")).alias("fixture"), "source").where("s IS NOT NULL")
     parts = [r.select(F.lit(c).alias("what"), F.col(c).alias("k"), "s").dropna().groupBy("what", "k").agg(F.count_distinct("s").alias("n")) for c in ("tx", "fixture", "source")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("what").agg(F.count("*").alias("n_keys"), F.count_if(F.col("n") > 1).alias("n_shared"))
 
