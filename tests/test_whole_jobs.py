@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tidemark.plans import context
 
 from .conftest import rows
 
@@ -18,3 +19,18 @@ def test_every_spelling_of_a_split(spark, tmp_path):
     assert rows(q["cross_split_keys"](spark, str(tmp_path))) == [("a1", 2)]
     got = {r.what: (r.n_keys, r.n_shared) for r in q["split_disjointness"](spark, str(tmp_path)).collect()}
     assert got == {"tx": (5, 1), "fixture": (1, 1), "source": (1, 1)}
+
+
+def test_every_interval_covers(spark, tmp_path):
+    e = [(i, "u", kind, 1_700_000_000_000_001 + i * 900_000_000) for i, kind in enumerate(["view"] * 9 + ["click"] + ["view"] * 30)]
+    df = spark.createDataFrame(e, "event_id long, user_id string, event_type string, us long")
+    _write(df.select("event_id", "user_id", "event_type", F.lit(1.0).alias("value"), F.timestamp_micros("us").cast("timestamp_ntz").alias("ts")), tmp_path, "events")
+    got = {r.event_id: (r.label, r.n) for r in entry.queries()["occurrence_labels"](spark, str(tmp_path)).collect()}
+    assert got == {i: ("OCCURRED", 1) if 1 < i < 9 else ("NOT_OBSERVED", 0) for i in range(40) if i != 9}
+
+
+def test_gaps_of_coverage_censor(spark):
+    h = context.HOUR
+    e = spark.createDataFrame([(1, "u", "view", 0), (2, "u", "view", h), (3, "u", "view", 4 * h), (4, "v", "view", 0)], "event_id long, user_id string, event_type string, t long")
+    c = spark.createDataFrame([("u", 0, h), ("u", h, 2 * h), ("u", 3 * h, 6 * h)], "user_id string, start long, end long")
+    assert rows(context._occurrences(e, c)) == [(1, "NOT_OBSERVED", 0), (2, "CENSORED", 0), (3, "NOT_OBSERVED", 0), (4, "CENSORED", 0)]

@@ -134,10 +134,17 @@ def merged_coverage(spark: SparkSession, root: str) -> DataFrame:
 
 
 def occurrence_labels(spark: SparkSession, root: str) -> DataFrame:
-    """OCCURRED, NOT_OBSERVED or CENSORED for two hours after each view."""
-    e = _events(spark, root)
+    """OCCURRED, NOT_OBSERVED or CENSORED for two hours after each view.
+
+    Each view starts a four-hour interval of its own, so none is CENSORED here.
+    """
+    return _occurrences(_events(spark, root), _coverage(spark, root))
+
+
+def _occurrences(e: DataFrame, coverage: DataFrame) -> DataFrame:
+    """Labels of the views among ``e``; CENSORED where ``coverage`` (user_id, start, end) leaves a gap."""
     w = e.where("event_type = 'view'").select("event_id", "user_id", F.col("t").alias("start"), (F.col("t") + 2 * HOUR).alias("end"))
-    c = G.covered(w, G.merge_intervals(_coverage(spark, root).where("start % 3 <> 0"), ["user_id"]), ["user_id"])
+    c = G.covered(w, G.merge_intervals(coverage, ["user_id"]), ["user_id"])
     line = c.select("event_id", "user_id", F.col("start").alias("t"), "covered", F.lit(0).alias("k")).unionByName(e.where("event_type <> 'view'").select("user_id", "t", F.lit(1).alias("k")), allowMissingColumns=True)
     line = with_halo(line, ["user_id"], "t", ahead_us=2 * HOUR)
     n = F.sum("k").over(W.partitionBy("user_id", "__b").orderBy("t").rangeBetween(0, 2 * HOUR - 1))
