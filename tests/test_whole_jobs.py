@@ -1,5 +1,6 @@
 """Queries do the whole job: every spelling, every interval, every row."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -34,3 +35,10 @@ def test_gaps_of_coverage_censor(spark):
     e = spark.createDataFrame([(1, "u", "view", 0), (2, "u", "view", h), (3, "u", "view", 4 * h), (4, "v", "view", 0)], "event_id long, user_id string, event_type string, t long")
     c = spark.createDataFrame([("u", 0, h), ("u", h, 2 * h), ("u", 3 * h, 6 * h)], "user_id string, start long, end long")
     assert rows(context._occurrences(e, c)) == [(1, "NOT_OBSERVED", 0), (2, "CENSORED", 0), (3, "NOT_OBSERVED", 0), (4, "CENSORED", 0)]
+
+
+@pytest.mark.parametrize(("name", "read"), [("stream_windows", "events"), ("stream_sessions", "events"), ("stream_inventory", "orders")])
+def test_streams_of_many_unordered_files(spark, data, tmp_path, name, read):
+    _write(spark.read.parquet(f"{data}/{read}.parquet").repartition(24, F.rand(7)), tmp_path, read)
+    query = entry.queries()[name]
+    assert rows(query(spark, str(tmp_path))) == rows(query(spark, data))

@@ -77,14 +77,14 @@ def stream_windows(spark: SparkSession, root: str) -> DataFrame:
 
 def stream_sessions(spark: SparkSession, root: str) -> DataFrame:
     """Sessions of users with a gap of six hours as a stream, closed ones only (§2.14)."""
-    e = jobs.stream_table(spark, root, "events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    e = jobs.stream_table(spark, root, "events", time="ts").select(F.col("ts").cast("timestamp").alias("ts"), "user_id")
     out = jobs.drain(jobs.sessions(e, "ts", "6 hours", "0 seconds", ["user_id"]), "sessions")
     return out.select("user_id", F.unix_micros("session_window.start").alias("start_us"), F.unix_micros("session_window.end").alias("end_us"), "n")
 
 
 def stream_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Stateful average-cost inventory of orders as a stream (A9, §2.14)."""
-    o = jobs.stream_table(spark, root, "orders").select(F.col("o_custkey").cast("string").alias("key"), F.col("o_orderdate").cast("timestamp").alias("ts"), F.when(F.col("o_orderstatus") == "F", "SELL").otherwise("BUY").alias("side"), F.lit(1.0).alias("shares"), (F.col("o_totalprice") / 1000).alias("price"))
+    o = jobs.stream_table(spark, root, "orders", time="o_orderdate").select(F.col("o_custkey").cast("string").alias("key"), F.col("o_orderdate").cast("timestamp").alias("ts"), F.when(F.col("o_orderstatus") == "F", "SELL").otherwise("BUY").alias("side"), F.lit(1.0).alias("shares"), (F.col("o_totalprice") / 1000).alias("price"))
     out = jobs.drain(jobs.running_inventory(o, "0 seconds"), "inventory")
     return out.groupBy("key").agg(F.count("*").alias("n_instants"), F.max("time_us").alias("last_us"), F.count("quantity").alias("n_known"))
 

@@ -13,10 +13,34 @@ from tidemark.operators.metrics import _settle
 from tidemark.session import scratch
 
 
-def stream_table(spark: SparkSession, root: str, name: str, *, files_per_batch: int = 8) -> DataFrame:
-    """A driver table as a file stream."""
-    schema = spark.read.parquet(f"{root}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{root}/{name}.parquet*")
+def stream_table(spark: SparkSession, root: str, name: str, *, time: str | None = None, files_per_batch: int = 8) -> DataFrame:
+    """A driver table as a file stream.
+
+    With ``time`` no batch holds an instant before those of earlier batches, so
+    a watermark without delay loses nothing: a table of more files than go into
+    one batch is first written again in files by ranges of ``time``.
+    """
+    path = f"{root}/{name}.parquet*"
+    stored = spark.read.parquet(f"{root}/{name}.parquet")
+    if time and (n := len(stored.inputFiles())) > files_per_batch:
+        path = scratch(spark, f"{name}-by-time")
+        stored.repartitionByRange(n, time).write.option("maxRecordsPerFile", 0).parquet(path)
+        _date_in_order(spark, path)
+    return spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+def _date_in_order(spark: SparkSession, path: str) -> None:
+    """Date the part files by their numbers, a second apart: a file stream takes the oldest first."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    dated = lambda: sorted((int(f.getPath().getName().split("-")[1]), f.getModificationTime(), f.getPath()) for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    parts = dated()
+    start = max((t for _, t, _ in parts), default=0) - 1000 * len(parts)
+    for i, (_, _, part) in enumerate(parts):
+        fs.setTimes(part, start + 1000 * i, -1)
+    times = [t for _, t, _ in dated()]
+    if any(a >= b for a, b in zip(times, times[1:])):
+        raise ValueError(f"files in {path} cannot be dated, so they cannot be streamed in time order")
 
 
 def drain(stream: DataFrame, name: str, *, mode: str = "append") -> DataFrame:
