@@ -42,3 +42,13 @@ def test_streams_of_many_unordered_files(spark, data, tmp_path, name, read):
     _write(spark.read.parquet(f"{data}/{read}.parquet").repartition(24, F.rand(7)), tmp_path, read)
     query = entry.queries()[name]
     assert rows(query(spark, str(tmp_path))) == rows(query(spark, data))
+
+
+def test_actors_without_an_event_type_have_a_row(spark, tmp_path):
+    e = [("a", "1", "0xC", 5, "BUY", "2", "0.5"), (" B", "2", "c", 6, None, "2", "0.5"), ("b", "3", None, 7, "SELL", "2", "0.5"), ("d", "4", "c", 8, "hold", "2", "0.5"), ("", "5", "c", 9, "BUY", "2", "0.5"), (None, "6", "c", 9, "BUY", "2", "0.5")]
+    schema = "actor string, execution_id string, condition_id string, time_us long, side string, shares string, price string"
+    _write(spark.createDataFrame(e, schema), tmp_path, "executions")
+    query, none = entry.queries()["p3_features"], f"0,,0.{'0' * 8},0.{'0' * 20}"
+    assert rows(query(spark, str(tmp_path))) == [("a", 1, f"1,5,2.{'0' * 8},1.{'0' * 20}"), ("b", 1, none), ("d", 1, none)]
+    _write(spark.createDataFrame(e[1:4], schema), tmp_path, "executions")
+    assert rows(query(spark, str(tmp_path))) == [("b", 0, ""), ("d", 0, "")]

@@ -8,7 +8,8 @@ size is that of the set of types (hundreds), never of the events.
 Defined cases: an execution is one (actor, execution_id); of repeated rows the
 smallest by (time, condition, side, shares, price) counts. Rows without an
 execution id are told apart by their whole content. Rows without actor,
-condition or known side belong to no event type and are left out. An execution
+condition or known side belong to no event type and are left out; an actor that
+has only rows without condition or known side still has a row. An execution
 with an unusable amount (shares not a positive number, price not from 0 to 1)
 still counts and dates the entity, and adds nothing to the totals. An entity
 without executions of a type gets count 0, no last time and totals 0.
@@ -45,6 +46,11 @@ def clean_executions(executions: DataFrame) -> DataFrame:
     )
 
 
+def listed_actors(executions: DataFrame) -> DataFrame:
+    """Every actor of ``executions``, whatever its rows hold besides."""
+    return executions.select(ident(F.col("actor")).alias("actor")).where("actor IS NOT NULL AND actor <> ''").distinct()
+
+
 def typed_totals(events: DataFrame, entity: str, kind: str, spread: str, *, salts: int = 16) -> DataFrame:
     """Count, last time and totals per (entity, type), merged from salted partials."""
     part = events.groupBy(entity, kind, F.pmod(F.xxhash64(spread), F.lit(salts)).alias("__salt")).agg(
@@ -61,16 +67,22 @@ def type_list(totals: DataFrame, kind: str) -> DataFrame:
     return totals.select(kind).distinct().agg(F.array_sort(F.collect_list(kind)).alias("types"))
 
 
-def entity_features(totals: DataFrame, entity: str, kind: str) -> DataFrame:
-    """One row per entity: ``features``, an array over the complete type list."""
+def entity_features(totals: DataFrame, entity: str, kind: str, entities: DataFrame | None = None) -> DataFrame:
+    """One row per entity: ``features``, an array over the complete type list.
+
+    ``entities`` (distinct) also has those without totals.
+    """
     types = type_list(totals, kind)
     place = types.select(F.posexplode("types").alias("__pos", kind))
     stat = F.struct("n", "last_us", "shares", "notional")
     own = totals.join(place, kind).groupBy(entity).agg(F.map_from_entries(F.collect_list(F.struct("__pos", stat.alias("s")))).alias("__own"))
+    if entities is not None:
+        own = entities.join(own, entity, "left")
     empty = F.struct(
         F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("last_us"),
         F.lit(0).cast("decimal(38,8)").alias("shares"), F.lit(0).cast("decimal(38,20)").alias("notional"),
     )
     sized = own.withColumn("n_types", types.select(F.size("types")).scalar())
-    full = F.transform(F.sequence(F.lit(0), F.col("n_types") - 1), lambda i: F.coalesce(F.try_element_at("__own", i), empty))
+    places = F.slice(F.sequence(F.lit(0), F.col("n_types")), 1, F.col("n_types"))  # none without types
+    full = F.transform(places, lambda i: F.coalesce(F.try_element_at("__own", i), empty))
     return sized.select(entity, "n_types", full.alias("features"))

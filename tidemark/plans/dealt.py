@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import ident
 from tidemark.operators.delivery import repeated_rows
-from tidemark.operators.features import clean_executions, entity_features, type_list, typed_totals
+from tidemark.operators.features import clean_executions, entity_features, listed_actors, type_list, typed_totals
 from tidemark.operators.versions import version_join
 from tidemark.session import table
 
@@ -18,7 +18,7 @@ def _typed(spark: SparkSession, root: str) -> DataFrame:
 
 def p3_features(spark: SparkSession, root: str) -> DataFrame:
     """One row per actor; ``features`` lists n,last_us,shares,notional per type, in the order of ``p3_types``."""
-    rows = entity_features(_typed(spark, root), "actor", "type")
+    rows = entity_features(_typed(spark, root), "actor", "type", listed_actors(table(spark, root, "executions")))
     text = F.transform("features", lambda f: F.concat_ws(",", f["n"].cast("string"), F.coalesce(f["last_us"].cast("string"), F.lit("")), f["shares"].cast("string"), f["notional"].cast("string")))
     return rows.select("actor", F.col("n_types").cast("long").alias("n_types"), F.array_join(text, ";").alias("features"))
 
