@@ -6,7 +6,8 @@ a longer run share such a run, so none is missed.
 
 The items are a stated query set: they go to the executors in blocks of
 ``block_chars`` characters of patterns, one automaton and one scan a block, so
-what is broadcast does not grow with their number. Documents are never shuffled
+what is broadcast does not grow with their number. A run that the end of a
+block cuts is joined again by item, document and shift. Documents are never shuffled
 or collected. Matches name their place in the original text.
 
 Defined cases: null or empty texts and items of fewer words match nothing;
@@ -25,6 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 MIN_WORDS = 13
 BLOCK_CHARS = 2_000_000
@@ -80,7 +82,7 @@ class _Shared:
 def _scan(shared: _Shared, min_words: int, spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(shared)
-        names = ["item_id", "doc_id", "start", "end", "n_words"][: 5 if spans else 2]
+        names = ["item_id", "doc_id", "start", "end", "first", "last", "shift"][: 7 if spans else 2]
         for batch in batches:
             rows: list[tuple] = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -103,14 +105,23 @@ def _scan(shared: _Shared, min_words: int, spans: bool):
                             own[-1][1] = max(own[-1][1], first + 1)
                         else:
                             own.append([first, first + 1])
-                for (item, _), own in runs.items():
-                    rows += [(item, i, at[a][0], at[b + min_words - 2][1], b + min_words - 1 - a) for a, b in own]
+                for (item, shift), own in runs.items():
+                    rows += [(item, i, at[a][0], at[b + min_words - 2][1], a, b, shift) for a, b in own]
             columns = zip(*rows) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names)
 
     return run
 
 
+def _joined(runs: DataFrame) -> DataFrame:
+    """Runs of one item, document and shift that touch are one, cut by the end of a block."""
+    order = W.partitionBy("item_id", "doc_id", "shift").orderBy("first")
+    new = F.coalesce((F.col("first") > F.max("last").over(order.rowsBetween(W.unboundedPreceding, -1))).cast("int"), F.lit(0))
+    return runs.withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0))).groupBy("item_id", "doc_id", "shift", "run").agg(
+        *[f(c).alias(c) for f, c in ((F.min, "start"), (F.max, "end"), (F.min, "first"), (F.max, "last"))]
+    )
+
+
 def leaked_items(items: DataFrame, documents: DataFrame, *, min_words: int = MIN_WORDS, block_chars: int = BLOCK_CHARS, spans: bool = False) -> DataFrame:
     """(item_id, doc_id) of every document that holds a run of an item.
 
@@ -118,7 +129,7 @@ def leaked_items(items: DataFrame, documents: DataFrame, *, min_words: int = MIN
     points of the original text and its number of words.
     """
     spark = documents.sparkSession
-    schema = "item_id long, doc_id long" + (", start long, end long, n_words long" if spans else "")
+    schema = "item_id long, doc_id long" + (", start long, end long, first long, last long, shift long" if spans else "")
     texts = documents.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     asked = items.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     found, number = None, 0
@@ -127,5 +138,8 @@ def leaked_items(items: DataFrame, documents: DataFrame, *, min_words: int = MIN
         part = texts.mapInArrow(_scan(_Shared(blob, uuid.uuid4().hex), min_words, spans), schema)
         found, number = (part if found is None else found.unionByName(part)), number + 1
     if found is None:
-        return spark.createDataFrame([], schema)
-    return found if number == 1 else found.distinct()
+        found = spark.createDataFrame([], schema)
+    if not spans:
+        return found.distinct() if number > 1 else found
+    whole = _joined(found) if number > 1 else found
+    return whole.select("item_id", "doc_id", "start", "end", (F.col("last") - F.col("first") + min_words - 1).alias("n_words"))
