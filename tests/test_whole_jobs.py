@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidemark.llm import leakage
+from tidemark.operators import shards
 from tidemark.plans import context
 
 from .conftest import rows
@@ -64,3 +65,16 @@ def test_spans_are_whole_across_blocks(spark, block):
     want = rows(leakage.leaked_items(items, docs, spans=True))
     assert (1, 7, 3, len(text((0, 60))) + 3, 60) in want
     assert rows(leakage.leaked_items(items, docs, spans=True, block_chars=block)) == want
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_positions_over_all_rows(spark, parts):
+    a, b, c = [(i, i % 7) for i in range(0, 200, 2)], [(i, i % 7 if i % 5 else None) for i in range(0, 210, 2)], [(i, 0) for i in range(50, 90)]
+    frame = lambda x: spark.createDataFrame(x, "k long, v long").repartition(parts)
+    got = shards.positional_zip(frame(a), frame(b), ["k"], ["k", "v"])
+    want = [(i + 1, a[i] if i < len(a) else None, b[i], i < len(a) and a[i] == b[i]) for i in range(len(b))]
+    plain = [(r.row, r.first and tuple(r.first), tuple(r.second), r.equal) for r in got.select("row", "first", "second", "equal").orderBy("row").collect()]
+    assert plain == want
+    merged = shards.ordered_merge([frame(a), frame(c), frame(b)], ["k"]).orderBy("row").collect()
+    assert [(r.k, r.source) for r in merged] == sorted([(k, 0) for k, _ in a] + [(k, 1) for k, _ in c] + [(k, 2) for k, _ in b])
+    assert [r.row for r in merged] == list(range(1, len(merged) + 1))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -28,6 +30,22 @@ def positions(rows: DataFrame, order: list[str], *, weight: Column | None = None
     return out.withColumn("row", F.col("__n0") + F.col("__i")).withColumn("before", F.col("__s0") + F.col("__b")).drop("__w", "__p", "__n0", "__s0", "__i", "__b")
 
 
+def positional_zip(first: DataFrame, second: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
+    """Rows of the same global position side by side: row, ``first``, ``second``, ``equal`` (null-safe).
+
+    Where one input is longer the other side is null and ``equal`` false.
+    """
+    side = lambda df, name: positions(df, order).select("row", F.struct(*columns).alias(name))
+    both = side(first, "first").join(side(second, "second"), "row", "full")
+    return both.withColumn("equal", F.col("first").eqNullSafe(F.col("second")))
+
+
+def ordered_merge(inputs: list[DataFrame], order: list[str]) -> DataFrame:
+    """All rows of ``inputs`` with their global position ``row``; at a tie the earlier input's (``source``) come first."""
+    tagged = [df.withColumn("source", F.lit(i)) for i, df in enumerate(inputs)]
+    return positions(functools.reduce(DataFrame.unionByName, tagged), [*order, "source"]).drop("before")
+
+
 def row_shards(rows: DataFrame, order: list[str], most: int) -> DataFrame:
     """``shard`` (from 1) of at most ``most`` rows, and ``line`` in the shard."""
     p = positions(rows, order)

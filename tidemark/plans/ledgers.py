@@ -171,9 +171,8 @@ def exact_join_coverage(spark: SparkSession, root: str) -> DataFrame:
 
 
 def positional_compare(spark: SparkSession, root: str) -> DataFrame:
-    """Two orderings of one table zipped by position, null-safe."""
+    """Two orderings of each nation's suppliers zipped by position, null-safe; ``shards.positional_zip`` takes one order over all."""
     s = table(spark, root, "supplier").select("s_suppkey", "s_nationkey")
-    # a position needs one order over all: range-partitioned sort, then ranks per nation
     a = s.withColumn("i", F.row_number().over(W.partitionBy("s_nationkey").orderBy("s_suppkey")))
     b = s.select(F.col("s_suppkey").alias("other"), "s_nationkey", F.row_number().over(W.partitionBy("s_nationkey").orderBy(F.desc("s_suppkey"))).alias("i"))
     return a.join(b, ["s_nationkey", "i"]).groupBy("s_nationkey").agg(F.count("*").alias("n"), F.count_if(F.col("s_suppkey").eqNullSafe(F.col("other"))).alias("n_equal"))
