@@ -188,7 +188,7 @@ def paired_headlines(spark: SparkSession, root: str) -> DataFrame:
 
 
 def registry_audit(spark: SparkSession, root: str) -> DataFrame:
-    """Duplicates, orphans and unmapped rows of the registry."""
+    """Duplicates, orphans and unmapped rows of the registry."""
     t = table(spark, root, "trades").select(ident(F.col("fixture_id")).alias("fixture"), ident(F.col("condition_id")).alias("condition"))
     k = table(spark, root, "tournament_sft_v1").select(ident(F.col("fixture_id")).alias("fixture"), "policy_version")
     count = lambda name, df: df.agg(F.lit(name).alias("finding"), F.count("*").alias("n"))
@@ -227,7 +227,7 @@ def watch_deltas(spark: SparkSession, root: str) -> DataFrame:
 
 
 def causal_features(spark: SparkSession, root: str) -> DataFrame:
-    """One feature row per event from strictly earlier events, with its label."""
+    """One feature row per event from strictly earlier events, with its label (G16, G17, reduced)."""
     e = table(spark, root, "events").select("event_id", "user_id", "event_type", "value", micros("ts").alias("t"))
     by, day = ["user_id"], 86_400_000_000
     back = prior_frame(by, "t")
