@@ -270,14 +270,12 @@ def test_spans_against_brute_force(spark, seed, monkeypatch):
     assert got == want and any(want.values())
 
 
-def test_span_parts_and_broadcast_switch(spark, monkeypatch):
+def test_span_parts(spark):
     a = "".join(random.Random(5).choices("abcdef ", k=900))
     docs = [(1, a), (2, "zz" + a[100:700]), (3, a[:399]), (4, "other"), (5, None), (6, a)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     want = {1: 900, 2: 600, 3: 0, 4: 0, 5: 0, 6: 900}
     assert {x.doc: x.shared_chars for x in spans.shared_part(df, "doc_id", "text").collect()} == want
-    monkeypatch.setattr(spans, "BROADCAST_BYTES", -1)
-    assert {x.doc: x.shared_chars for x in spans.shared_part(df, "doc_id", "text").collect()} == want
     assert rows(spans.shared_spans(df.where("doc_id < 3"), "doc_id", "text")) == [(1, 100, 600), (2, 2, 600)]
     assert spans.shared_blocks(df.limit(0), "doc_id", "text").count() == 0
 

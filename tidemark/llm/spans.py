@@ -1,33 +1,38 @@
 """Long exact spans shared between records.
 
-Tokens are the q-character grams of a text, hashed. A compact window (a, m, b)
-says that every run of t grams inside [a, b] that contains gram m has gram m as
-its leftmost minimum; the windows of a text are the nodes of the Cartesian tree
-over its gram hashes that are t grams wide. Spans of ``min_chars`` code points
-are exactly the runs of t = min_chars - q + 1 grams, so each belongs to one
-window. Equal spans have equal minima under every hash function, so one already
-finds all of them; with ``hashes`` above 1 a span stays a candidate only where
-the kept windows of all functions overlap, which thins what is verified and
-loses nothing. The verification after it is exact.
-
-1. ``window_signatures``: the distinct minima of each text, about 2/(t+1) a
-   character. Minima held by two documents are kept.
-2. ``span_blocks``: windows with a kept minimum, cut by where a span starts
-   before the minimum into blocks of ``STEP`` starts. All spans of a block
+Tokens are the q-character grams of a text, hashed. Under one hash function a
+compact window (a, m, b) says that every run of t grams inside [a, b] that
+contains gram m has gram m as its leftmost minimum; the windows of a text are
+the nodes of the Cartesian tree over its gram hashes that are t grams wide.
+Spans of ``min_chars`` code points are exactly the runs of t = min_chars - q + 1
+grams, so under each function a span belongs to one window. Equal spans have
+equal minima under every function: the windows of all ``hashes`` functions are
+joined by interval, and the parts, each with the signature of its minima, are
+what documents are joined by. More functions thin the candidates and lose
+nothing. What is joined is verified by content.
+
+1. ``signed_ranges`` reads every text once and emits narrow rows: signature,
+   first and last start of the range, place of its anchor (the minimum under
+   the first function) and a 96-bit digest of the text that the range covers.
+2. Signatures of two documents are kept. A bounded bitmap (``screened``) keeps
+   other rows out of the exact semi-join. Ranges with equal digests share all
+   their spans.
+3. Only where ranges of one signature differ in content is text needed again:
+   one representative of each distinct content is cut by where a span starts
+   before the anchor into blocks of ``STEP`` starts. All spans of a block
    contain its core, ``min_chars - STEP + 1`` characters; what precedes and
-   follows it is the context.
-3. ``shared_blocks`` joins the blocks' intervals by content: blocks equal in
-   core and context hold only shared spans. Where one core has several
-   contexts, each distinct context is spelled out into its spans, at most
-   ``STEP``, and these are compared. No pairs are formed, so a notice copied
-   into a third of all documents costs one row a document.
+   follows it is the context. Blocks equal in core and context hold only shared
+   spans; where one core has several contexts, each is spelled out into its
+   spans, at most ``STEP``, and these are compared. No pairs are formed, so a
+   notice copied into a third of all documents costs a few rows a document.
 
-Contexts are compared as text, cores by 128-bit BLAKE2 digests.
+The plan is the same at every size. Contexts are compared as text, cores by
+128-bit BLAKE2 digests, ranges by 96 bits of XXH3 within one signature.
 
 Defined cases: null texts and texts shorter than ``min_chars`` share nothing;
-a span repeated only inside one document does not count; long texts are
-processed whole, in overlapping chunks; periodic texts, whose tree is a path,
-get the same windows from a sliding minimum.
+a span repeated only inside one document does not count; document ids are
+unique; long texts are processed whole, in overlapping chunks; periodic texts,
+whose tree is a path, get the same windows from a sliding minimum.
 """
 
 from __future__ import annotations
@@ -38,20 +43,21 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidemark.operators.screen import screened
 from tidemark.session import materialize
 
 MIN_CHARS = 400
 GRAM = 200
 STEP = 67
+HASHES = 2
 CHUNK = 1 << 15
 #: Rows of an output batch, which bounds a worker's memory whatever the texts hold.
 ROWS = 20_000
-#: A side up to this many bytes may be broadcast; beyond it the join shuffles.
-BROADCAST_BYTES = 16 << 20
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -95,20 +101,6 @@ def rehashed(h: np.ndarray, number: int) -> np.ndarray:
         return x ^ (x >> np.uint64(28))
 
 
-def overlaps(ranges: list[tuple[int, int]], others: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Interval join of two sorted lists of disjoint ranges: their common parts."""
-    out, i, j = [], 0, 0
-    while i < len(ranges) and j < len(others):
-        lo, hi = max(ranges[i][0], others[j][0]), min(ranges[i][1], others[j][1])
-        if lo <= hi:
-            out.append((lo, hi))
-        if ranges[i][1] < others[j][1]:
-            i += 1
-        else:
-            j += 1
-    return out
-
-
 def compact_windows(h: np.ndarray, t: int) -> list[tuple[int, int, int]]:
     """(first start, last start, minimum) of the spans of each Cartesian-tree node."""
     n, out = len(h), []
@@ -141,117 +133,134 @@ def _sliding(h: np.ndarray, t: int) -> list[tuple[int, int, int]]:
     return [(int(lo), int(hi) - 1, int(best[lo])) for lo, hi in zip(cut, [*cut[1:], len(best)])]
 
 
-def text_windows(text: str, min_chars: int, q: int) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int]], int]]:
-    """(hashes, windows, offset) of each chunk; every span is in exactly one chunk."""
-    points = code_points(text)
-    for at in range(0, len(points) - min_chars + 1, CHUNK):
-        h = gram_hashes(points[at : at + CHUNK + min_chars - 1], q)
-        yield h, compact_windows(h, min_chars - q + 1), at
+def joined_windows(h: np.ndarray, t: int, hashes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Interval join of the windows of all functions: (signature, first start, last start, anchor)."""
+    parts = []
+    for number in range(hashes):
+        own = rehashed(h, number)
+        windows = np.array(sorted(compact_windows(own, t)), np.int64)
+        parts.append((windows[:, 0], windows[:, 2], own[windows[:, 2]]))
+    lo = np.unique(np.concatenate([p[0] for p in parts]))
+    hi = np.r_[lo[1:] - 1, len(h) - t]
+    sig = np.zeros(len(lo), np.uint64)
+    anchor = lo
+    with np.errstate(over="ignore"):
+        for number, (first, m, v) in enumerate(parts):
+            at = np.searchsorted(first, lo, side="right") - 1
+            sig = (sig ^ v[at]) * np.uint64(0x9FB21C651E98DF25)
+            sig ^= sig >> np.uint64(32)
+            if not number:
+                anchor = m[at]
+    return sig, lo, hi, anchor
+
 
+def _ranges(min_chars: int, q: int, hashes: int):
+    t = min_chars - q + 1
+    names = ["sig", "w1", "w2", "doc", "first", "most", "anchor"]
 
-def _signatures(min_chars: int, q: int, hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, values = [], []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = []
-                for h, windows, _ in text_windows(text.as_py(), min_chars, q):
-                    for number in range(hashes if windows else 0):
-                        other = rehashed(h, number)
-                        own.append(other[[w[2] for w in (compact_windows(other, min_chars - q + 1) if number else windows)]])
-                if own:
-                    distinct = np.unique(np.concatenate(own))
-                    values.append(distinct)
-                    ids.append(np.full(len(distinct), i, np.int64))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(values).view(np.int64))], ["doc", "v"])
+        cols: list[list[np.ndarray]] = [[] for _ in names]
+        used = 0
 
-    return run
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names)
 
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                points = code_points(text.as_py())
+                for base in range(0, len(points) - min_chars + 1, CHUNK):
+                    part = points[base : base + CHUNK + min_chars - 1]
+                    sig, lo, hi, anchor = joined_windows(gram_hashes(part, q), t, hashes)
+                    raw = memoryview(part).cast("B")
+                    digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[4 * a : 4 * (b + min_chars)]) for a, b in zip(lo.tolist(), hi.tolist())]), np.int64).reshape(-1, 2)
+                    own = (sig.view(np.int64), digests[:, 0], digests[:, 1].astype(np.int32), np.full(len(lo), doc, np.int64), (lo + base).astype(np.int32), (hi - lo).astype(np.int32), (anchor - lo).astype(np.int32))
+                    for c, x in zip(cols, own):
+                        c.append(x)
+                    used += len(lo)
+                    if used >= ROWS:
+                        yield flush()
+                        cols, used = [[] for _ in names], 0
+        if used:
+            yield flush()
 
-def window_signatures(texts: DataFrame, *, min_chars: int = MIN_CHARS, q: int = GRAM, hashes: int = 1) -> DataFrame:
-    """Distinct (doc, v): minima of the compact windows of each text under each function."""
-    return texts.mapInArrow(_signatures(min_chars, q, hashes), "doc long, v long")
+    return run
 
 
-def _kept(h: np.ndarray, windows: list[tuple[int, int, int]], kept: np.ndarray) -> list[tuple[int, int, int]]:
-    return [w for w, hit in zip(windows, np.isin(h[[w[2] for w in windows]], kept)) if hit]
+def signed_ranges(texts: DataFrame, *, min_chars: int = MIN_CHARS, q: int = GRAM, hashes: int = HASHES) -> DataFrame:
+    """Ranges of starts with one minimum under each function, by one scan of (doc, text).
 
+    ``first`` is the first start, ``most`` how many follow, ``anchor`` how far
+    the first function's minimum lies after the first start.
+    """
+    return texts.mapInArrow(_ranges(min_chars, q, hashes), "sig long, w1 long, w2 int, doc long, first int, most int, anchor int")
 
-def _candidates(h: np.ndarray, windows: list[tuple[int, int, int]], kept: np.ndarray, t: int, hashes: int) -> Iterator[tuple[int, int, int]]:
-    """Windows of the first function with a kept minimum, cut to where those of the others have one too."""
-    first = sorted(_kept(h, windows, kept))
-    ranges = [(lo, hi) for lo, hi, _ in first]
-    for number in range(1, hashes):
-        other = rehashed(h, number)
-        ranges = overlaps(ranges, sorted((lo, hi) for lo, hi, _ in _kept(other, compact_windows(other, t), kept)))
-    i = 0
-    for lo, hi, m in first:
-        while i < len(ranges) and ranges[i][0] <= hi:
-            yield (*ranges[i], m)
-            i += 1
 
+def _blocks(min_chars: int, step: int):
+    fields = ["doc", "d0", "d1", "core", "context", "before", "after", "at", "least", "most"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
 
-def _blocks(min_chars: int, q: int, step: int, hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields = ["doc", "core", "context", "before", "after", "at", "least", "most"]
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
-        def flush(rows):
+        rows: list[list] = [[] for _ in fields]
+
+        def flush():
             return pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)], fields)
 
         for batch in batches:
-            rows: list[list] = [[] for _ in fields]
-            for i, text, kept in zip(*(batch.column(c) for c in ("doc", "text", "vs"))):
-                doc, text = i.as_py(), text.as_py()
-                kept = np.array(kept.as_py(), np.int64).view(np.uint64)
-                for h, windows, base in text_windows(text, min_chars, q):
-                    if not windows:
-                        continue
-                    for lo, hi, m in _candidates(h, windows, kept, min_chars - q + 1, hashes):
-                        for k in range((m - hi) // step, (m - lo) // step + 1):
-                            at = m - step * k
-                            first, last = max(lo, at - step + 1), min(hi, at)
-                            s = base + at
-                            core = text[s : s + min_chars - step + 1]
-                            before, after = text[base + first : s], text[s + min_chars - step + 1 : base + last + min_chars]
-                            key = blake2b(core.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                            whole = blake2b(f"{len(before)} {at - last} ".encode() + key + (before + after).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                            for column, x in zip(rows, (doc, key, whole, before, after, s, at - last, at - first)):
-                                column.append(x)
+            for doc, text, wanted in zip(*(batch.column(c) for c in ("doc", "text", "wanted"))):
+                doc, text = doc.as_py(), text.as_py()
+                for w in wanted.as_py():
+                    lo, hi, m = w["first"], w["first"] + w["most"], w["first"] + w["anchor"]
+                    for k in range((m - hi) // step, (m - lo) // step + 1):
+                        s = m - step * k
+                        first, last = max(lo, s - step + 1), min(hi, s)
+                        core = text[s : s + min_chars - step + 1]
+                        before, after = text[first:s], text[s + min_chars - step + 1 : last + min_chars]
+                        key = blake2b(core.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                        whole = blake2b(f"{len(before)} {s - last} ".encode() + key + (before + after).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                        for column, x in zip(rows, (doc, w["d0"], w["d1"], key, whole, before, after, s, s - last, s - first)):
+                            column.append(x)
                     if len(rows[0]) >= ROWS:
-                        yield flush(rows)
+                        yield flush()
                         rows = [[] for _ in fields]
-            if rows[0]:
-                yield flush(rows)
+        if rows[0]:
+            yield flush()
 
     return run
 
 
-def shared_blocks(documents: DataFrame, doc_id: str, text: str, *, min_chars: int = MIN_CHARS, q: int = GRAM, step: int = STEP, hashes: int = 1) -> DataFrame:
+def shared_blocks(documents: DataFrame, doc_id: str, text: str, *, min_chars: int = MIN_CHARS, q: int = GRAM, step: int = STEP, hashes: int = HASHES) -> DataFrame:
     """Rows (doc, first, last): all spans starting from first to last are shared.
 
     Ranges of one document may touch or overlap.
     """
     texts = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.col("doc").isNotNull() & (F.char_length("text") >= min_chars))
-    signs = materialize(window_signatures(texts, min_chars=min_chars, q=q, hashes=hashes), "span-signatures")
-    held = signs.groupBy("v").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).where("d0 < d1").select("v")
-    kept = materialize(signs.join(held, "v", "left_semi").groupBy("doc").agg(F.collect_list("v").alias("vs")), "span-candidates")
-    size = kept.agg(F.coalesce(F.sum(F.size("vs") * 8 + 32), F.lit(0))).first()[0]
-    chosen = texts.join(F.broadcast(kept) if size <= BROADCAST_BYTES else kept, "doc")
+    ranges = materialize(signed_ranges(texts, min_chars=min_chars, q=q, hashes=hashes), "span-ranges")
+    held = materialize(ranges.groupBy("sig").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).where("d0 < d1").select("sig"), "span-signatures")
+    met = materialize(screened(ranges, F.col("sig"), held, F.col("sig")).join(held, "sig", "left_semi"), "span-candidates")
+
+    content = ["sig", "w1", "w2"]
+    contents = met.groupBy(*content).agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min(F.struct("doc", "first", "most", "anchor")).alias("own"))
+    differ = contents.groupBy("sig").agg(F.count("*").alias("n"))
+    contents = materialize(contents.join(differ, "sig"), "span-contents")
+    equal = met.join(contents.where("d0 < d1"), content, "left_semi").select("doc", "first", (F.col("first") + F.col("most")).alias("last"))
+
+    # ranges of one signature that differ: one of each content, by its text
+    wanted = materialize(contents.where("n > 1").groupBy(F.col("own.doc").alias("doc")).agg(F.collect_list(F.struct("own.first", "own.most", "own.anchor", "d0", "d1")).alias("wanted")), "span-rivals")
+    chosen = screened(texts, F.col("doc"), wanted, F.col("doc")).join(wanted, "doc")
     blocks = materialize(
-        chosen.mapInArrow(_blocks(min_chars, q, step, hashes), "doc long, core binary, context binary, before string, after string, at int, least int, most int"), "span-blocks"
+        chosen.mapInArrow(_blocks(min_chars, step), "doc long, d0 long, d1 long, core binary, context binary, before string, after string, at int, least int, most int"), "span-blocks"
     )
-
-    context = blocks.groupBy("core", "context").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"))
+    context = blocks.groupBy("core", "context").agg(F.min("d0").alias("d0"), F.max("d1").alias("d1"))
     cores = context.groupBy("core").agg(F.count("*").alias("n"), F.min("d0").alias("c0"), F.max("d1").alias("c1")).where("c0 < c1")
     context = materialize(context.join(cores.select("core", "n"), "core"), "span-contexts")
-    equal = context.where("d0 < d1").select("core", "context")
-    whole = blocks.join(equal, ["core", "context"], "left_semi").select("doc", (F.col("at") - F.col("most")).alias("first"), (F.col("at") - F.col("least")).alias("last"))
+    alike = context.where("d0 < d1").select("core", "context")
+    new = blocks.where("d0 = d1")  # the others are among the equal ranges
+    whole = new.join(alike, ["core", "context"], "left_semi").select("doc", (F.col("at") - F.col("most")).alias("first"), (F.col("at") - F.col("least")).alias("last"))
 
     # cores with several contexts: compare their single spans, each context once
     rivals = context.where("n > 1").select("core", "context", "d0", "d1")
     spelled = (
-        blocks.join(rivals, ["core", "context"])
+        blocks.drop("d0", "d1").join(rivals, ["core", "context"])
         .groupBy("core", "context").agg(F.first(F.struct("before", "after", "least", "most", "d0", "d1")).alias("b"))
         .select("core", "context", "b.*").withColumn("x", F.explode(F.sequence("least", "most")))
         .withColumn("l", F.expr("right(before, x)")).withColumn("r", F.expr(f"left(after, {step - 1} - x)"))
@@ -260,8 +269,8 @@ def shared_blocks(documents: DataFrame, doc_id: str, text: str, *, min_chars: in
     agreed = spelled.groupBy(*key).agg(F.min("d0").alias("s0"), F.max("d1").alias("s1")).where("s0 < s1").select(*key)
     # equal contexts are done as a whole
     parts = spelled.where("d0 = d1").join(agreed, key, "left_semi").select("core", "context", "x")
-    single = blocks.join(parts, ["core", "context"]).select("doc", (F.col("at") - F.col("x")).alias("first"), (F.col("at") - F.col("x")).alias("last"))
-    return whole.unionByName(single)
+    single = new.join(parts, ["core", "context"]).select("doc", (F.col("at") - F.col("x")).alias("first"), (F.col("at") - F.col("x")).alias("last"))
+    return equal.unionByName(whole).unionByName(single)
 
 
 def shared_spans(documents: DataFrame, doc_id: str, text: str, *, min_chars: int = MIN_CHARS) -> DataFrame:
