@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tidemark.llm import leakage
 from tidemark.operators import shards
 from tidemark.plans import context
 
@@ -56,17 +55,6 @@ def test_actors_without_an_event_type_have_a_row(spark, tmp_path):
     assert rows(query(spark, str(tmp_path))) == [("b", 0, ""), ("d", 0, "")]
 
 
-@pytest.mark.parametrize("block", [1, 100, 400, 1000])
-def test_spans_are_whole_across_blocks(spark, block):
-    words = [f"w{i}" for i in range(60)]
-    text = lambda *parts: " ".join(w for a, b in parts for w in words[a:b])
-    items = spark.createDataFrame([(1, text((0, 60))), (2, text((10, 40))), (3, text((0, 15), (20, 35), (0, 15)))], "item_id long, text string")
-    docs = spark.createDataFrame([(7, "x, " + text((0, 60)) + "."), (8, text((5, 30), (45, 60))), (9, text((0, 15), (0, 15), (3, 50)))], "doc_id long, text string")
-    want = rows(leakage.leaked_items(items, docs, spans=True))
-    assert (1, 7, 3, len(text((0, 60))) + 3, 60) in want
-    assert rows(leakage.leaked_items(items, docs, spans=True, block_chars=block)) == want
-
-
 @pytest.mark.parametrize("parts", [1, 5])
 def test_positions_over_all_rows(spark, parts):
     a, b, c = [(i, i % 7) for i in range(0, 200, 2)], [(i, i % 7 if i % 5 else None) for i in range(0, 210, 2)], [(i, 0) for i in range(50, 90)]
