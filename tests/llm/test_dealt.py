@@ -186,7 +186,6 @@ def test_leakage_against_brute_force(spark):
     runs = lambda t: {tuple(w[i : i + 13]) for w in [_words(t or "")] for i in range(len(w) - 12)}
     want = sorted((i, d) for i, t in items for d, u in docs if runs(t) & runs(u))
     assert rows(leakage.leaked_items(a, b)) == want and want
-    assert rows(leakage.leaked_items(a, b, block_chars=300)) == want
     found = leakage.leaked_items(a, b, spans=True).collect()
     assert {(x.item_id, x.doc_id) for x in found} == set(want)
     for x in found:
@@ -194,6 +193,46 @@ def test_leakage_against_brute_force(spark):
         assert len(w) == x.n_words >= 13 and {tuple(w[i : i + 13]) for i in range(len(w) - 12)} <= runs(dict(items)[x.item_id])
 
 
+@pytest.mark.parametrize(("least", "stretch", "hits"), [(13, 512, 1 << 20), (13, 7, 3), (4, 5, 2), (1, 3, 1), (2, 4, 5)])
+def test_automaton_against_brute_force(monkeypatch, least, stretch, hits):
+    import numpy as np
+
+    monkeypatch.setattr(leakage, "STRETCH", stretch)
+    monkeypatch.setattr(leakage, "HITS", hits)
+    r = random.Random(least * stretch)
+    items = [[r.choice("abc") for _ in range(r.randrange(40))] for _ in range(12)]
+    doc = [r.choice("abcx") for _ in range(60)] + items[3] + ["x"] + items[5] + items[6]
+    vocabulary = list("abc")
+    numbers = np.array([vocabulary.index(w) for i in items for w in i])
+    parts = leakage.Automaton.build(np.arange(12), np.array([len(i) for i in items]), numbers, vocabulary, least)
+    a = leakage.Automaton(parts)
+    flat = np.array([-1, *[a.number.get(w, -1) for w in doc], -1])
+    item, first, n = leakage._runs(a, flat, least, True)
+    want = set()
+    for k, words in enumerate(items):
+        for i in range(len(words)):
+            for j in range(len(doc)):
+                if i and j and words[i - 1] == doc[j - 1]:
+                    continue
+                m = 0
+                while i + m < len(words) and j + m < len(doc) and words[i + m] == doc[j + m]:
+                    m += 1
+                if m >= least:
+                    want.add((k, j + 1, m))
+    assert set(zip(item.tolist(), first.tolist(), n.tolist())) == want and want
+    assert {(i, f) for i, f, _ in zip(*[c.tolist() for c in leakage._runs(a, flat, least, False)])} <= {(k, j + d) for k, j, m in want for d in range(m)}
+
+
+def test_spans_are_whole(spark):
+    words = [f"w{i}" for i in range(60)]
+    text = lambda *parts: " ".join(w for a, b in parts for w in words[a:b])
+    items = spark.createDataFrame([(1, text((0, 60))), (2, text((10, 40))), (3, text((0, 15), (20, 35), (0, 15)))], "item_id long, text string")
+    docs = spark.createDataFrame([(7, "x, " + text((0, 60)) + "."), (8, text((5, 30), (45, 60))), (9, text((0, 15), (0, 15), (3, 50)))], "doc_id long, text string")
+    want = rows(leakage.leaked_items(items, docs, spans=True))
+    assert (1, 7, 3, len(text((0, 60))) + 3, 60) in want and (1, 8, 0, len(text((5, 30))), 25) in want
+    assert {x[:2] for x in want} == {tuple(x) for x in leakage.leaked_items(items, docs).collect()}
+
+
 def test_leakage_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")

@@ -145,6 +145,15 @@ WITH RECURSIVE raw AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNI
 w AS (SELECT side, id, regexp_extract_all(replace(replace(text, chr(173), ''), chr(8203), ''), '[\\p{L}\\p{N}]+') AS ws FROM raw WHERE text IS NOT NULL),
 g AS (SELECT DISTINCT side, id, lower(array_to_string(list_slice(ws, i, i + 12), ' ')) AS g FROM (SELECT side, id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13))
 """
+_PLACES = """
+WITH RECURSIVE raw AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM eval_items),
+w AS (SELECT side, id, regexp_extract_all(text, '[\\p{L}\\p{N}](?:[\\x{AD}\\x{200B}]*[\\p{L}\\p{N}])*') AS ws, string_split_regex(text, '[\\p{L}\\p{N}](?:[\\x{AD}\\x{200B}]*[\\p{L}\\p{N}])*') AS gs FROM raw WHERE text IS NOT NULL),
+u AS (SELECT side, id, ws, gs, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) >= 13),
+o AS (SELECT side, id, i, lower(replace(replace(ws[i], chr(173), ''), chr(8203), '')) AS word, length(ws[i]) AS n, sum(length(gs[i]) + CASE WHEN i > 1 THEN length(ws[i - 1]) ELSE 0 END) OVER (PARTITION BY side, id ORDER BY i)::bigint AS begun FROM u),
+g AS (SELECT side, id, i, begun, last_value(begun + n) OVER r AS stop, string_agg(word, ' ') OVER r AS g, count(*) OVER r AS n FROM o WINDOW r AS (PARTITION BY side, id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+m AS (SELECT i.id AS item_id, d.id AS doc_id, d.i, d.i - i.i AS shift, d.begun, d.stop FROM g i JOIN g d USING (g) WHERE i.side = 'i' AND d.side = 'd' AND i.n = 13 AND d.n = 13),
+n AS (SELECT *, i - row_number() OVER (PARTITION BY item_id, doc_id, shift ORDER BY i) AS run FROM m)
+"""
 _SPANS = """
 WITH s AS (SELECT doc_id, i, md5(substr(text, i + 1, 400)) AS h FROM (SELECT doc_id, text, unnest(range(0, length(text) - 399)) AS i FROM documents WHERE length(text) >= 400)),
 k AS (SELECT h FROM s GROUP BY h HAVING min(doc_id) < max(doc_id)),
@@ -163,6 +172,7 @@ e AS (SELECT DISTINCT a.f AS a, b.f AS b FROM k a JOIN k b USING (h) WHERE NOT r
 c AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a)
 SELECT a AS fixture_a, b AS fixture_b FROM c WHERE a < b""",
     "p7_found": _WORDS + "SELECT DISTINCT i.id AS item_id, d.id AS doc_id FROM g i JOIN g d USING (g) WHERE i.side = 'i' AND d.side = 'd'",
+    "p7_spans": _PLACES + """SELECT DISTINCT item_id, doc_id, min(begun)::bigint AS start, max(stop)::bigint AS "end", count(*) + 12 AS n_words FROM n GROUP BY item_id, doc_id, shift, run""",
     "p9_found": _SPANS + "SELECT DISTINCT doc_id FROM f",
     "p9_spans": _SPANS + """, n AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS g FROM f)
 SELECT doc_id, min(i) AS start, max(i) - min(i) + 400 AS length FROM n GROUP BY doc_id, g""",
