@@ -23,12 +23,19 @@ def stream_table(spark: SparkSession, root: str, name: str, *, time: str | None
     path = f"{root}/{name}.parquet*"
     stored = spark.read.parquet(f"{root}/{name}.parquet")
     if time and (n := len(stored.inputFiles())) > files_per_batch:
-        path = scratch(spark, f"{name}-by-time")
-        stored.repartitionByRange(n, time).write.option("maxRecordsPerFile", 0).parquet(path)
-        _date_in_order(spark, path)
+        return ordered_stream(stored, [time], files=n, files_per_batch=files_per_batch)
     return spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def ordered_stream(rows: DataFrame, order: list[str], *, files: int, files_per_batch: int) -> DataFrame:
+    """Stored rows as a file stream in ``order``, ``files_per_batch`` of its ``files`` a batch."""
+    spark = rows.sparkSession
+    path = scratch(spark, "in-order")
+    rows.repartitionByRange(files, *order).write.option("maxRecordsPerFile", 0).parquet(path)
+    _date_in_order(spark, path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
 def _date_in_order(spark: SparkSession, path: str) -> None:
     """Date the part files by their numbers, a second apart: a file stream takes the oldest first."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
