@@ -86,12 +86,12 @@ def _nearest_brute(left, right, tol):
     return out
 
 
-@pytest.mark.parametrize("block", [40, 1000, 10**9])
-def test_nearest_against_brute_force(spark, block):
+@pytest.mark.parametrize(("block", "hot"), [(40, 5), (1000, 20_000), (10**9, 50)])
+def test_nearest_against_brute_force(spark, block, hot):
     r = random.Random(block)
     left = [(i, r.choice(["a", "a", "a", "b", None]), r.choice([r.randrange(2000), r.randrange(5) * 100, None]), 0, 0, 0, 0) for i in range(600)]
     right = [(i, r.choice(["a", "b", None]), r.choice([r.randrange(2000), r.randrange(5) * 100 + 20, None]), "") for i in range(200)]
-    assert _nearest(spark, left, right, tolerance_us=20, block_us=block) == _nearest_brute(left, right, 20)
+    assert _nearest(spark, left, right, tolerance_us=20, block_us=block, hot=hot) == _nearest_brute(left, right, 20)
 
 
 def test_nearest_boundary_ties_and_empty(spark):
@@ -101,7 +101,7 @@ def test_nearest_boundary_ties_and_empty(spark):
     assert _nearest(spark, left, [], tolerance_us=10) == {} == _nearest(spark, [], right, tolerance_us=10)
 
 
-def test_nearest_stream_equals_replay(spark, tmp_path):
+def test_nearest_stream_against_brute_force(spark, tmp_path):
     r = random.Random(4)
     left = [(i, r.choice("ab"), r.randrange(1, 3000), 0, 0, 0, 0) for i in range(200)]
     right = [(i, r.choice("ab"), r.randrange(1, 3000), "") for i in range(80)]

@@ -3,15 +3,22 @@
 ``NearestBuffer`` is the state of a streaming join. It buffers both sides; when
 the watermark passes a left row's tolerance horizon, the row is decided and
 emitted, and candidates that no open or future left row can reach are evicted.
-``nearest_stream`` runs it inside Structured Streaming, keyed by entity.
-``nearest_time_join`` replays stored tables through the same buffer: rows come
-sorted by time, so the time just read is the watermark.
-
-Scale: the replay's key is (entity, time block, salt). Left rows go to their
-block and a salt; right rows, which are few, to every salt of each block they
-can reach. A hot entity thus spreads over its blocks, a hot block over salts,
-and a task holds one batch and one tolerance window. Entities travel as two
-independent 64-bit hashes, whatever their length.
+``nearest_stream`` runs it inside Structured Streaming. ``nearest_time_join``
+runs the same stream over stored tables: it writes both sides in the order of
+time, so that a batch holds no instant before those of earlier batches and what
+a batch has reached is its own watermark, and ends them with a flush row for
+every shard.
+
+Scale: a row's key is (entity, time block, salt). Left rows go to their block
+and a salt; right rows to every salt of each block they can reach. A hot entity
+thus spreads over its blocks. Blocks with more than ``hot`` left rows get as
+many salts as they hold that number, counted beforehand, so one instant with a
+third of all rows spreads over all cores; other blocks have one, and nothing is
+copied for them. Keys are grouped into shards, four for each shuffle partition,
+so that a batch makes few calls, each on whole arrays. A task holds its shards'
+rows of a batch; between batches the state is what two tolerances reach, as
+lists of numbers. Entities travel as two independent 64-bit hashes, whatever
+their length.
 
 Defined cases: a null entity or time matches nothing; at equal distance the
 earlier right row wins, at the same instant the smallest id; repeated left rows
@@ -21,130 +28,156 @@ an empty result. Names are internal until the end, so extra columns cannot clash
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-RIGHT, LEFT = 0, 1
+from tidemark.session import materialize
+from tidemark.streaming.jobs import drain, ordered_stream
+
+RIGHT, LEFT, FLUSH = 0, 1, 2
+HOUR_US = 3_600_000_000
+#: Left rows of an entity and time block that one salt takes.
+HOT = 20_000
+FIELDS = ["k1", "k2", "t", "kind", "id"]
+#: The watermark column is kept after 1970, where the first watermark lies, and inside what pandas can hold.
+_FIRST, _LAST = 1_000_000, 9_000_000_000_000_000
 
 
 class NearestBuffer:
-    """Rows (group, time, kind, id) that may still match or be matched."""
+    """Rows (key, key, time, kind, id) that may still match or be matched."""
 
     def __init__(self, tolerance: int, rows: np.ndarray | None = None) -> None:
         self.tolerance = tolerance
-        self.rows = np.empty((4, 0), np.int64) if rows is None else rows
+        self.rows = np.empty((5, 0), np.int64) if rows is None else rows
 
     def push(self, rows: np.ndarray) -> None:
         """Add rows in any order."""
         self.rows = np.concatenate([self.rows, rows], axis=1)
 
-    def advance(self, watermark: int, open_group: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """(left ids, right ids) decided once time has passed ``watermark``.
+    def advance(self, watermark: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """(left ids, right ids) decided once time has passed ``watermark``; None is the end of time.
 
-        Groups other than ``open_group`` are complete. Unmatched left rows are
-        dropped when their horizon passes.
+        Unmatched left rows are dropped when their horizon passes.
         """
-        g, t, kind, ids = self.rows = self.rows[:, np.lexsort((self.rows[3], self.rows[2], self.rows[1], self.rows[0]))]
+        g, h, t, kind, ids = self.rows = self.rows[:, np.lexsort(self.rows[::-1])]
         n, at = len(t), np.arange(len(t))
         if not n:
             return ids, ids
-        still = (g == open_group) if open_group is not None else np.zeros(n, bool)
-        due = (kind == LEFT) & (~still | (t + self.tolerance < watermark))
-        change = np.r_[True, (g[1:] != g[:-1]) | (t[1:] != t[:-1])]
+        due = kind == LEFT
+        if watermark is not None:
+            due &= t + self.tolerance < watermark
+        change = np.r_[True, (g[1:] != g[:-1]) | (h[1:] != h[:-1]) | (t[1:] != t[:-1])]
         first = np.maximum.accumulate(np.where(change, at, 0))  # smallest id of the instant
         before = np.maximum.accumulate(np.where(kind == RIGHT, at, -1))
         after = np.minimum.accumulate(np.where(kind == RIGHT, at, n)[::-1])[::-1]
         p, f = first[np.maximum(before, 0)], np.minimum(after, n - 1)
         far = np.iinfo(np.int64).max
-        back = np.where((before >= 0) & (g[p] == g), t - t[p], far)
-        ahead = np.where((after < n) & (g[f] == g), t[f] - t, far)
+        back = np.where((before >= 0) & (g[p] == g) & (h[p] == h), t - t[p], far)
+        ahead = np.where((after < n) & (g[f] == g) & (h[f] == h), t[f] - t, far)
         best, gap = np.where(back <= ahead, p, f), np.minimum(back, ahead)
         out = due & (gap <= self.tolerance)
-        keep = still & np.where(kind == LEFT, ~due, t >= watermark - 2 * self.tolerance)
+        keep = np.zeros(n, bool) if watermark is None else np.where(kind == LEFT, ~due, t >= watermark - 2 * self.tolerance)
         self.rows = self.rows[:, keep]
         return ids[out], ids[best[out]]
 
 
-def _replay(tolerance: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buffer, last, number = NearestBuffer(tolerance), None, 0
+def _step(tolerance: int, in_order: bool):
+    def step(key, frames, state: GroupState):
+        buffer = NearestBuffer(tolerance, np.array(state.get, np.int64).reshape(5, -1) if state.exists else None)
+        mark, last = state.getCurrentWatermarkMs() * 1000, False
+        for f in frames:
+            rows = f[FIELDS].to_numpy(np.int64).T
+            flush = rows[3] == FLUSH
+            last |= bool(flush.any())
+            buffer.push(rows[:, ~flush])
+        if in_order and buffer.rows.shape[1]:
+            mark = max(mark, int(buffer.rows[2].max()))
+        l, r = buffer.advance(None if last else mark)
+        if buffer.rows.shape[1]:
+            state.update(tuple(x.tolist() for x in buffer.rows))
+            open_left = buffer.rows[2][buffer.rows[3] == LEFT]
+            horizon = int(open_left.min() + tolerance if len(open_left) else buffer.rows[2].max() + 2 * tolerance)
+            state.setTimeoutTimestamp(min(max(horizon, state.getCurrentWatermarkMs() * 1000), _LAST) // 1000 + 1)
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({"l": l, "r": r})
 
-        def emit(decided):
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in decided], ["l", "r"])
+    return step
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4)])
-            t, kind, ids = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4, 7))
-            new = np.r_[last is None or (keys[:, 0] != last).any(), (keys[:, 1:] != keys[:, :-1]).any(axis=0)]
-            group = number + np.cumsum(new)
-            number, last = int(group[-1]), keys[:, -1]
-            buffer.push(np.stack([group, t, kind, ids]))
-            yield emit(buffer.advance(int(t[-1]), number))
-        yield emit(buffer.advance(0, None))
 
-    return run
+def _joined(rows: DataFrame, tolerance_us: int, delay: str, *, in_order: bool) -> DataFrame:
+    """Stream of (shard, k1, k2, t, kind, id, ts) to (l, r)."""
+    return rows.withWatermark("ts", delay).groupBy("shard").applyInPandasWithState(
+        _step(tolerance_us, in_order), "l long, r long", ", ".join(f"{f} array<bigint>" for f in FIELDS), "append", GroupStateTimeout.EventTimeTimeout
+    )
 
 
-def _reach(c: Column, block_us: int) -> Column:
+def _block(c: Column, block_us: int) -> Column:
     return F.floor(c / F.lit(block_us)).cast("long")
 
 
+def _blocks(block_us: int, tolerance_us: int) -> Column:
+    """Blocks that a right row reaches."""
+    return F.explode(F.sequence(_block(F.col("t") - tolerance_us, block_us), _block(F.col("t") + tolerance_us, block_us)))
+
+
+def _side(rows: DataFrame, entity: Column, time: Column, id_: str, kind: int) -> DataFrame:
+    return rows.where(entity.isNotNull() & time.isNotNull()).select(
+        F.xxhash64(entity).alias("e1"), F.xxhash64(F.lit("other"), entity).alias("e2"), time.cast("long").alias("t"), F.lit(kind).alias("kind"), F.col(id_).cast("long").alias("id")
+    )
+
+
+def _keyed(rows: DataFrame, shards: int) -> DataFrame:
+    """Rows (e1, e2, b, s, t, kind, id) as the stream takes them."""
+    keys = rows.select(F.xxhash64("e1", "b", "s").alias("k1"), F.xxhash64("e2", "b", "s", F.lit("other")).alias("k2"), "t", "kind", "id")
+    return keys.select(F.pmod("k1", F.lit(shards)).cast("int").alias("shard"), *FIELDS, F.timestamp_micros(F.greatest(F.least("t", F.lit(_LAST)), F.lit(_FIRST))).alias("ts"))
+
+
+def _shards(rows: DataFrame) -> int:
+    return 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def nearest_time_join(
     left: DataFrame, left_id: str, left_entity: Column, left_time: Column,
     right: DataFrame, right_id: str, right_entity: Column, right_time: Column,
-    *, tolerance_us: int, block_us: int = 3_600_000_000, salts: int = 4,
+    *, tolerance_us: int, block_us: int = HOUR_US, hot: int = HOT,
 ) -> DataFrame:
     """Rows (left_id, right_id): each left row with its nearest right row. Both ids are BIGINT."""
     if left_id == right_id:
         raise ValueError("the id columns need different names")
-    k = lambda e: (F.xxhash64(e).alias("k1"), F.xxhash64(F.lit("other"), e).alias("k2"))
-    a = left.where(left_entity.isNotNull() & left_time.isNotNull()).select(
-        *k(left_entity), _reach(left_time, block_us).alias("b"), F.pmod(F.xxhash64(F.col(left_id)), F.lit(salts)).cast("int").alias("s"),
-        left_time.cast("long").alias("t"), F.lit(LEFT).alias("kind"), F.col(left_id).cast("long").alias("id"),
-    )
-    c = right.where(right_entity.isNotNull() & right_time.isNotNull()).select(
-        *k(right_entity), right_time.cast("long").alias("t"), F.lit(RIGHT).alias("kind"), F.col(right_id).cast("long").alias("id"),
-    )
-    c = c.withColumn("b", F.explode(F.sequence(_reach(F.col("t") - tolerance_us, block_us), _reach(F.col("t") + tolerance_us, block_us))))
-    c = c.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    key = ["k1", "k2", "b", "s"]
-    rows = a.unionByName(c).select(*key, "t", "kind", "id").repartition(*key).sortWithinPartitions(*key, "t", "kind", "id")
-    return rows.mapInArrow(_replay(tolerance_us), f"`l` long, `r` long").select(F.col("l").alias(left_id), F.col("r").alias(right_id))
-
-
-def nearest_stream(events: DataFrame, *, tolerance_us: int, delay: str) -> DataFrame:
+    spark, key = left.sparkSession, ["e1", "e2", "b"]
+    a = _side(left, left_entity, left_time, left_id, LEFT).withColumn("b", _block(F.col("t"), block_us))
+    c = _side(right, right_entity, right_time, right_id, RIGHT).withColumn("b", _blocks(block_us, tolerance_us))
+    heavy = materialize(a.groupBy(*key).agg(F.ceil(F.count("*") / hot).cast("int").alias("salts")).where("salts > 1"), "hot-blocks")
+    salts = F.coalesce("salts", F.lit(1))
+    a = a.join(heavy, key, "left").withColumn("s", F.pmod(F.xxhash64("id"), salts).cast("int"))
+    c = c.join(heavy, key, "left").withColumn("s", F.explode(F.sequence(F.lit(0), salts - 1)))
+    shards, cores = _shards(left), spark.sparkContext.defaultParallelism
+    rows = _keyed(a.select(*key, "s", "t", "kind", "id").unionByName(c.select(*key, "s", "t", "kind", "id")), shards)
+    end = spark.range(shards).select(F.col("id").cast("int").alias("shard"), *[F.lit(FLUSH if f == "kind" else 0).cast("long").alias(f) for f in FIELDS], F.timestamp_micros(F.lit(_LAST)).alias("ts"))
+    rows = rows.withColumn("kind", F.col("kind").cast("long")).unionByName(end).withColumn("last", F.col("kind") == FLUSH)
+    files = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    feed = ordered_stream(rows, ["last", "t", "id"], files=files, files_per_batch=cores).drop("last")
+    # rows of one instant may lie in two batches
+    out = drain(_joined(feed, tolerance_us, "1 second", in_order=True), "nearest")
+    return out.select(F.col("l").alias(left_id), F.col("r").alias(right_id))
+
+
+def nearest_stream(events: DataFrame, *, tolerance_us: int, delay: str, block_us: int = HOUR_US, salts: int = 1) -> DataFrame:
     """Streaming form over (entity STRING, ts TIMESTAMP, side INT, id BIGINT).
 
     ``side`` is 0 for candidates, 1 for rows to be matched; ``delay`` is the
     lateness both sides may have. A row that comes later than that is dropped
-    by the watermark. Emits (entity, left_id, right_id).
+    by the watermark. Emits (left_id, right_id).
     """
-
-    def step(key, frames, state: GroupState):
-        buffer = NearestBuffer(tolerance_us, pickle.loads(state.get[0]) if state.exists else None)
-        for f in frames:
-            us = f["ts"].astype("datetime64[us]").astype("int64").to_numpy()
-            buffer.push(np.stack([np.zeros(len(f), np.int64), us, f["side"].to_numpy(np.int64), f["id"].to_numpy(np.int64)]))
-        mark = state.getCurrentWatermarkMs() * 1000
-        l, r = buffer.advance(mark, 0)
-        if buffer.rows.shape[1]:
-            state.update((pickle.dumps(buffer.rows),))
-            open_left = buffer.rows[1][buffer.rows[2] == LEFT]
-            horizon = int(open_left.min() + tolerance_us if len(open_left) else buffer.rows[1].max() + 2 * tolerance_us)
-            state.setTimeoutTimestamp(max(horizon, mark) // 1000 + 1)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame({"entity": [key[0]] * len(l), "left_id": l, "right_id": r})
-
-    return events.withWatermark("ts", delay).groupBy("entity").applyInPandasWithState(
-        step, "entity string, left_id long, right_id long", "rows binary", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    t = F.unix_micros("ts")
+    rows = events.where("entity IS NOT NULL AND ts IS NOT NULL").select(F.xxhash64("entity").alias("e1"), F.xxhash64(F.lit("other"), "entity").alias("e2"), t.alias("t"), F.col("side").cast("long").alias("kind"), F.col("id").cast("long").alias("id"))
+    own = F.array(_block(F.col("t"), block_us))
+    reach = F.sequence(_block(F.col("t") - tolerance_us, block_us), _block(F.col("t") + tolerance_us, block_us))
+    rows = rows.withColumn("b", F.explode(F.when(F.col("kind") == LEFT, own).otherwise(reach)))
+    one = F.array(F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    rows = rows.withColumn("s", F.explode(F.when(F.col("kind") == LEFT, one).otherwise(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    return _joined(_keyed(rows, _shards(events)), tolerance_us, delay, in_order=False).select(F.col("l").alias("left_id"), F.col("r").alias("right_id"))
