@@ -39,7 +39,6 @@ from tidemark.session import materialize
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-tokenizing pattern that belongs to this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BUCKETS = 4096
 #: Longest piece given to the tokenizer at once, cut at a blank before a letter.
 PIECE = 1 << 17
 
@@ -86,6 +85,11 @@ def count_tokens(documents: DataFrame, *, tokenizer: str = TOKENIZER) -> DataFra
     return rows.mapInArrow(_count(tokenizer), "doc_id long, source string, tokens long")
 
 
+def count_chars(documents: DataFrame) -> DataFrame:
+    """The same with code points in place of tokens, where no tokenizer is at hand."""
+    return documents.select(F.col("doc_id").cast("long"), source_key(F.col("source")).alias("source"), F.char_length("text").cast("long").alias("tokens")).where("text IS NOT NULL")
+
+
 def water_fill(shares: dict[str, float], capacity: dict[str, float], total: float | None = None) -> dict[str, float]:
     """Tokens of each source: its share of ``total``, at most its capacity."""
     open_ = {s for s in shares if shares[s] > 0 and capacity.get(s, 0) > 0}
@@ -135,7 +139,7 @@ def draw_mixture(counts: DataFrame, plan: list[tuple], *, seed: int = 11) -> Dat
             whole = min(int(given // tokens + 1e-12), cap)
             drawn.append((source, whole, given - whole * tokens if whole < cap else 0.0))
     choice = F.broadcast(spark.createDataFrame(drawn, "source string, whole int, rest double"))  # one row a target source
-    rows = counts.where("tokens > 0").join(choice, "source").withColumn("__h", F.xxhash64("doc_id", F.lit(seed))).withColumn("__b", F.pmod("__h", F.lit(BUCKETS)))
+    rows = counts.where("tokens > 0").join(choice, "source").withColumn("__h", F.sha2(F.concat_ws("|", F.lit(seed), "doc_id"), 256)).withColumn("__b", F.conv(F.substring("__h", 1, 3), 16, 10).cast("int"))
     sums = rows.groupBy("source", "__b").agg(F.sum("tokens").alias("__w"))
     base = F.coalesce(F.sum("__w").over(W.partitionBy("source").orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     sums = sums.withColumn("__base", base)
@@ -151,11 +155,15 @@ def draw_mixture(counts: DataFrame, plan: list[tuple], *, seed: int = 11) -> Dat
 
 def mixture(documents: DataFrame, targets: DataFrame, *, total: float | None = None, tokenizer: str = TOKENIZER, seed: int = 11) -> tuple[DataFrame, DataFrame]:
     """The mixture, and the report of shares reached."""
-    counts = materialize(count_tokens(documents, tokenizer=tokenizer), "token-counts")
+    return mix(materialize(count_tokens(documents, tokenizer=tokenizer), "token-counts"), targets, total=total, seed=seed)
+
+
+def mix(counts: DataFrame, targets: DataFrame, *, total: float | None = None, seed: int = 11) -> tuple[DataFrame, DataFrame]:
+    """The same from stored sizes (doc_id, source, tokens), whatever they count."""
     plan = plan_mixture(counts, targets, total=total)
     drawn = draw_mixture(counts, plan, seed=seed)
     got = drawn.groupBy("source").agg(F.sum(F.col("tokens") * F.col("n_copies")).alias("mixed"), F.count("*").alias("docs"), F.max("n_copies").alias("most"))
-    named = documents.sparkSession.createDataFrame(plan, "source string, target_share double, max_repeats int, tokens long, planned double")
+    named = counts.sparkSession.createDataFrame(plan, "source string, target_share double, max_repeats int, tokens long, planned double")
     whole = F.sum(F.coalesce("mixed", F.lit(0))).over(W.partitionBy())  # one row a target source
     report = named.join(F.broadcast(got), "source", "left").select(
         "source", "target_share", "max_repeats", F.col("tokens").alias("source_tokens"), F.round("planned", 3).alias("planned_tokens"), F.coalesce("mixed", F.lit(0)).cast("long").alias("mixed_tokens"),

@@ -13,8 +13,9 @@ decides.
 
 Texts too short for a positive threshold are listed under the strings that
 deleting up to two characters leaves. A text of which another is a prefix of at
-least 40 characters is found by equality on its prefixes of the lengths that
-occur among texts of the same first 40 characters.
+least 40 characters is found by equality of 128-bit digests on its prefixes of
+the lengths that occur among texts of the same first 40 characters: a prefix of
+a long text has no useful cosine, since the rest of the text outweighs it.
 
 Scale: equal texts are one class, joined once and counted by numbers; a class
 with a third of all records is one row of the join. Term rarity is taken over
@@ -216,12 +217,14 @@ def overlapping_classes(classes: DataFrame, *, q: int = GRAM, edits: int = EDITS
     dotted = pairs.join(text("a"), "a").join(text("b"), "b").mapInPandas(_dots(shared, q), "a long, b long, least double, ta string, tb string, dot double, cosine double")
     near = dotted.where("dot >= least * (1 - 1e-9)").where(F.levenshtein("ta", "tb", edits) >= 0).select(F.col("a").alias("train_cid"), F.col("b").alias("eval_cid"), "cosine")
 
-    long_ = classes.where(F.char_length("t") >= prefix).withColumn("p", F.substring("t", 1, prefix)).withColumn("len", F.char_length("t"))
+    digest = lambda c: (F.xxhash64(c).alias("k1"), F.xxhash64(F.lit("other"), c).alias("k2"))
+    long_ = classes.where(F.char_length("t") >= prefix).select("cid", "n_train", "n_eval", "t", F.char_length("t").alias("len"), F.xxhash64(F.substring("t", 1, prefix)).alias("p"))
     heads = long_.groupBy("p").agg(F.collect_set("len").alias("lens"), F.sum("n_train").alias("nt"), F.sum("n_eval").alias("ne")).where("nt > 0 AND ne > 0 AND size(lens) > 1").select("p", "lens")
-    family = long_.join(heads, "p")
-    longer = family.withColumn("len", F.explode(F.filter("lens", lambda x: x < F.col("len")))).select("cid", "n_train", "n_eval", F.expr("left(t, len)").alias("t"))
-    shorter = family.select(F.col("cid").alias("c2"), F.col("n_train").alias("t2"), F.col("n_eval").alias("e2"), "t")
-    begun = longer.join(shorter, "t")
+    family = materialize(long_.join(heads, "p"), "head-families")
+    # one narrow row for each length of the family, not one copy of the text
+    longer = family.select("cid", "n_train", "n_eval", "t", F.explode(F.filter("lens", lambda x: x < F.col("len"))).alias("len")).select("cid", "n_train", "n_eval", "len", *digest(F.expr("left(t, len)")))
+    shorter = family.select(F.col("cid").alias("c2"), F.col("n_train").alias("t2"), F.col("n_eval").alias("e2"), "len", *digest(F.col("t")))
+    begun = longer.join(shorter, ["k1", "k2", "len"])
     starts = begun.where("n_train > 0 AND e2 > 0").select(F.col("cid").alias("train_cid"), F.col("c2").alias("eval_cid")).unionByName(
         begun.where("t2 > 0 AND n_eval > 0").select(F.col("c2").alias("train_cid"), F.col("cid").alias("eval_cid"))
     ).withColumn("cosine", F.lit(None).cast("double"))

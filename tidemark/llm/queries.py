@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import epoch_us, hex_ident, ident, outer_trim, unit_price
 from tidemark.llm import leakage, mixture, nearest, overlap, spans, splits
-from tidemark.session import table
+from tidemark.session import materialize, table
 
 
 def _transactions(spark: SparkSession, root: str) -> DataFrame:
@@ -52,6 +52,12 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return splits.linked_pairs(labels).select(F.col("a").alias("fixture_a"), F.col("b").alias("fixture_b"))
 
 
+def p5_classes(spark: SparkSession, root: str) -> DataFrame:
+    """Every fixture that shares transactions with another, the smallest fixture of its class and the class's size."""
+    labels = splits.components(splits.shared_key_edges(_trade_keys(spark, root), "fixture", "tx"))
+    return splits.membership(labels).select(F.col("v").alias("fixture"), F.col("root").alias("class"), F.col("size").alias("n_fixtures"))
+
+
 def _stage(c: F.Column) -> F.Column:
     s = F.regexp_replace(ident(c), "[^a-z0-9]+", " ")
     return (
@@ -104,6 +110,22 @@ def p8_report(spark: SparkSession, root: str) -> DataFrame:
     return mixture.mixture(table(spark, root, "documents"), table(spark, root, "mix_targets"))[1]
 
 
+def _capped(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    sizes = materialize(mixture.count_chars(table(spark, root, "documents")), "sizes")
+    whole = sizes.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    return mixture.mix(sizes, table(spark, root, "mix_targets"), total=float(whole))
+
+
+def p8_capped(spark: SparkSession, root: str) -> DataFrame:
+    """A mixture as large as all documents together, by characters: sources short of their share are clamped and the rest redistributed."""
+    return _capped(spark, root)[0]
+
+
+def p8_capped_report(spark: SparkSession, root: str) -> DataFrame:
+    """Target, planned and reached share of every source of ``p8_capped``."""
+    return _capped(spark, root)[1].select("source", "target_share", "max_repeats", F.col("source_tokens").alias("source_chars"), F.col("planned_tokens").alias("planned_chars"), F.col("mixed_tokens").alias("mixed_chars"), "n_documents", "most_copies", "share_reached")
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
     """Documents with a long span of another, as TESTDATA.md defines them."""
     return spans.shared_blocks(table(spark, root, "documents"), "doc_id", "text").select(F.col("doc").alias("doc_id")).distinct()
@@ -122,7 +144,7 @@ def p9_shared_part(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_counts, p2_found, p2_prices, p5_found, p5_rows, p5_report, p7_found, p7_spans, p8_mixture, p8_report, p9_found, p9_spans, p9_shared_part)
+    for f in (p1_found, p1_counts, p2_found, p2_prices, p5_found, p5_classes, p5_rows, p5_report, p7_found, p7_spans, p8_mixture, p8_report, p8_capped, p8_capped_report, p9_found, p9_spans, p9_shared_part)
 }
 
 _WS = "' ' || chr(9) || chr(10) || chr(13)"
@@ -160,6 +182,37 @@ k AS (SELECT h FROM s GROUP BY h HAVING min(doc_id) < max(doc_id)),
 f AS (SELECT doc_id, i FROM s SEMI JOIN k USING (h))
 """
 
+_KEY = f"replace(lower(trim(source, {_WS})), '_', '-')"
+_MIX = f"""
+WITH d AS (SELECT doc_id, {_KEY} AS source, length(text)::bigint AS tokens FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+a AS (SELECT {_KEY} AS source, sum(CASE WHEN target_share > 0 THEN target_share ELSE 0 END) AS share, greatest(coalesce(max(max_repeats), 0), 0) AS repeats FROM mix_targets WHERE source IS NOT NULL GROUP BY 1),
+h AS (SELECT source, sum(tokens)::bigint AS tokens FROM d WHERE tokens > 0 GROUP BY source),
+b AS (SELECT source, share, repeats, coalesce(tokens, 0) AS tokens, (coalesce(tokens, 0) * repeats)::double AS cap FROM a LEFT JOIN h USING (source)),
+o AS (SELECT source, cap / share AS r, row_number() OVER (ORDER BY cap / share, source) AS i, ((SELECT sum(tokens) FROM d) - coalesce(sum(cap) OVER (ORDER BY cap / share, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(share) OVER (ORDER BY cap / share, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM b WHERE share > 0 AND cap > 0),
+p AS (SELECT b.*, CASE WHEN share > 0 AND cap > 0 THEN least(cap, coalesce((SELECT arg_min(level, i) FROM o WHERE level <= r), 1e300) * share) ELSE 0.0 END AS planned FROM b),
+c AS (SELECT source, least(floor(planned / tokens + 1e-12), repeats) AS whole, CASE WHEN floor(planned / tokens + 1e-12) < repeats THEN planned - floor(planned / tokens + 1e-12) * tokens ELSE 0 END AS rest FROM p WHERE tokens > 0 AND planned > 0),
+drawn AS (SELECT doc_id, source, tokens, (whole + CASE WHEN sum(tokens) OVER (PARTITION BY source ORDER BY sha256('11|' || doc_id), doc_id) - tokens / 2 <= rest THEN 1 ELSE 0 END)::bigint AS n_copies FROM d JOIN c USING (source) WHERE tokens > 0)
+"""
+_COMPONENTS = f"""
+WITH RECURSIVE t AS (SELECT trade_row_id, lower(trim(fixture_id, {_WS})) AS f, CASE WHEN NOT regexp_full_match(regexp_replace(lower(trim(transaction_hash, {_WS})), '^0x', ''), '0*') THEN regexp_replace(lower(trim(transaction_hash, {_WS})), '^0x', '') END AS h FROM trades),
+k AS (SELECT DISTINCT f, h FROM t WHERE f IS NOT NULL AND h IS NOT NULL),
+e AS (SELECT DISTINCT a.f AS a, b.f AS b FROM k a JOIN k b USING (h) WHERE a.f <> b.f),
+c AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a),
+l AS (SELECT a AS v, least(a, min(b)) AS root FROM c GROUP BY a)
+"""
+_UNITS = f""", kf AS (SELECT h, min(f) AS f FROM k GROUP BY h),
+u AS (SELECT t.trade_row_id, t.f, coalesce('v:' || coalesce(l.root, t.f, kf.f), 'k:' || t.h, 'r:' || t.trade_row_id) AS unit FROM t LEFT JOIN kf ON t.f IS NULL AND t.h = kf.h LEFT JOIN l ON l.v = coalesce(t.f, kf.f)),
+s AS (SELECT lower(trim(fixture_id, {_WS})) AS f, policy_version AS pv, regexp_replace(lower(trim(fixture_partition_basis, {_WS})), '[^a-z0-9]+', ' ', 'g') AS b FROM tournament_sft_v1 WHERE fixture_id IS NOT NULL),
+g AS (SELECT f, pv, CASE WHEN contains(b, 'group') THEN '1 group' WHEN regexp_matches(b, 'round of 32|r32') THEN '2 round of 32' WHEN regexp_matches(b, 'round of 16|r16') THEN '3 round of 16' WHEN regexp_matches(b, 'quarter|^qf$') THEN '4 quarter'
+  WHEN regexp_matches(b, 'semi|^sf$') THEN '5 semi' WHEN regexp_matches(b, 'third|3rd') THEN '6 third place' WHEN contains(b, 'final') THEN '7 final' END AS stage FROM s),
+gl AS (SELECT f, stage FROM g WHERE stage IS NOT NULL QUALIFY row_number() OVER (PARTITION BY f ORDER BY pv DESC NULLS LAST, stage DESC) = 1),
+named AS (SELECT u.*, gl.stage FROM u LEFT JOIN gl USING (f)),
+w AS (SELECT unit, count(*) AS weight, coalesce(max(stage), 'unknown') AS stratum, sha256('7|' || unit) AS h FROM named GROUP BY unit),
+o AS (SELECT *, sum(weight) OVER (PARTITION BY stratum ORDER BY length(bin(weight)) DESC, h[1:2], h, unit) AS upto, sum(weight) OVER (PARTITION BY stratum) AS whole FROM w),
+cut AS (SELECT unit, stratum, CASE WHEN (upto - weight / 2) / whole < 0.8 THEN 'train' WHEN (upto - weight / 2) / whole < 0.9 THEN 'validation' ELSE 'test' END AS split FROM o)
+"""
+
 ORACLE = {
     "p1_found": _TX + "SELECT least(i, j) AS record_a, greatest(i, j) AS record_b FROM p",
     "p1_counts": _TX + """SELECT split, source, count(*) AS n_records, count(c) AS n_overlapping, coalesce(sum(c), 0)::bigint AS n_pairs
@@ -171,8 +224,15 @@ WITH RECURSIVE k AS (SELECT DISTINCT lower(trim(fixture_id, {_WS})) AS f, regexp
 e AS (SELECT DISTINCT a.f AS a, b.f AS b FROM k a JOIN k b USING (h) WHERE NOT regexp_full_match(a.h, '0*') AND a.f <> b.f),
 c AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a)
 SELECT a AS fixture_a, b AS fixture_b FROM c WHERE a < b""",
+    "p5_classes": _COMPONENTS + "SELECT v AS fixture, root AS class, count(*) OVER (PARTITION BY root) AS n_fixtures FROM l WHERE v IN (SELECT a FROM e)",
+    "p5_rows": _COMPONENTS + _UNITS + "SELECT trade_row_id, unit, stratum, split FROM named JOIN cut USING (unit)",
+    "p5_report": _COMPONENTS + _UNITS + "SELECT stratum, split, count(*) AS n_rows, count(DISTINCT f) AS n_fixtures, count(DISTINCT unit) AS n_units FROM named JOIN cut USING (unit) GROUP BY 1, 2",
     "p7_found": _WORDS + "SELECT DISTINCT i.id AS item_id, d.id AS doc_id FROM g i JOIN g d USING (g) WHERE i.side = 'i' AND d.side = 'd'",
     "p7_spans": _PLACES + """SELECT DISTINCT item_id, doc_id, min(begun)::bigint AS start, max(stop)::bigint AS "end", count(*) + 12 AS n_words FROM n GROUP BY item_id, doc_id, shift, run""",
+    "p8_capped": _MIX + "SELECT doc_id, source, tokens, n_copies FROM drawn WHERE n_copies > 0",
+    "p8_capped_report": _MIX + """, m AS (SELECT source, sum(tokens * n_copies)::bigint AS mixed, count(*) AS docs, max(n_copies) AS most FROM drawn WHERE n_copies > 0 GROUP BY source)
+SELECT source, share AS target_share, repeats AS max_repeats, tokens AS source_chars, round(planned, 3) AS planned_chars, coalesce(mixed, 0) AS mixed_chars, coalesce(docs, 0) AS n_documents, coalesce(most, 0) AS most_copies,
+round(coalesce(mixed, 0) / sum(mixed) OVER (), 9) AS share_reached FROM p LEFT JOIN m USING (source)""",
     "p9_found": _SPANS + "SELECT DISTINCT doc_id FROM f",
     "p9_spans": _SPANS + """, n AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS g FROM f)
 SELECT doc_id, min(i) AS start, max(i) - min(i) + 400 AS length FROM n GROUP BY doc_id, g""",

@@ -5,9 +5,10 @@ round every vertex tosses a coin; a vertex with tails and a neighbour with
 heads is collapsed into the smallest such neighbour, and the edges are
 renamed by joins. About a quarter of the vertices that still have an edge go in
 a round, so rounds are logarithmic whatever the diameter. When no edge is left,
-the collapses are unwound from the last to the first to label all vertices.
-Every round is written to the shared folder, so plans stay short and a lost
-executor costs a reread.
+the collapses are unwound from the last to the first to label all vertices;
+a component is then named by its smallest vertex. Every round is written to the
+shared folder, so plans stay short and a lost executor costs a reread; edges of
+a round are deleted once the next are written.
 
 ``assign_splits`` cuts the units (components and single records) by cumulative
 weight within each stratum, heavy units first. The running sum is two-level:
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 SPLITS = (("train", 0.8), ("validation", 0.1), ("test", 0.1))
 
@@ -42,9 +43,9 @@ def _coin(v: str, round_: int, seed: int) -> Column:
 
 
 def components(edges: DataFrame, *, seed: int = 7, max_rounds: int = 400) -> DataFrame:
-    """Labels (v, root) of every vertex that has an edge; ``root`` is a vertex."""
+    """Labels (v, root) of every vertex that has an edge; ``root`` is the smallest vertex of its component."""
     edge = materialize(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    vertices = edge.select(F.col("a").alias("v")).union(edge.select("b")).distinct()
+    vertices = materialize(edge.select(F.col("a").alias("v")).union(edge.select("b")).distinct(), "vertices")
     collapses: list[DataFrame] = []
     for number in range(max_rounds):
         if edge.isEmpty():
@@ -56,7 +57,8 @@ def components(edges: DataFrame, *, seed: int = 7, max_rounds: int = 400) -> Dat
         new = edge
         for side in ("a", "b"):
             new = new.join(into.withColumnRenamed("v", side), side, "left").withColumn(side, F.coalesce("parent", side)).drop("parent")
-        edge = materialize(new.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        done, edge = edge, materialize(new.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        discard(done)
     else:
         raise RuntimeError("edges remain; raise max_rounds")
     label: DataFrame | None = None
@@ -68,7 +70,14 @@ def components(edges: DataFrame, *, seed: int = 7, max_rounds: int = 400) -> Dat
         label = materialize(own, "labels") if number % 4 == 3 else own
     if label is None:
         return vertices.select("v", F.col("v").alias("root"))
-    return vertices.join(label, "v", "left").select("v", F.coalesce("root", "v").alias("root"))
+    named = vertices.join(label, "v", "left").select("v", F.coalesce("root", "v").alias("top"))
+    least = named.groupBy("top").agg(F.min("v").alias("root"))
+    return named.join(least, "top").select("v", "root")
+
+
+def membership(labels: DataFrame) -> DataFrame:
+    """(v, root, size) of every vertex: its class and how many the class holds; no pairs."""
+    return labels.join(labels.groupBy("root").agg(F.count("*").alias("size")), "root").select("v", "root", "size")
 
 
 def linked_pairs(labels: DataFrame) -> DataFrame:
@@ -94,8 +103,8 @@ def record_units(rows: DataFrame, row_id: str, vertex: str, key: str, *, seed: i
 
 def assign_splits(units: DataFrame, *, parts: tuple[tuple[str, float], ...] = SPLITS, seed: int = 7) -> DataFrame:
     """``units`` (unit, stratum, weight) with ``split``."""
-    size = F.lit(63) - F.floor(F.log2(F.col("weight"))).cast("int")
-    placed = units.withColumn("__h", F.xxhash64("unit", F.lit(seed))).withColumn("__b", size * 256 + F.pmod("__h", F.lit(256)))
+    size = F.lit(64) - F.length(F.bin(F.col("weight").cast("long")))  # exact at powers of two
+    placed = units.withColumn("__h", F.sha2(F.concat_ws("|", F.lit(seed), "unit"), 256)).withColumn("__b", size * 256 + F.conv(F.substring("__h", 1, 2), 16, 10).cast("int"))
     sums = placed.groupBy("stratum", "__b").agg(F.sum("weight").alias("__w"))
     by = W.partitionBy("stratum")
     sums = sums.select(
