@@ -151,6 +151,7 @@ def repeated_rows(rows: DataFrame, row_id: str, identifier: Column, order: list[
     named = [r.bucket for r in hit.select("bucket").distinct().collect()]
     key = F.xxhash64("bucket", "h")
     asked = screened(stored.where(F.col("bucket").isin(named)), key, hit, key)
-    candidates = materialize(asked.join(hit, ["bucket", "h"], "left_semi").select("id", "m", "r"), "repeat-candidates")
+    # an inner join, as a semi-join would be pushed below the bitmap; ``hit`` is distinct
+    candidates = materialize(asked.join(hit, ["bucket", "h"]).select("id", "m", "r"), "repeat-candidates")
     first = candidates.groupBy("m").agg(F.min("r").alias("first"), F.count("*").alias("n")).where("n > 1")
     return candidates.join(first, "m").where("r <> first").select(F.col("id").alias(row_id))
