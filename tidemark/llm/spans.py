@@ -236,7 +236,8 @@ def shared_blocks(documents: DataFrame, doc_id: str, text: str, *, min_chars: in
     texts = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.col("doc").isNotNull() & (F.char_length("text") >= min_chars))
     ranges = materialize(signed_ranges(texts, min_chars=min_chars, q=q, hashes=hashes), "span-ranges")
     held = materialize(ranges.groupBy("sig").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).where("d0 < d1").select("sig"), "span-signatures")
-    met = materialize(screened(ranges, F.col("sig"), held, F.col("sig")).join(held, "sig", "left_semi"), "span-candidates")
+    # an inner join, as a semi-join would be pushed below the bitmap; ``held`` is distinct
+    met = materialize(screened(ranges, F.col("sig"), held, F.col("sig")).join(held, "sig"), "span-candidates")
 
     content = ["sig", "w1", "w2"]
     contents = met.groupBy(*content).agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min(F.struct("doc", "first", "most", "anchor")).alias("own"))
