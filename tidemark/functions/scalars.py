@@ -37,11 +37,16 @@ def decimal_text(c: Column, precision: int = 38, scale: int = 18) -> Column:
     return F.when(s == "-0", "0").otherwise(s)
 
 
-def significant(c: Column, digits: int) -> Column:
-    """Rounded to significant digits; zero stays zero."""
-    place = F.lit(digits - 1) - F.floor(F.log10(F.abs(c)))
-    scale = F.pow(F.lit(10.0), place.cast("double"))
-    return F.when(c == 0, F.lit(0.0)).otherwise(F.floor(c * scale + 0.5 + 1e-6) / scale)
+def significant(units: Column, digits: int) -> Column:
+    """A whole number rounded to significant digits, half to even, by integer arithmetic; the sign is kept."""
+    size = F.abs(units.cast("decimal(38,0)"))
+    drop = F.greatest(F.length(size.cast("string")) - digits, F.lit(0))
+    unit = F.rpad(F.lit("1"), drop + 1, F.lit("0")).cast("decimal(38,0)")
+    rest = size % unit
+    whole = (size - rest) / unit
+    up = (2 * rest > unit) | ((2 * rest == unit) & (whole.cast("decimal(38,0)") % 2 == 1))
+    out = size - rest + F.when(up, unit).otherwise(F.lit(0))
+    return (out * F.when(units < 0, -1).otherwise(1)).cast("decimal(38,0)")
 
 
 def sigmoid_difference(a: Column, b: Column) -> Column:

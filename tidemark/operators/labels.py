@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidemark.operators.asof import with_halo
+
 
 def fixed_grid(start: Column, end: Column, step_us: int) -> Column:
     """Half-open windows of ``step_us`` from ``start`` to before ``end``."""
@@ -73,3 +75,30 @@ def purge_overlap(sequences: DataFrame, split: str, first: str, last: str, order
     ends = sequences.groupBy(split).agg(F.max(last).alias("__e")).withColumn("__p", place)
     ends = ends.withColumn("__b", F.max("__e").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1))).select(split, "__b")
     return sequences.join(F.broadcast(ends), split).where(F.col("__b").isNull() | (F.col(first) > F.col("__b"))).drop("__b")
+
+
+def occurrence(windows: DataFrame, actions: DataFrame, coverage: DataFrame, by: list[str], *, horizon_us: int, kind: str = "taker", block_us: int = 86_400_000_000) -> DataFrame:
+    """Label of each window [start, start + horizon): what was first done in it, or why that is unknown.
+
+    ``windows``: window_id, ``by``, start, end; ``actions``: ``by``, action_id,
+    t, role; ``coverage``: ``by``, start, end. Without one stretch of coverage
+    over the whole window it is CENSORED, also if an action was seen; so it is
+    with an action of unknown role, unless ``kind`` is ``all``. Repeated
+    actions count once; several at the earliest instant are all named, in the
+    order of their ids as text, and the order is marked ambiguous.
+    """
+    role = F.lit(True) if kind == "all" else F.col("role") == kind
+    unknown = F.lit(False) if kind == "all" else F.col("role") == "unknown"
+    once = actions.groupBy(*by, "t", "action_id").agg(F.max(role.cast("int")).alias("hit"), F.max(unknown.cast("int")).alias("bad"))
+    ticks = once.groupBy(*by, "t").agg(F.sum("hit").alias("n"), F.sum("bad").alias("bad"), F.array_join(F.array_sort(F.collect_set(F.when(F.col("hit") == 1, F.col("action_id").cast("string")))), ",").alias("ids"))
+    asked = covered(windows, merge_intervals(coverage, by), by).select("window_id", *by, F.col("start").alias("t"), "covered", F.lit(1).alias("__k"))
+    line = with_halo(asked.unionByName(ticks.withColumn("__k", F.lit(0)), allowMissingColumns=True), by, "t", ahead_us=horizon_us, block_us=block_us)
+    frame = W.partitionBy(*by, "__b").orderBy("t").rangeBetween(0, horizon_us - 1)
+    first = F.min(F.when(F.col("n") > 0, F.struct("t", "ids", "n"))).over(frame)
+    out = line.withColumns({"__n": F.coalesce(F.sum("n").over(frame), F.lit(0)), "__bad": F.coalesce(F.sum("bad").over(frame), F.lit(0)), "__first": first}).where("__k = 1 AND __own")
+    reason = F.when(~F.col("covered"), "incomplete_target_source_coverage").when(F.col("__bad") > 0, "unclassified_execution_role")
+    known = lambda c: F.when(reason.isNull(), c)
+    return out.select(
+        "window_id", F.when(reason.isNotNull(), "CENSORED").when(F.col("__n") > 0, "TRADE").otherwise("NO_OBSERVED_TRADE").alias("status"), reason.alias("censor_reason"), known(F.col("__n")).alias("action_count"),
+        known(F.col("__first.ids")).alias("first_action_ids"), known(F.coalesce(F.col("__first.n") > 1, F.lit(False))).alias("ordering_ambiguous"), known(F.col("__first.t")).alias("first_us"),
+    )

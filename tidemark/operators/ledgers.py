@@ -93,3 +93,8 @@ def running_budget(rows: DataFrame, order: list[Column], cost: str, budget: int,
     """Greedy selection per group: rows whose prior running cost is below the budget."""
     spent = F.coalesce(F.sum(cost).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     return rows.withColumn("spent", spent).where(F.col("spent") < budget)
+
+
+def cents(c: str) -> Column:
+    """Whole hundredths of a money or rate column, so that sums are exact."""
+    return F.round(F.col(c) * 100).cast("long")

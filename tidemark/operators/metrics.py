@@ -1,125 +1,33 @@
-"""Prior-only actor metrics, closed positions, return series and inventory."""
+"""Average-cost inventory and volume-weighted prices."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from tidemark.operators.asof import DAY_US, prior_totals
 
-
-def behaviour_metrics(probes: DataFrame, executions: DataFrame, *, block_us: int = DAY_US) -> DataFrame:
-    """Mean, variation, buy share and rate of what each actor did strictly before.
-
-    Both sides: actor, time_us; executions also side and notional (DOUBLE).
-    Unknown is null, never zero. ``block_us`` should hold several rows of a
-    usual actor, and few enough of a hot one for a task.
-    """
-    buy = F.when(F.col("side") == "BUY", F.col("notional")).otherwise(F.lit(0.0))
-    got = prior_totals(
-        probes, executions, ["actor"], "time_us",
-        {"__n": F.lit(1).cast("long"), "__s": F.col("notional"), "__q": F.col("notional") * F.col("notional"), "__u": buy}, least={"__t": F.col("time_us")}, block_us=block_us,
-    )
-    mean = F.col("__s") / F.col("__n")
-    sd = F.sqrt(F.greatest(F.col("__q") / F.col("__n") - mean * mean, F.lit(0.0)))
-    days = (F.col("time_us") - F.col("__t")) / DAY_US
-    return got.withColumns({
-        "n_prior": F.col("__n"),
-        "average_notional": F.when(F.col("__n") >= 1, mean),
-        "notional_cv": F.when((F.col("__n") >= 2) & (mean != 0), sd / mean),
-        "buy_share": F.when(F.col("__s") != 0, F.col("__u") / F.col("__s")),
-        "per_day": F.when(F.col("__n") >= 1, F.col("__n") / days),
-        "reason": F.when(F.col("__n") == 0, "no_prior_execution").when(F.col("__n") == 1, "one_prior_execution"),
-    }).drop("__n", "__s", "__q", "__u", "__t")
-
-
-def position_metrics(closed: DataFrame, by: str) -> DataFrame:
-    """Nine figures over closed positions: pnl, cost, opened_us, closed_us."""
-    pnl = F.col("pnl")
-    win, loss = F.when(pnl > 0, pnl), F.when(pnl < 0, -pnl)
-    return closed.groupBy(by).agg(
-        F.count("*").alias("n_closed"), F.sum("pnl").alias("net_pnl"), F.avg(pnl / F.col("cost")).alias("mean_roi"), (F.count(win) / F.count("*")).alias("win_rate"),
-        F.avg(win).alias("average_win"), F.avg(loss).alias("average_loss"), (F.avg(win) / F.avg(loss)).alias("payoff_ratio"), (F.coalesce(F.sum(win), F.lit(0.0)) / F.sum(loss)).alias("profit_factor"),
-        F.avg("pnl").alias("expectancy"), F.avg((F.col("closed_us") - F.col("opened_us")) / 1e6).alias("holding_s"),
-    )
-
-
-def loss_streak(closed: DataFrame, by: str) -> DataFrame:
-    """Losses after the last instant that was not all losses; null if that is mixed.
-
-    Positions closed at one instant are one group.
-    """
-    g = closed.groupBy(by, "closed_us").agg(F.count("*").alias("n"), F.count_if(F.col("pnl") < 0).alias("losses"))
-    last = g.where("losses < n").groupBy(by).agg(F.max(F.struct("closed_us", (F.col("losses") > 0).alias("mixed"))).alias("stop"))
-    j = g.join(last, by, "left").where("stop IS NULL OR closed_us >= stop.closed_us")
-    streak = F.coalesce(F.sum(F.when(F.col("stop").isNull() | (F.col("closed_us") > F.col("stop.closed_us")), F.col("losses"))), F.lit(0))
-    mixed = F.coalesce(F.max("stop.mixed"), F.lit(False))
-    return j.groupBy(by).agg(F.when(~mixed, streak).alias("loss_streak"), F.when(mixed, "ambiguous_tie").alias("reason"))
-
-
-def drawdown(by: str, order: str, ret: str) -> Column:
-    """Largest fall from a peak of compounded wealth starting at 1: an ordered fold.
-
-    One return a period keeps the array as long as the calendar, not the log.
-    """
-    path = F.array_sort(F.collect_list(F.struct(order, ret)))
-    zero = F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("peak"), F.lit(0.0).alias("down"))
-
-    def step(acc, x):
-        w = acc["w"] * (1 + x[ret])
-        peak = F.greatest(acc["peak"], w)
-        return F.struct(w.alias("w"), peak.alias("peak"), F.greatest(acc["down"], 1 - w / peak).alias("down"))
-
-    return F.aggregate(path, zero, step, lambda acc: acc["down"])
-
-
-def return_metrics(returns: DataFrame, by: str) -> DataFrame:
-    """Drawdown, volatility, Sharpe and Sortino of period returns: start_us, end_us, ret."""
-    r = returns.withColumn("gap", F.col("start_us") != F.lag("end_us").over(W.partitionBy(by).orderBy("start_us")))
-    x = F.col("ret")
-    down = F.sqrt(F.avg(F.pow(F.least(x, F.lit(0.0)), F.lit(2.0))))
-    out = r.groupBy(by).agg(
-        F.count("*").alias("n"), ((F.count_if("gap") == 0) & (F.countDistinct(F.col("end_us") - F.col("start_us")) == 1)).alias("regular"),
-        drawdown(by, "start_us", "ret").alias("drawdown"), F.stddev_samp(x).alias("volatility"), (F.avg(x) / F.nullif(F.stddev_samp(x), F.lit(0.0))).alias("sharpe"), (F.avg(x) / F.nullif(down, F.lit(0.0))).alias("sortino"),
-    )
-    return out
+START = {"qty": 0.0, "cost": 0.0, "gain": 0.0, "ok": True, "flat": True, "b": 0.0, "v": 0.0, "s": 0.0, "w": 0.0}
+STATES = "key string, time_us long, quantity double, cost double, realised double, reason string"
 
 
 def _inventory(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Average-cost fold over rows sorted by (key, time); one instant is one step."""
-    state = None
-
-    def close(s):
-        if s["step"] is not None:
-            _settle(s)
-        return s["key"], s["qty"] if s["ok"] else None, s["cost"] if s["ok"] and s["flat"] else None, s["gain"] if s["ok"] and s["flat"] else None, "oversold" if not s["ok"] else None if s["flat"] else "mixed_tie"
-
+    """Average-cost fold over instants sorted by (key, time): the state after each."""
+    state, now = dict(START), None
+    kinds = [pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.string()]
     for batch in batches:
-        done = []
-        for key, t, side, shares, price in zip(*(c.to_pylist() for c in batch.columns)):
-            if state is None or key != state["key"]:
-                if state is not None:
-                    done.append(close(state))
-                state = {"key": key, "qty": 0.0, "cost": 0.0, "gain": 0.0, "ok": True, "flat": True, "step": None, "b": 0.0, "v": 0.0, "s": 0.0, "w": 0.0}
-            if t != state["step"]:
-                if state["step"] is not None:
-                    _settle(state)
-                state["step"] = t
-            if side == "BUY":
-                state["b"] += shares
-                state["v"] += shares * price
-            else:
-                state["s"] += shares
-                state["w"] += shares * price
-        if done:
-            yield _inventory_rows(done)
-    if state is not None:
-        yield _inventory_rows([close(state)])
+        rows = []
+        for key, t, b, v, s, w in zip(*(c.to_pylist() for c in batch.columns)):
+            if key != now:
+                state, now = dict(START), key
+            state.update(b=b, v=v, s=s, w=w)
+            _settle(state)
+            ok, sure = state["ok"], state["ok"] and state["flat"]
+            rows.append((key, t, state["qty"] if ok else None, state["cost"] if sure else None, state["gain"] if sure else None, "oversold" if not ok else None if sure else "mixed_tie"))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], ["key", "time_us", "quantity", "cost", "realised", "reason"])
 
 
 def _settle(s: dict) -> None:
@@ -143,23 +51,29 @@ def _settle(s: dict) -> None:
     s["b"] = s["v"] = s["s"] = s["w"] = 0.0
 
 
-def _inventory_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.string()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["key", "quantity", "cost", "realised", "reason"])
+def inventory_states(fills: DataFrame, key: Column) -> DataFrame:
+    """Quantity, remaining cost and realised gain per key after each instant with a fill.
 
+    ``fills``: time_us, side, shares, notional (DECIMAL). The fills of an
+    instant are summed exactly in the JVM, so their order does not matter; the
+    fold streams a sorted partition with a state of a few numbers and collects
+    no group. An oversold key is unknown; an instant with both sides makes cost
+    and gain unknown until the key is flat, from where the gain counts anew.
+    """
+    total = lambda c, side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col(c))), F.lit(0)).cast("decimal(38,10)").cast("double")
+    ticks = fills.select(key.alias("key"), "time_us", "side", "shares", "notional").groupBy("key", "time_us").agg(total("shares", "BUY").alias("b"), total("notional", "BUY").alias("v"), total("shares", "SELL").alias("s"), total("notional", "SELL").alias("w"))
+    return ticks.repartition("key").sortWithinPartitions("key", "time_us").mapInArrow(_inventory, STATES)
 
-def average_cost_inventory(fills: DataFrame, key: Column) -> DataFrame:
-    """Quantity, remaining cost and realised gain per key after all fills.
 
-    ``fills``: time_us, side, shares, price (DOUBLE). Rows stream through a
-    sorted partition, so state is a few numbers and no group is collected.
-    An oversold key is unknown; an instant with both sides makes cost and gain
-    unknown until the key is flat, from where the gain counts anew.
-    """
-    rows = fills.select(key.alias("key"), "time_us", "side", "shares", "price").repartition("key").sortWithinPartitions("key", "time_us")
-    return rows.mapInArrow(_inventory, "key string, quantity double, cost double, realised double, reason string")
+def average_cost_inventory(fills: DataFrame, key: Column) -> DataFrame:
+    """The state of every key after all fills."""
+    return inventory_states(fills, key).groupBy("key").agg(F.max_by(F.struct("quantity", "cost", "realised", "reason"), "time_us").alias("x")).select("key", "x.*")
 
 
 def vwap(fills: DataFrame, by: list[str]) -> DataFrame:
-    """Volume-weighted price per instant, 12 places, half to even."""
-    return fills.groupBy(*by).agg(F.bround(F.sum(F.col("shares") * F.col("price")) / F.sum("shares"), 12).alias("vwap"), F.sum("shares").alias("shares"))
+    """Volume-weighted price per instant, 12 places, half to even: exact sums, long division by digits."""
+    g = fills.groupBy(*by).agg(F.sum("notional").cast("decimal(38,20)").alias("v"), F.sum("shares").cast("decimal(38,8)").alias("s"))
+    top, below = (F.replace(F.col(c).cast("string"), F.lit("."), F.lit("")).cast("decimal(38,0)") for c in ("v", "s"))
+    g = g.withColumns({"top": top, "below": below}).withColumn("q", F.expr("CAST(floor((top - top % below) / below) AS DECIMAL(38,0))")).withColumn("r", F.expr("top % below"))
+    up = F.expr("2 * r > below OR (2 * r = below AND q % 2 = 1)")
+    return g.select(*by, ((F.col("q") + up.cast("int")).cast("double") / 1e12).alias("vwap"), F.col("s").cast("string").alias("shares"))

@@ -18,13 +18,39 @@ def teams_of(fixtures: DataFrame, fixture: str, name: str, key: Column) -> DataF
     return t.where("size(teams) = 2").select("fixture", "teams", F.array_join("teams", "|").alias("pair"))
 
 
-def mentioned_teams(headlines: DataFrame, text: str, teams: DataFrame) -> DataFrame:
-    """``headlines`` with ``found``, the sorted distinct teams named as a word in the text.
+# Other names of teams, as words in lower case.
+ALIASES = {
+    "cabo verde": "cape verde", "cape verde islands": "cape verde", "congo dr": "dr congo", "cote d ivoire": "ivory coast", "ir iran": "iran",
+    "korea republic": "south korea", "bosnia and herzegovina": "bosnia herzegovina", "czech republic": "czechia", "turkey": "turkiye",
+}
 
-    Words are exploded and joined to the team list; nothing is tested pairwise.
+
+def canonical_team(words: Column) -> Column:
+    """The usual name of a team; ``words`` is its name in lower case between single blanks."""
+    names = F.create_map(*[F.lit(x) for pair in ALIASES.items() for x in pair])
+    return F.coalesce(F.element_at(names, words), words)
+
+
+def word_runs(words: Column, most: int) -> Column:
+    """All runs of one to ``most`` consecutive words."""
+    w = F.split(words, " ")
+
+    def runs(n: int) -> Column:
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
+
+    return F.array_distinct(F.concat(*[runs(n) for n in range(1, most + 1)]))
+
+
+def mentioned_teams(headlines: DataFrame, key: str, text: str, teams: DataFrame, *, most: int = 4) -> DataFrame:
+    """``headlines`` with ``found``, the sorted distinct teams that the text names in whole words.
+
+    Runs of up to ``most`` words are exploded and joined to the team list, also
+    under their other names; nothing is tested pairwise. ``key`` is unique and
+    the only column joined back on, so others may be null.
     """
-    words = headlines.withColumn("team", F.explode(F.array_distinct(F.split(F.col(text), " ")))).join(teams, "team").groupBy(*headlines.columns).agg(F.array_sort(F.collect_set("team")).alias("found"))
-    return headlines.join(words, headlines.columns, "left").withColumn("found", F.coalesce("found", F.array().cast("array<string>")))
+    found = headlines.select(key, F.explode(F.array_distinct(F.transform(word_runs(F.col(text), most), canonical_team))).alias("team")).join(teams, "team").groupBy(key).agg(F.array_sort(F.collect_set("team")).alias("found"))
+    return headlines.join(found, key, "left").withColumn("found", F.coalesce("found", F.array().cast("array<string>")))
 
 
 def is_candidate(found: Column, text: Column, url: Column, keyword: str, hint: str) -> Column:

@@ -11,7 +11,6 @@ from tidemark.operators import context as C
 from tidemark.operators import labels as G
 from tidemark.operators import ledgers as L
 from tidemark.operators.asof import asof_prior, micros, prior_rank, with_halo
-from tidemark.functions.rounding import steady_round, steady_sql
 from tidemark.session import table
 
 HOUR = 3_600_000_000
@@ -63,7 +62,7 @@ def fixture_coverage(spark: SparkSession, root: str) -> DataFrame:
     f = table(spark, root, "fixture_news").select(ident(F.col("fixture_id")).alias("fixture"), F.col("eligible_us").alias("t"))
     x = table(spark, root, "trades").select("trade_row_id", ident(F.col("fixture_id")).alias("fixture"), F.col("query_us").alias("t"))
     n = prior_rank(x, f, ["fixture"], "t", "n_links")
-    return n.groupBy("fixture").agg(F.count("*").alias("n"), F.count_if(F.col("n_links") > 0).alias("n_covered"), steady_round(F.count_if(F.col("n_links") > 0) / F.count("*"), 9).alias("share"), F.min("n_links").alias("least"), F.max("n_links").alias("most"))
+    return n.groupBy("fixture").agg(F.count("*").alias("n"), F.count_if(F.col("n_links") > 0).alias("n_covered"), F.round(F.count_if(F.col("n_links") > 0) / F.count("*"), 9).alias("share"), F.min("n_links").alias("least"), F.max("n_links").alias("most"))
 
 
 def title_change_points(spark: SparkSession, root: str) -> DataFrame:
@@ -134,22 +133,17 @@ def merged_coverage(spark: SparkSession, root: str) -> DataFrame:
 
 
 def occurrence_labels(spark: SparkSession, root: str) -> DataFrame:
-    """OCCURRED, NOT_OBSERVED or CENSORED for two hours after each view.
+    """TRADE, NO_OBSERVED_TRADE or CENSORED for two hours after each view.
 
-    Each view starts a four-hour interval of its own, so none is CENSORED here.
+    A user is covered for twelve hours from each click. Clicks and purchases
+    are a taker's actions, sign-ups a maker's, errors of unknown role.
     """
-    return _occurrences(_events(spark, root), _coverage(spark, root))
-
-
-def _occurrences(e: DataFrame, coverage: DataFrame) -> DataFrame:
-    """Labels of the views among ``e``; CENSORED where ``coverage`` (user_id, start, end) leaves a gap."""
-    w = e.where("event_type = 'view'").select("event_id", "user_id", F.col("t").alias("start"), (F.col("t") + 2 * HOUR).alias("end"))
-    c = G.covered(w, G.merge_intervals(coverage, ["user_id"]), ["user_id"])
-    line = c.select("event_id", "user_id", F.col("start").alias("t"), "covered", F.lit(0).alias("k")).unionByName(e.where("event_type <> 'view'").select("user_id", "t", F.lit(1).alias("k")), allowMissingColumns=True)
-    line = with_halo(line, ["user_id"], "t", ahead_us=2 * HOUR)
-    n = F.sum("k").over(W.partitionBy("user_id", "__b").orderBy("t").rangeBetween(0, 2 * HOUR - 1))
-    label = F.when(F.col("n") > 0, "OCCURRED").when(F.col("covered"), "NOT_OBSERVED").otherwise("CENSORED")
-    return line.withColumn("n", n).where("k = 0 AND __own").select("event_id", label.alias("label"), F.col("n").cast("long").alias("n"))
+    e = _events(spark, root)
+    cover = e.where("event_type = 'click'").select("user_id", F.col("t").alias("start"), (F.col("t") + 12 * HOUR).alias("end"))
+    role = F.when(F.col("event_type").isin("click", "purchase"), "taker").when(F.col("event_type") == "signup", "maker").otherwise("unknown")
+    windows = e.where("event_type = 'view'").select(F.col("event_id").alias("window_id"), "user_id", F.col("t").alias("start"), (F.col("t") + 2 * HOUR).alias("end"))
+    actions = e.where("event_type <> 'view'").select("user_id", F.col("event_id").alias("action_id"), "t", role.alias("role"))
+    return G.occurrence(windows, actions, cover, ["user_id"], horizon_us=2 * HOUR)
 
 
 def historical_universe(spark: SparkSession, root: str) -> DataFrame:
@@ -312,9 +306,13 @@ SELECT q.user_id, query_us, count(*) FILTER (WHERE e.t < query_us AND e.t >= que
     "gap_alternation": """WITH g AS (SELECT o_custkey, epoch_us(o_orderdate) AS t, count(*) AS n FROM orders GROUP BY 1, 2), w AS (SELECT *, lag(t) OVER (PARTITION BY o_custkey ORDER BY t) AS p FROM g)
 SELECT o_custkey, 'wait' AS kind, p AS start_us, t AS end_us, 0::bigint AS n FROM w UNION ALL SELECT o_custkey, 'act', t, t, n FROM w""",
     "merged_coverage": f"WITH {_E}, " + _COVER.format("") + " SELECT * FROM c",
-    "occurrence_labels": f"WITH {_E}, " + _COVER.format("WHERE t % 3 <> 0") + """, v AS (SELECT event_id, user_id, t FROM e WHERE event_type = 'view'),
-n AS (SELECT v.event_id, v.user_id, v.t, count(o.event_id) AS n FROM v LEFT JOIN e o ON o.user_id = v.user_id AND o.event_type <> 'view' AND o.t >= v.t AND o.t < v.t + 7200000000 GROUP BY ALL)
-SELECT event_id, CASE WHEN n > 0 THEN 'OCCURRED' WHEN EXISTS (SELECT 1 FROM c WHERE c.user_id = n.user_id AND c.start <= n.t AND c."end" >= n.t + 7200000000) THEN 'NOT_OBSERVED' ELSE 'CENSORED' END AS label, n FROM n""",
+    "occurrence_labels": f"WITH {_E}, " + _COVER.replace("14400000000", "43200000000").format("WHERE event_type = 'click'") + """, v AS (SELECT event_id, user_id, t, EXISTS (SELECT 1 FROM c WHERE c.user_id = e.user_id AND c.start <= e.t AND c."end" >= e.t + 7200000000) AS covered FROM e WHERE event_type = 'view' AND user_id IS NOT NULL),
+o AS (SELECT *, CASE WHEN event_type IN ('click', 'purchase') THEN 'taker' WHEN event_type = 'signup' THEN 'maker' ELSE 'unknown' END AS role FROM e WHERE event_type <> 'view'),
+jj AS (SELECT v.event_id AS window_id, v.covered, o.event_id AS action_id, o.t, o.role FROM v LEFT JOIN o ON o.user_id = v.user_id AND o.t >= v.t AND o.t < v.t + 7200000000),
+kk AS (SELECT window_id, any_value(covered) AS covered, count(*) FILTER (WHERE role = 'unknown') AS u, count(DISTINCT action_id) FILTER (WHERE role = 'taker') AS n, min(t) FILTER (WHERE role = 'taker') AS t0 FROM jj GROUP BY 1),
+f AS (SELECT kk.*, (SELECT string_agg(DISTINCT action_id::varchar, ',' ORDER BY action_id::varchar) FROM jj WHERE jj.window_id = kk.window_id AND role = 'taker' AND jj.t = kk.t0) AS ids FROM kk)
+SELECT window_id, CASE WHEN NOT covered OR u > 0 THEN 'CENSORED' WHEN n > 0 THEN 'TRADE' ELSE 'NO_OBSERVED_TRADE' END AS status, CASE WHEN NOT covered THEN 'incomplete_target_source_coverage' WHEN u > 0 THEN 'unclassified_execution_role' END AS censor_reason,
+ CASE WHEN covered AND u = 0 THEN n END AS action_count, CASE WHEN covered AND u = 0 THEN ids END AS first_action_ids, CASE WHEN covered AND u = 0 THEN coalesce(contains(ids, ','), false) END AS ordering_ambiguous, CASE WHEN covered AND u = 0 THEN t0 END AS first_us FROM f""",
     "historical_universe": f"""WITH q AS (SELECT DISTINCT {_id('actor')} AS actor, (time_us // 604800000000 + 1) * 604800000000 AS query_us FROM executions WHERE actor IS NOT NULL AND known_us >= time_us AND known_us < (time_us // 604800000000 + 1) * 604800000000) SELECT query_us, count(*) AS n_actors FROM q GROUP BY 1""",
     "kickoff_splits": """WITH k AS (SELECT fixture_id, epoch_us(kickoff_at) AS kickoff_us FROM tournament_sft_v1 WHERE policy_version = 1 AND fixture_id IS NOT NULL AND kickoff_at IS NOT NULL), r AS (SELECT *, rank() OVER (ORDER BY kickoff_us) - 1 AS b, count(*) OVER () AS n FROM k)
 SELECT fixture_id, kickoff_us, CASE WHEN b < n * 0.7 THEN 'train' WHEN b < n * 0.85 THEN 'validation' ELSE 'test' END AS split FROM r""",
@@ -337,4 +335,3 @@ SELECT fixture_id, place, CASE WHEN place <= 12 THEN 'train' WHEN place <= 20 TH
     "inner_state_lookup": f"""WITH t AS (SELECT trade_row_id, {_id('condition_id')} AS condition, source_page_id, query_us AS t FROM trades), s AS (SELECT condition, epoch_us(captured_at) AS c, max(source_page_id) AS page FROM t JOIN source_pages p USING (source_page_id) WHERE captured_at IS NOT NULL AND condition IS NOT NULL GROUP BY 1, 2)
 SELECT trade_row_id, page, c AS captured_us FROM t ASOF LEFT JOIN s ON t.condition = s.condition AND t.t > s.c""",
 }
-ORACLE = {name: steady_sql(sql) for name, sql in ORACLE.items()}

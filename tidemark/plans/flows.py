@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.clean import ident
-from tidemark.functions.rounding import steady_round, steady_sql
 from tidemark.operators.shards import byte_shards, row_shards
 from tidemark.operators.asof import prior_rank
 from tidemark.plans.dealt import _FORCE, _NEWS, p6_found
@@ -72,19 +71,19 @@ def stream_windows(spark: SparkSession, root: str) -> DataFrame:
     """Daily windows per event type as a stream (§2.14, G1)."""
     e = jobs.stream_table(spark, root, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
     out = jobs.drain(jobs.tumbling_counts(e, "ts", "1 day", "0 seconds", ["event_type"]), "windows", mode="complete")
-    return out.select(F.unix_micros("window.start").alias("start_us"), "event_type", "n", steady_round("total", 4).alias("total"))
+    return out.select(F.unix_micros("window.start").alias("start_us"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 def stream_sessions(spark: SparkSession, root: str) -> DataFrame:
-    """Sessions of users with a gap of six hours as a stream, closed ones only (§2.14)."""
-    e = jobs.stream_table(spark, root, "events", time="ts").select(F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    """Sessions of users with a gap of six hours as a stream; the end of the table closes the last (§2.14)."""
+    e = jobs.stream_table(spark, root, "events", time="ts", end="7 HOURS").select(F.col("ts").cast("timestamp").alias("ts"), "user_id")
     out = jobs.drain(jobs.sessions(e, "ts", "6 hours", "0 seconds", ["user_id"]), "sessions")
     return out.select("user_id", F.unix_micros("session_window.start").alias("start_us"), F.unix_micros("session_window.end").alias("end_us"), "n")
 
 
 def stream_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Stateful average-cost inventory of orders as a stream (A9, §2.14)."""
-    o = jobs.stream_table(spark, root, "orders", time="o_orderdate").select(F.col("o_custkey").cast("string").alias("key"), F.col("o_orderdate").cast("timestamp").alias("ts"), F.when(F.col("o_orderstatus") == "F", "SELL").otherwise("BUY").alias("side"), F.lit(1.0).alias("shares"), (F.col("o_totalprice") / 1000).alias("price"))
+    o = jobs.stream_table(spark, root, "orders", time="o_orderdate", end="1 DAY").select(F.col("o_custkey").cast("string").alias("key"), F.col("o_orderdate").cast("timestamp").alias("ts"), F.when(F.col("o_orderstatus") == "F", "SELL").otherwise("BUY").alias("side"), F.lit(1.0).alias("shares"), (F.col("o_totalprice") / 1000).alias("price"))
     out = jobs.drain(jobs.running_inventory(o, "0 seconds"), "inventory")
     return out.groupBy("key").agg(F.count("*").alias("n_instants"), F.max("time_us").alias("last_us"), F.count("quantity").alias("n_known"))
 
@@ -104,7 +103,8 @@ SELECT url, digest, min(stamp) AS stamp FROM p WHERE row_count > 0 AND stamp < '
 SELECT x.trade_row_id, g.news_id, coalesce(l.n, 0) AS n_links, coalesce(strftime(make_timestamp(x.query_us), '%Y-%m'), 'none') AS month FROM trades x LEFT JOIN g USING (trade_row_id) LEFT JOIN l USING (trade_row_id)""",
     "schedule": """WITH b AS (SELECT (min(published_us) + 899999999) // 900000000 * 900000000 AS a, max(published_us) AS z FROM news), s AS (SELECT unnest(range(a, z, 900000000)) AS batch_us FROM b) SELECT batch_us, strftime(make_timestamp(batch_us), '%Y%m%d%H%M%S') AS stamp FROM s""",
     "stream_windows": "SELECT epoch_us(ts) // 86400000000 * 86400000000 AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
-    "stream_sessions": """WITH e AS (SELECT user_id, epoch_us(ts) AS t FROM events), g AS (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY user_id ORDER BY t) >= 21600000000, true)::int AS new FROM e), i AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t) AS s FROM g)
-SELECT user_id, min(t) AS start_us, max(t) + 21600000000 AS end_us, count(*) AS n FROM i GROUP BY user_id, s HAVING max(t) + 21600000000 <= (SELECT max(epoch_us(ts)) // 1000 * 1000 FROM events)""",
+    "stream_inventory": """WITH g AS (SELECT o_custkey::varchar AS key, epoch_us(o_orderdate) AS t, sum(CASE WHEN o_orderstatus = 'F' THEN -1 ELSE 1 END) AS d FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL GROUP BY 1, 2),
+c AS (SELECT *, sum(d) OVER (PARTITION BY key ORDER BY t) AS q FROM g), k AS (SELECT *, min(q) OVER (PARTITION BY key ORDER BY t) AS low FROM c) SELECT key, count(*) AS n_instants, max(t) AS last_us, count(*) FILTER (WHERE low >= 0) AS n_known FROM k GROUP BY 1""",
+    "stream_sessions": """WITH e AS (SELECT user_id, epoch_us(ts) AS t FROM events WHERE ts IS NOT NULL), g AS (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY user_id ORDER BY t) >= 21600000000, true)::int AS new FROM e), i AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t) AS s FROM g)
+SELECT user_id, min(t) AS start_us, max(t) + 21600000000 AS end_us, count(*) AS n FROM i GROUP BY user_id, s""",
 }
-ORACLE = {name: steady_sql(sql) for name, sql in ORACLE.items()}

@@ -242,6 +242,7 @@ def _hex(c: str) -> str:
     return f"CASE WHEN NOT regexp_full_match({bare}, '0*') THEN {bare} END"
 
 
+_SPLIT = f"CASE WHEN {_id('split')} IN ('train', 'training') THEN 'train' WHEN {_id('split')} IN ('validation', 'valid', 'val', 'dev') THEN 'validation' WHEN {_id('split')} = 'test' THEN 'test' END"
 _T = f"""t AS (SELECT trade_row_id, source_page_id, source_line, {_id('wallet')} AS wallet, {_id('condition_id')} AS condition, token_id, token_outcome, token_mapping_status, {_id('fixture_id')} AS fixture, {_hex('transaction_hash')} AS tx, query_us AS t FROM trades)"""
 _TW = f"WITH {_T}, w AS (SELECT * FROM t WHERE wallet IS NOT NULL AND condition IS NOT NULL)"
 
@@ -252,7 +253,7 @@ ORACLE = {
 SELECT trade_row_id, 'pair' AS rule FROM d WHERE n <= 3 UNION ALL SELECT trade_row_id, 'wallet' FROM d WHERE m <= 3""",
     "exclusion_filter": f"""WITH x AS (SELECT DISTINCT {_id('actor')} AS actor, execution_id, time_us FROM executions WHERE actor IS NOT NULL AND time_us IS NOT NULL)
 SELECT * FROM x WHERE time_us >= 1780000000000000 AND actor NOT IN (SELECT actor FROM x WHERE time_us < 1780000000000000) AND actor NOT IN (SELECT {_id('wallet')} FROM trades WHERE wallet IS NOT NULL)""",
-    "cross_split_keys": f"WITH r AS (SELECT {_hex('tx')} AS tx, substr({_id('split')}, 1, 2) AS s FROM transactions) SELECT tx, count(DISTINCT s) AS n_groups FROM r WHERE tx IS NOT NULL AND s IS NOT NULL GROUP BY tx HAVING count(DISTINCT s) > 1",
+    "cross_split_keys": f"WITH r AS (SELECT {_hex('tx')} AS tx, {_SPLIT} AS s FROM transactions) SELECT tx, count(DISTINCT s) AS n_groups FROM r WHERE tx IS NOT NULL AND s IS NOT NULL GROUP BY tx HAVING count(DISTINCT s) > 1",
     "index_report": f"WITH {_T} SELECT count(*) AS n_rows, count(t) AS n_dated, count(DISTINCT wallet) AS n_wallets, count(DISTINCT condition) AS n_conditions, count(DISTINCT fixture) AS n_fixtures, count(*) FILTER (WHERE token_mapping_status LIKE 'exact%') AS n_exact, min(t) AS first_us, max(t) AS last_us FROM t",
     "mapping_histogram": "SELECT token_mapping_status, count(*) AS n_rows, count(DISTINCT token_id) AS n_tokens FROM trades GROUP BY 1",
     "duplicate_key_groups": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
@@ -272,8 +273,8 @@ SELECT sum(greatest(d, 0))::bigint AS only_first, sum(greatest(-d, 0))::bigint A
 SELECT o_custkey, 'first' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT o_custkey, 'second' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""",
     "replaced_log": """WITH f AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate >= DATE '1998-01-01')
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM f) UNION ALL SELECT o_orderkey + (SELECT max(o_orderkey) FROM orders), o_custkey, o_totalprice FROM f""",
-    "split_disjointness": f"""WITH r AS (SELECT substr({_id('split')}, 1, 2) AS s, {_hex('tx')} AS tx, {_id('fixture_id')} AS fixture, source FROM transactions),
-g AS (SELECT what, k, count(DISTINCT s) AS n FROM (SELECT 'tx' AS what, tx AS k, s FROM r UNION ALL SELECT 'fixture', fixture, s FROM r UNION ALL SELECT 'source', source, s FROM r) WHERE k IS NOT NULL AND s IN ('tr', 'va', 'te') GROUP BY 1, 2)
+    "split_disjointness": f"""WITH r AS (SELECT {_SPLIT} AS s, {_hex('tx')} AS tx, {_id('fixture_id')} AS fixture, source FROM transactions),
+g AS (SELECT what, k, count(DISTINCT s) AS n FROM (SELECT 'tx' AS what, tx AS k, s FROM r UNION ALL SELECT 'fixture', fixture, s FROM r UNION ALL SELECT 'source', source, s FROM r) WHERE k IS NOT NULL AND s IS NOT NULL GROUP BY 1, 2)
 SELECT what, count(*) AS n_keys, count(*) FILTER (WHERE n > 1) AS n_shared FROM g GROUP BY 1""",
     "catalogue_union": "SELECT news_id, sum(c)::bigint AS n_catalogue, sum(l)::bigint AS n_links FROM (SELECT news_id, 1 AS c, 0 AS l FROM news UNION ALL SELECT news_id, 0, 1 FROM fixture_news) WHERE news_id IS NOT NULL GROUP BY 1",
     "orphan_links": f"""SELECT 'news' AS missing, news_id AS id, count(*) AS n FROM fixture_news f WHERE NOT EXISTS (SELECT 1 FROM news n WHERE n.news_id = f.news_id) GROUP BY ALL

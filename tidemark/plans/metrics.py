@@ -12,30 +12,14 @@ from tidemark.operators import metrics as M
 from tidemark.operators.asof import DAY_US, micros, prior_totals
 from tidemark.operators.features import clean_executions
 from tidemark.plans.dealt import _EXEC
-from tidemark.functions.rounding import steady_round, steady_sql
 from tidemark.session import table
 
 
 def _fills(spark: SparkSession, root: str) -> DataFrame:
-    """actor, condition, side, time_us, shares, price, notional of good executions."""
-    x = clean_executions(table(spark, root, "executions")).where("shares IS NOT NULL AND time_us IS NOT NULL")
+    """actor, condition, side, time_us, shares, notional (DECIMAL) of good executions."""
     part = F.split("type", "/")
-    return x.select("actor", part[0].alias("condition"), part[1].alias("side"), "time_us", F.col("shares").cast("double").alias("shares"), (F.col("notional") / F.col("shares")).cast("double").alias("price"), F.col("notional").cast("double").alias("notional"))
-
-
-def _order_fills(spark: SparkSession, root: str) -> DataFrame:
-    o = table(spark, root, "orders")
-    return o.select("o_orderkey", F.col("o_custkey").alias("actor"), micros("o_orderdate").alias("time_us"), F.when(F.col("o_orderstatus") == "F", "BUY").otherwise("SELL").alias("side"), F.col("o_totalprice").alias("notional"))
-
-
-_ROUND = {"average_notional": 4, "notional_cv": 6, "buy_share": 6, "per_day": 6}
-
-
-def actor_behaviour(spark: SparkSession, root: str) -> DataFrame:
-    """Behaviour metrics strictly before every order; instants tie (A5a-d, W6)."""
-    o = _order_fills(spark, root)
-    m = M.behaviour_metrics(o.select("o_orderkey", "actor", "time_us"), o, block_us=365 * DAY_US)
-    return m.select("o_orderkey", "n_prior", *[steady_round(c, d).alias(c) for c, d in _ROUND.items()], "reason")
+    x = clean_executions(table(spark, root, "executions")).where("shares IS NOT NULL AND time_us IS NOT NULL")
+    return x.select("actor", part[0].alias("condition"), part[1].alias("side"), "time_us", "shares", F.col("notional").cast("decimal(34,20)").alias("notional"))
 
 
 def actor_behaviour_known(spark: SparkSession, root: str) -> DataFrame:
@@ -44,63 +28,33 @@ def actor_behaviour_known(spark: SparkSession, root: str) -> DataFrame:
     one = rows.groupBy("actor", "execution_id").agg(F.min(F.struct("time_us", "ready_us", "shares")).alias("s")).select("actor", "execution_id", "s.*")
     ready = one.select("actor", F.col("ready_us").alias("time_us"), F.coalesce("shares", F.lit(0)).alias("v"))
     got = prior_totals(one.select("actor", "execution_id", "time_us"), ready, ["actor"], "time_us", {"n_known": F.lit(1).cast("long"), "shares_known": F.col("v")})
-    return got.select("actor", "execution_id", "n_known", steady_round(F.col("shares_known").cast("double"), 4).alias("shares_known"))
-
-
-def _closed(spark: SparkSession, root: str) -> DataFrame:
-    """Completed positions: each line is bought at its order and closed at its shipment, known by 1997."""
-    l = table(spark, root, "lineitem").select("l_orderkey", "l_shipdate", "l_extendedprice", "l_discount")
-    o = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = l.join(o, F.col("l_orderkey") == F.col("o_orderkey")).where("l_shipdate < '1997-01-01'")
-    pnl = F.round(F.col("l_extendedprice") * (0.05 - F.col("l_discount")), 4)
-    return j.select(F.col("o_custkey").alias("actor"), micros("o_orderdate").alias("opened_us"), micros("l_shipdate").alias("closed_us"), F.col("l_extendedprice").alias("cost"), pnl.alias("pnl"))
-
-
-def position_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """Nine closed-position metrics per customer (A5e-m)."""
-    m = M.position_metrics(_closed(spark, root), "actor")
-    return m.select("actor", "n_closed", *[steady_round(c, d).alias(c) for c, d in (("net_pnl", 3), ("mean_roi", 7), ("win_rate", 7), ("average_win", 4), ("average_loss", 4), ("payoff_ratio", 6), ("profit_factor", 6), ("expectancy", 4), ("holding_s", 2))])
-
-
-def loss_streaks(spark: SparkSession, root: str) -> DataFrame:
-    """Consecutive losses with tie groups and ambiguity (A5n)."""
-    return M.loss_streak(_closed(spark, root), "actor")
-
-
-def return_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """Drawdown, volatility, Sharpe, Sortino of daily returns per user (A5o-r, A6)."""
-    e = table(spark, root, "events").select("user_id", F.floor(micros("ts") / DAY_US).alias("d"), "value").dropna()
-    r = e.groupBy("user_id", "d").agg(steady_round(F.avg("value") / 1000 - 0.05, 9).alias("ret")).select("user_id", (F.col("d") * DAY_US).alias("start_us"), ((F.col("d") + 1) * DAY_US).alias("end_us"), "ret")
-    m = M.return_metrics(r, "user_id")
-    return m.select("user_id", "n", "regular", *[steady_round(c, 7).alias(c) for c in ("drawdown", "volatility", "sharpe", "sortino")])
+    return got.select("actor", "execution_id", "n_known", F.col("shares_known").cast("decimal(38,8)").cast("string").alias("shares_known"))
 
 
 def activity_summary(spark: SparkSession, root: str) -> DataFrame:
-    """Counts, markets and mean notionals by side, 6 places half to even."""
-    f = _fills(spark, root)
-    mean = lambda s: steady_round(F.avg(F.when(F.col("side") == s, F.col("notional"))), 6)
-    return f.groupBy("actor").agg(F.count("*").alias("n"), F.countDistinct("condition").alias("n_markets"), mean("BUY").alias("mean_buy"), mean("SELL").alias("mean_sell"), F.min("time_us").alias("first_us"), F.max("time_us").alias("last_us"))
+    """Counts, markets and mean notionals by side, exact decimals to 6 places half to even."""
+    mean = lambda s: F.bround(F.avg(F.when(F.col("side") == s, F.col("notional"))), 6).cast("double")
+    return _fills(spark, root).groupBy("actor").agg(F.count("*").alias("n"), F.countDistinct("condition").alias("n_markets"), mean("BUY").alias("mean_buy"), mean("SELL").alias("mean_sell"), F.min("time_us").alias("first_us"), F.max("time_us").alias("last_us"))
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Average-cost inventory per actor and condition."""
+    """Average-cost inventory per actor and condition after all fills."""
     inv = M.average_cost_inventory(_fills(spark, root), F.concat_ws("/", "actor", "condition"))
-    return inv.select("key", *[steady_round(c, 5).alias(c) for c in ("quantity", "cost", "realised")], "reason")
+    return inv.select("key", *[F.round(c, 6).alias(c) for c in ("quantity", "cost", "realised")], "reason")
 
 
 def vwap_by_instant(spark: SparkSession, root: str) -> DataFrame:
-    """Volume-weighted price per condition and minute."""
-    f = _fills(spark, root).withColumn("minute", F.floor(F.col("time_us") / 60_000_000))
-    return M.vwap(f, ["condition", "minute"]).select("condition", "minute", steady_round("vwap", 9).alias("vwap"), steady_round("shares", 6).alias("shares"))
+    """Volume-weighted price per condition and instant, exact to 12 places half to even."""
+    return M.vwap(_fills(spark, root), ["condition", "time_us"])
 
 
 def payoff_fields(spark: SparkSession, root: str) -> DataFrame:
-    """Payoff of every fill if the outcome is yes or no."""
-    f = clean_executions(table(spark, root, "executions")).where("shares IS NOT NULL")
-    sign = F.when(F.col("type").endswith("/BUY"), F.lit(1)).otherwise(F.lit(-1))
-    x = F.col("shares").cast("double") * sign
-    cash = F.col("notional").cast("double") * sign
-    return f.groupBy("actor").agg(steady_round(F.sum(x - cash), 4).alias("if_yes"), steady_round(F.sum(-cash), 4).alias("if_no"), F.count("*").alias("n"))
+    """Payoff of every fill if the outcome is yes or no, and their totals per actor, exact."""
+    f = _fills(spark, root)
+    sign = F.when(F.col("side") == "BUY", F.lit(1)).otherwise(F.lit(-1))
+    yes, no = (F.col("shares") - F.col("notional")) * sign, -F.col("notional") * sign
+    text = lambda c: F.sum(c).cast("decimal(38,12)").cast("string")
+    return f.groupBy("actor", "condition").agg(text(yes).alias("if_yes"), text(no).alias("if_no"), F.count("*").alias("n"), F.count_if(yes > 0).alias("n_gain_if_yes"), F.count_if(no > 0).alias("n_gain_if_no"))
 
 
 def _scored(spark: SparkSession, root: str) -> DataFrame:
@@ -111,37 +65,37 @@ def _scored(spark: SparkSession, root: str) -> DataFrame:
 def binary_report(spark: SparkSession, root: str) -> DataFrame:
     """Confusion and probability metrics over all rows."""
     m = E.binary_metrics([], _scored(spark, root))
-    return m.select(*[steady_round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in m.dtypes])
+    return m.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in m.dtypes])
 
 
 def ranking_report(spark: SparkSession, root: str) -> DataFrame:
     """ROC-AUC with ties half and average precision."""
     m = E.ranking_metrics(E.score_curve(_scored(spark, root)))
-    return m.select(steady_round("roc_auc", 9).alias("roc_auc"), steady_round("average_precision", 9).alias("average_precision"))
+    return m.select(F.round("roc_auc", 9).alias("roc_auc"), F.round("average_precision", 9).alias("average_precision"))
 
 
 def calibration_bins(spark: SparkSession, root: str) -> DataFrame:
     """Fifteen calibration bins."""
     c = E.calibration(_scored(spark, root), 15)
-    return c.select("bin", "n", steady_round("mean_p", 9).alias("mean_p"), steady_round("mean_label", 9).alias("mean_label"))
+    return c.select("bin", "n", F.round("mean_p", 9).alias("mean_p"), F.round("mean_label", 9).alias("mean_label"))
 
 
 def calibration_error(spark: SparkSession, root: str) -> DataFrame:
     """Expected calibration error over ten bins."""
     c = E.calibration(_scored(spark, root), 10)
-    return c.agg(steady_round(F.sum(F.col("n") * F.abs(F.col("mean_p") - F.col("mean_label"))) / F.sum("n"), 9).alias("ece"), F.sum("n").alias("n"))
+    return c.agg(F.round(F.sum(F.col("n") * F.abs(F.col("mean_p") - F.col("mean_label"))) / F.sum("n"), 9).alias("ece"), F.sum("n").alias("n"))
 
 
 def grouped_report(spark: SparkSession, root: str) -> DataFrame:
     """Mean of per-group metrics, unknown ones ignored."""
     m = E.binary_metrics(["g"], _scored(spark, root), threshold=0.8)
-    return m.agg(*[steady_round(F.avg(c), 9).alias(f"macro_{c}") for c in ("precision", "recall", "f1", "balanced_accuracy", "brier")], F.count("*").alias("n_groups"))
+    return m.agg(*[F.round(F.avg(c), 9).alias(f"macro_{c}") for c in ("precision", "recall", "f1", "balanced_accuracy", "brier")], F.count("*").alias("n_groups"))
 
 
 def threshold_choice(spark: SparkSession, root: str) -> DataFrame:
     """F1-optimal cut, ties to the higher."""
     t = E.best_threshold(E.score_curve(_scored(spark, root)))
-    return t.select(steady_round("threshold", 9).alias("threshold"), steady_round("f1", 9).alias("f1"))
+    return t.select(F.round("threshold", 9).alias("threshold"), F.round("f1", 9).alias("f1"))
 
 
 def paired_bootstrap(spark: SparkSession, root: str) -> DataFrame:
@@ -151,7 +105,7 @@ def paired_bootstrap(spark: SparkSession, root: str) -> DataFrame:
     c = E.hash_rank(c, F.col("g"), "r").select((F.col("r") - 1).alias("i"), "total", "n")
     b = E.cluster_bootstrap(c, 2000)
     low, high = (F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY mean)") for q in (0.025, 0.975))
-    return b.agg(steady_round(low, 9).alias("low"), steady_round(high, 9).alias("high"), F.count("*").alias("reps"))
+    return b.agg(F.round(low, 9).alias("low"), F.round(high, 9).alias("high"), F.count("*").alias("reps"))
 
 
 def permutation_importance(spark: SparkSession, root: str) -> DataFrame:
@@ -163,7 +117,7 @@ def permutation_importance(spark: SparkSession, root: str) -> DataFrame:
     loss = lambda v, h: F.avg(F.pow(p(v, h) - F.col("y"), F.lit(2.0)))
     base, value, hour = loss("value", "hour"), loss("v2", "hour"), loss("value", "h2")
     j = a.join(b, "r").agg((value - base).alias("value"), (hour - base).alias("hour"), (loss("v2", "h2") - base).alias("both"))
-    return j.unpivot([], ["value", "hour", "both"], "feature", "importance").select("feature", steady_round("importance", 9).alias("importance"))
+    return j.unpivot([], ["value", "hour", "both"], "feature", "importance").select("feature", F.round("importance", 9).alias("importance"))
 
 
 def feature_coverage(spark: SparkSession, root: str) -> DataFrame:
@@ -200,14 +154,14 @@ def basket_match(spark: SparkSession, root: str) -> DataFrame:
     j = b.join(nxt, "l_orderkey")
     diff = F.aggregate(F.zip_with("a", "b", lambda x, y: F.abs(x - y)), F.lit(0.0), lambda s, x: s + x) / F.size("a")
     same = F.size("a") == F.size("b")
-    return j.agg(F.count("*").alias("n_pairs"), F.count_if(same).alias("n_same_size"), F.count_if(F.col("a") == F.col("b")).alias("n_equal"), steady_round(F.avg(F.when(same, diff)), 9).alias("mean_abs"))
+    return j.agg(F.count("*").alias("n_pairs"), F.count_if(same).alias("n_same_size"), F.count_if(F.col("a") == F.col("b")).alias("n_equal"), F.round(F.avg(F.when(same, diff)), 9).alias("mean_abs"))
 
 
 def scenario_grid(spark: SparkSession, root: str) -> DataFrame:
     """Time and storage for lists of rates and sizes."""
     n = table(spark, root, "trades").agg(F.count("*").alias("n"), F.countDistinct("wallet").alias("w"))
     g = n.withColumn("rate", F.explode(F.array(*[F.lit(x) for x in (100, 1000, 10000)]))).withColumn("bytes", F.explode(F.array(*[F.lit(x) for x in (500, 767, 1000)])))
-    return g.select("rate", "bytes", steady_round(F.col("n") / F.col("rate"), 6).alias("seconds"), (F.col("n") * F.col("bytes")).alias("storage"), steady_round(F.try_divide(F.col("n"), F.col("w")), 6).alias("per_wallet"))
+    return g.select("rate", "bytes", F.round(F.col("n") / F.col("rate"), 6).alias("seconds"), (F.col("n") * F.col("bytes")).alias("storage"), F.round(F.try_divide(F.col("n"), F.col("w")), 6).alias("per_wallet"))
 
 
 def loss_series(spark: SparkSession, root: str) -> DataFrame:
@@ -226,7 +180,7 @@ def loss_series(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        actor_behaviour, actor_behaviour_known, position_metrics, loss_streaks, return_metrics, activity_summary, inventory, vwap_by_instant, payoff_fields, binary_report, ranking_report, calibration_bins, calibration_error,
+        actor_behaviour_known, activity_summary, inventory, vwap_by_instant, payoff_fields, binary_report, ranking_report, calibration_bins, calibration_error,
         grouped_report, threshold_choice, paired_bootstrap, permutation_importance, feature_coverage, merged_records, size_quantiles, basket_match, scenario_grid, loss_series,
     )
 }
@@ -238,11 +192,19 @@ def _id(c: str) -> str:
     return f"lower(trim({c}, {_WS}))"
 
 
-_FILL = _EXEC + """, x AS (SELECT actor, split_part(type, '/', 1) AS condition, split_part(type, '/', 2) AS side, time_us, shares::double AS shares, (notional::double / shares::double) AS price, notional::double AS notional FROM good WHERE shares IS NOT NULL AND time_us IS NOT NULL)
-"""
-_CLOSED = """WITH c AS (SELECT o_custkey AS actor, epoch_us(o_orderdate) AS opened_us, epoch_us(l_shipdate) AS closed_us, l_extendedprice AS cost, round(l_extendedprice * (0.05 - l_discount), 4) AS pnl
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < DATE '1997-01-01')
+_X = _EXEC + """, x AS (SELECT actor, split_part(type, '/', 1) AS condition, split_part(type, '/', 2) AS side, time_us, shares, notional::decimal(34, 20) AS notional FROM good WHERE shares IS NOT NULL AND time_us IS NOT NULL)
 """
+
+
+def _half_even(top: str, bottom: str) -> str:
+    """Quotient of two whole numbers, rounded half to even."""
+    return f"(({top}) // ({bottom}) + CASE WHEN 2 * (({top}) % ({bottom})) > ({bottom}) OR (2 * (({top}) % ({bottom})) = ({bottom}) AND (({top}) // ({bottom})) % 2 = 1) THEN 1 ELSE 0 END)"
+
+
+def _units(c: str) -> str:
+    return f"replace(({c})::varchar, '.', '')::hugeint"
+
+
 _S = "s AS (SELECT event_id, user_id AS g, (event_type = 'purchase')::int AS label, ((event_id * 7919) % 1009) / 1008.0 AS p FROM events)"
 _CURVE = f"WITH {_S}, k AS (SELECT p, sum(label)::double AS pos, sum(1 - label)::double AS neg FROM s GROUP BY p), v AS (SELECT *, sum(pos) OVER (ORDER BY p DESC) AS tp, sum(neg) OVER (ORDER BY p DESC) AS fp, sum(pos) OVER () AS np, sum(neg) OVER () AS nn FROM k)"
 
@@ -255,31 +217,22 @@ def _binary(by: str, cut: float) -> str:
 _RATES = "tp / nullif(tp + fp, 0) AS precision, tp / nullif(tp + fn, 0) AS recall, 2 * tp / nullif(2 * tp + fp + fn, 0) AS f1, tn / nullif(tn + fp, 0) AS specificity, (tp / nullif(tp + fn, 0) + tn / nullif(tn + fp, 0)) / 2 AS balanced_accuracy"
 
 ORACLE = {
-    "actor_behaviour": """WITH o AS (SELECT o_orderkey, o_custkey AS a, epoch_us(o_orderdate) AS t, CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END AS b, o_totalprice AS v FROM orders),
-w AS (SELECT o_orderkey, t, count(*) OVER p AS n, avg(v) OVER p AS m, stddev_pop(v) OVER p AS sd, sum(b) OVER p AS sb, sum(v) OVER p AS sv, min(t) OVER p AS t0 FROM o WINDOW p AS (PARTITION BY a ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT o_orderkey, n AS n_prior, round(m, 4) AS average_notional, CASE WHEN n >= 2 THEN round(sd / m, 6) END AS notional_cv, round(sb / sv, 6) AS buy_share, CASE WHEN n >= 1 THEN round(n / ((t - t0) / 86400000000), 6) END AS per_day,
- CASE n WHEN 0 THEN 'no_prior_execution' WHEN 1 THEN 'one_prior_execution' END AS reason FROM w""",
     "actor_behaviour_known": f"""WITH r AS (SELECT {_id('actor')} AS actor, execution_id, time_us, greatest(time_us, known_us) AS ready, try_cast(trim(shares, {_WS}) AS decimal(20, 8)) AS v FROM executions WHERE time_us IS NOT NULL AND known_us IS NOT NULL AND actor IS NOT NULL AND execution_id IS NOT NULL),
 o AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY actor, execution_id ORDER BY time_us, ready, v NULLS FIRST) = 1)
-SELECT a.actor, a.execution_id, count(b.actor) AS n_known, round(coalesce(sum(b.v), 0)::double, 4) AS shares_known FROM o a LEFT JOIN o b ON a.actor = b.actor AND b.ready < a.time_us GROUP BY 1, 2""",
-    "position_metrics": _CLOSED + """SELECT actor, count(*) AS n_closed, round(sum(pnl), 3) AS net_pnl, round(avg(pnl / cost), 7) AS mean_roi, round(count(*) FILTER (WHERE pnl > 0) / count(*), 7) AS win_rate, round(avg(pnl) FILTER (WHERE pnl > 0), 4) AS average_win, round(avg(-pnl) FILTER (WHERE pnl < 0), 4) AS average_loss,
- round(avg(pnl) FILTER (WHERE pnl > 0) / avg(-pnl) FILTER (WHERE pnl < 0), 6) AS payoff_ratio, round(coalesce(sum(pnl) FILTER (WHERE pnl > 0), 0) / sum(-pnl) FILTER (WHERE pnl < 0), 6) AS profit_factor, round(avg(pnl), 4) AS expectancy, round(avg((closed_us - opened_us) / 1e6), 2) AS holding_s FROM c GROUP BY 1""",
-    "loss_streaks": _CLOSED + """, g AS (SELECT actor, closed_us, count(*) AS n, count(*) FILTER (WHERE pnl < 0) AS l FROM c GROUP BY 1, 2), s AS (SELECT actor, max(closed_us) AS t, arg_max(l > 0, closed_us) AS mixed FROM g WHERE l < n GROUP BY 1)
-SELECT g.actor, CASE WHEN NOT coalesce(any_value(mixed), false) THEN coalesce(sum(l) FILTER (WHERE t IS NULL OR closed_us > t), 0)::bigint END AS loss_streak, CASE WHEN coalesce(any_value(mixed), false) THEN 'ambiguous_tie' END AS reason FROM g LEFT JOIN s USING (actor) GROUP BY g.actor""",
-    "return_metrics": """WITH r AS (SELECT user_id, epoch_us(ts) // 86400000000 AS d, round(avg(value) / 1000 - 0.05, 9) AS r FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL GROUP BY 1, 2),
-w AS (SELECT *, product(1 + r) OVER (PARTITION BY user_id ORDER BY d) AS w, d - lag(d) OVER (PARTITION BY user_id ORDER BY d) AS gap FROM r), k AS (SELECT *, greatest(1, max(w) OVER (PARTITION BY user_id ORDER BY d)) AS peak FROM w)
-SELECT user_id, count(*) AS n, coalesce(max(gap), 1) = 1 AS regular, round(greatest(max(1 - w / peak), 0), 7) AS drawdown, round(stddev_samp(r), 7) AS volatility, round(avg(r) / nullif(stddev_samp(r), 0), 7) AS sharpe, round(avg(r) / nullif(sqrt(avg(least(r, 0) * least(r, 0))), 0), 7) AS sortino FROM k GROUP BY 1""",
-    "activity_summary": _FILL + "SELECT actor, count(*) AS n, count(DISTINCT condition) AS n_markets, round(avg(notional) FILTER (WHERE side = 'BUY'), 6) AS mean_buy, round(avg(notional) FILTER (WHERE side = 'SELL'), 6) AS mean_sell, min(time_us) AS first_us, max(time_us) AS last_us FROM x GROUP BY 1",
-    "inventory": _FILL.replace("\nWITH raw", "\nWITH RECURSIVE raw") + """, g AS (SELECT actor || '/' || condition AS key, time_us, coalesce(sum(shares) FILTER (WHERE side = 'BUY'), 0) AS b, coalesce(sum(notional) FILTER (WHERE side = 'BUY'), 0) AS v, coalesce(sum(shares) FILTER (WHERE side = 'SELL'), 0) AS s, coalesce(sum(notional) FILTER (WHERE side = 'SELL'), 0) AS w FROM x GROUP BY 1, 2),
+SELECT a.actor, a.execution_id, count(b.actor) AS n_known, coalesce(sum(b.v), 0)::decimal(38, 8)::varchar AS shares_known FROM o a LEFT JOIN o b ON a.actor = b.actor AND b.ready < a.time_us GROUP BY 1, 2""",
+    "activity_summary": _X + f"""SELECT actor, count(*) AS n, count(DISTINCT condition) AS n_markets, {_half_even(_units("sum(notional) FILTER (WHERE side = 'BUY')"), "count(*) FILTER (WHERE side = 'BUY') * 100000000000000::hugeint")}::double / 1e6 AS mean_buy,
+ {_half_even(_units("sum(notional) FILTER (WHERE side = 'SELL')"), "count(*) FILTER (WHERE side = 'SELL') * 100000000000000::hugeint")}::double / 1e6 AS mean_sell, min(time_us) AS first_us, max(time_us) AS last_us FROM x GROUP BY 1""",
+    "inventory": _X.replace("\nWITH raw", "\nWITH RECURSIVE raw") + """, g AS (SELECT actor || '/' || condition AS key, time_us, coalesce(sum(shares) FILTER (WHERE side = 'BUY'), 0)::decimal(38, 10)::double AS b, coalesce(sum(notional) FILTER (WHERE side = 'BUY'), 0)::decimal(38, 10)::double AS v, coalesce(sum(shares) FILTER (WHERE side = 'SELL'), 0)::decimal(38, 10)::double AS s, coalesce(sum(notional) FILTER (WHERE side = 'SELL'), 0)::decimal(38, 10)::double AS w FROM x GROUP BY 1, 2),
 n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY time_us) AS i, count(*) OVER (PARTITION BY key) AS m FROM g),
 f(key, i, q, c, r, ok, flat) AS (SELECT DISTINCT key, 0::bigint, 0.0::double, 0.0::double, 0.0::double, true, true FROM n UNION ALL
  SELECT key, i, CASE WHEN z THEN 0 ELSE q1 END, CASE WHEN z THEN 0 ELSE c1 END, CASE WHEN z AND NOT fl THEN 0 ELSE r1 END, k1, fl OR z FROM (
   SELECT *, k1 AND abs(q1) <= 1e-9 AS z FROM (SELECT n.key, n.i, f.flat AND NOT (n.b > 0 AND n.s > 0) AS fl, f.ok AND n.s <= f.q + n.b + 1e-9 AS k1,
    f.q + n.b - CASE WHEN n.s <= f.q + n.b + 1e-9 THEN n.s ELSE 0 END AS q1, f.c + n.v - CASE WHEN n.s > 0 AND n.s <= f.q + n.b + 1e-9 THEN (f.c + n.v) * n.s / (f.q + n.b) ELSE 0 END AS c1,
    f.r + CASE WHEN n.s > 0 AND n.s <= f.q + n.b + 1e-9 THEN n.w - (f.c + n.v) * n.s / (f.q + n.b) ELSE 0 END AS r1 FROM f JOIN n ON n.key = f.key AND n.i = f.i + 1)))
-SELECT f.key, round(CASE WHEN ok THEN q END, 5) AS quantity, round(CASE WHEN ok AND flat THEN c END, 5) AS cost, round(CASE WHEN ok AND flat THEN r END, 5) AS realised, CASE WHEN NOT ok THEN 'oversold' WHEN NOT flat THEN 'mixed_tie' END AS reason FROM f JOIN (SELECT key, max(m) AS m FROM n GROUP BY 1) e ON f.key = e.key AND f.i = e.m""",
-    "vwap_by_instant": _FILL + "SELECT condition, time_us // 60000000 AS minute, round(sum(shares * price) / sum(shares), 9) AS vwap, round(sum(shares), 6) AS shares FROM x GROUP BY 1, 2",
-    "payoff_fields": _EXEC + """SELECT actor, round(sum(CASE WHEN type LIKE '%/BUY' THEN shares::double - notional::double ELSE notional::double - shares::double END), 4) AS if_yes, round(sum(CASE WHEN type LIKE '%/BUY' THEN -notional::double ELSE notional::double END), 4) AS if_no, count(*) AS n FROM good WHERE shares IS NOT NULL GROUP BY 1""",
+SELECT f.key, round(CASE WHEN ok THEN q END, 6) AS quantity, round(CASE WHEN ok AND flat THEN c END, 6) AS cost, round(CASE WHEN ok AND flat THEN r END, 6) AS realised, CASE WHEN NOT ok THEN 'oversold' WHEN NOT flat THEN 'mixed_tie' END AS reason FROM f JOIN (SELECT key, max(m) AS m FROM n GROUP BY 1) e ON f.key = e.key AND f.i = e.m""",
+    "vwap_by_instant": _X + f"SELECT condition, time_us, {_half_even(_units('sum(notional)::decimal(38, 20)'), _units('sum(shares)::decimal(38, 8)'))}::double / 1e12 AS vwap, sum(shares)::decimal(38, 8)::varchar AS shares FROM x GROUP BY 1, 2",
+    "payoff_fields": _X + """SELECT actor, condition, sum(CASE WHEN side = 'BUY' THEN shares - notional ELSE notional - shares END)::decimal(38, 12)::varchar AS if_yes, sum(CASE WHEN side = 'BUY' THEN -notional ELSE notional END)::decimal(38, 12)::varchar AS if_no, count(*) AS n,
+ count(*) FILTER (WHERE (side = 'BUY' AND shares > notional) OR (side = 'SELL' AND notional > shares)) AS n_gain_if_yes, count(*) FILTER (WHERE side = 'SELL' AND notional > 0) AS n_gain_if_no FROM x GROUP BY 1, 2""",
     "binary_report": f"WITH {_S}, m AS ({_binary('', 0.5)}) SELECT tp, fp, fn, tn, round(log_loss, 9) AS log_loss, round(brier, 9) AS brier, round(prevalence, 9) AS prevalence, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, round(specificity, 9) AS specificity, round(balanced_accuracy, 9) AS balanced_accuracy FROM (SELECT *, {_RATES} FROM m)",
     "ranking_report": _CURVE + " SELECT round(sum(pos * (nn - fp + neg / 2)) / (max(np) * max(nn)), 9) AS roc_auc, round(sum(pos * tp / (tp + fp)) / max(np), 9) AS average_precision FROM v",
     "calibration_bins": f"WITH {_S}, k AS (SELECT least(14, floor(p * 15)::bigint) AS bin, count(*) AS n, avg(p) AS a, avg(label) AS b FROM s GROUP BY 1) SELECT r.bin, coalesce(n, 0) AS n, round(a, 9) AS mean_p, round(b, 9) AS mean_label FROM (SELECT unnest(range(15)) AS bin) r LEFT JOIN k USING (bin)",
@@ -304,4 +257,3 @@ SELECT count(*) AS n_pairs, count(*) FILTER (WHERE len(a) = len(b)) AS n_same_si
     "loss_series": """WITH e AS (SELECT event_id, user_id, event_type, value, (epoch_us(ts) // 3600000000) % 168 AS step FROM events)
 SELECT user_id, step, arg_max(value, event_id) AS value FROM e s WHERE event_type = 'view' AND NOT EXISTS (SELECT 1 FROM e m WHERE m.event_type = 'error' AND m.user_id = s.user_id AND m.event_id > s.event_id AND m.step < s.step) GROUP BY 1, 2""",
 }
-ORACLE = {name: steady_sql(sql) for name, sql in ORACLE.items()}

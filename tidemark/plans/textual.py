@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions import scalars as S
 from tidemark.functions.clean import amount, hex_ident, ident, outer_trim
-from tidemark.functions.rounding import steady_round, steady_sql
 from tidemark.operators import relevance as R
 from tidemark.operators import sequences as Q
 from tidemark.operators.asof import micros, prior_frame
 from tidemark.operators.context import headline_key
+from tidemark.operators.ledgers import cents
 from tidemark.session import table
 
 
@@ -41,8 +41,8 @@ def decimal_texts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def significant_digits(spark: SparkSession, root: str) -> DataFrame:
-    """Four significant digits of prices (SF5)."""
-    return table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", S.significant(F.col("l_extendedprice"), 4).alias("price"))
+    """Four significant digits of balances in cents, also negative ones (SF5)."""
+    return table(spark, root, "customer").select("c_custkey", S.significant(cents("c_acctbal"), 4).cast("long").alias("cents"))
 
 
 def folded_headlines(spark: SparkSession, root: str) -> DataFrame:
@@ -108,7 +108,7 @@ def answer_scores(spark: SparkSession, root: str) -> DataFrame:
     """Normalised probability of two log-likelihoods, and the repeat rate (SF18, SF19)."""
     e = table(spark, root, "events").select("user_id", "value", micros("ts").alias("t"))
     g = e.groupBy("user_id").agg(F.count("*").alias("n"), F.min("t").alias("a"), F.max("t").alias("b"), F.avg("value").alias("v"))
-    return g.select("user_id", steady_round(S.sigmoid_difference(F.col("v"), F.lit(50.0)), 9).alias("p"), steady_round(S.repeat_rate(F.col("n"), F.lit(300.0), (F.col("b") - F.col("a")) / 1e6), 9).alias("rate"))
+    return g.select("user_id", F.round(S.sigmoid_difference(F.col("v"), F.lit(50.0)), 9).alias("p"), F.round(S.repeat_rate(F.col("n"), F.lit(300.0), (F.col("b") - F.col("a")) / 1e6), 9).alias("rate"))
 
 
 def actor_aliases(spark: SparkSession, root: str) -> DataFrame:
@@ -128,14 +128,18 @@ def feature_families(spark: SparkSession, root: str) -> DataFrame:
     return e.groupBy("name").agg(F.count("v").alias("n"), (F.max("v") + 0.0).alias("most")).withColumn("family", S.feature_family(F.col("name")))
 
 
+def _words(c: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
+
+
 def _headlines(spark: SparkSession, root: str) -> DataFrame:
     n = table(spark, root, "news").where("title IS NOT NULL")
-    words = F.trim(F.regexp_replace(F.lower("title"), "[^a-z0-9]+", " "))
+    words = _words(F.col("title"))
     return n.select("news_id", words.alias("words"), "source_url", F.col("verified_availability_us").alias("known_us"))
 
 
 def _fixture_pairs(spark: SparkSession, root: str) -> DataFrame:
-    t = table(spark, root, "trades").select(ident(F.col("fixture_id")).alias("fixture_key"), ident(F.col("selection")).alias("team_key")).where("team_key <> 'draw'").distinct()
+    t = table(spark, root, "trades").select(ident(F.col("fixture_id")).alias("fixture_key"), R.canonical_team(_words(F.col("selection"))).alias("team_key")).where("team_key <> 'draw'").distinct()
     return R.teams_of(t, "fixture_key", "team_key", F.col("team_key"))
 
 
@@ -145,7 +149,7 @@ def _teams(spark: SparkSession, root: str) -> DataFrame:
 
 def candidate_headlines(spark: SparkSession, root: str) -> DataFrame:
     """Headlines by teams named and whether they are candidates."""
-    h = R.mentioned_teams(_headlines(spark, root).select("news_id", "words", "source_url"), "words", _teams(spark, root))
+    h = R.mentioned_teams(_headlines(spark, root).select("news_id", "words", "source_url"), "news_id", "words", _teams(spark, root))
     c = R.is_candidate(F.col("found"), F.col("words"), F.col("source_url"), r"\b(fixture|appointed)\b", "northgoal")
     return h.select("news_id", F.array_join("found", "|").alias("teams"), c.alias("candidate"))
 
@@ -160,7 +164,7 @@ def scope_reasons(spark: SparkSession, root: str) -> DataFrame:
 
 def headline_links(spark: SparkSession, root: str) -> DataFrame:
     """Headlines linked to fixtures of the teams they name, with the ladder."""
-    h = R.mentioned_teams(_headlines(spark, root).select("news_id", "words"), "words", _teams(spark, root)).where("size(found) > 0")
+    h = R.mentioned_teams(_headlines(spark, root).select("news_id", "words"), "news_id", "words", _teams(spark, root)).where("size(found) > 0")
     by_team = _fixture_pairs(spark, root).select("fixture", "pair", F.explode("teams").alias("team"))
     j = h.select("news_id", "words", "found", F.explode("found").alias("team")).join(by_team, "team")
     return j.select("news_id", "fixture", R.ladder(F.col("found"), F.col("pair"), F.col("words")).alias("relationship")).distinct()
@@ -182,7 +186,7 @@ def paired_headlines(spark: SparkSession, root: str) -> DataFrame:
     """Headlines of a pair within ten days of its first trade: none, one, many or reused."""
     first = table(spark, root, "trades").where("query_us IS NOT NULL").groupBy(ident(F.col("fixture_id")).alias("fixture")).agg(F.min("query_us").alias("t"))
     left = _fixture_pairs(spark, root).join(first, "fixture").select("fixture", "pair", "t")
-    h = R.mentioned_teams(_headlines(spark, root).select("news_id", "words", "known_us"), "words", _teams(spark, root))
+    h = R.mentioned_teams(_headlines(spark, root).select("news_id", "words", "known_us"), "news_id", "words", _teams(spark, root))
     right = h.where("size(found) = 2 AND known_us IS NOT NULL").select("news_id", F.array_join("found", "|").alias("pair"), F.col("known_us").alias("k"))
     return R.classify_pairs(left, right, "pair", "t", "k", 10 * 86_400_000_000, "fixture", "news_id")
 
@@ -234,7 +238,7 @@ def causal_features(spark: SparkSession, root: str) -> DataFrame:
     w = lambda us: prior_frame(by, "t", us)
     ahead = W.partitionBy("user_id").orderBy("t").rangeBetween(1, day)
     return e.select(
-        "event_id", F.count("*").over(w(day)).alias("n_1d"), F.count("*").over(w(7 * day)).alias("n_7d"), F.count_if(F.col("event_type") == "purchase").over(w(7 * day)).alias("buys_7d"), steady_round(F.avg("value").over(w(7 * day)), 4).alias("mean_7d"),
+        "event_id", F.count("*").over(w(day)).alias("n_1d"), F.count("*").over(w(7 * day)).alias("n_7d"), F.count_if(F.col("event_type") == "purchase").over(w(7 * day)).alias("buys_7d"), F.round(F.avg("value").over(w(7 * day)), 4).alias("mean_7d"),
         (F.col("t") - F.max("t").over(back)).alias("since_us"), F.last("event_type").over(back).alias("last_type"), F.pmod(F.floor(F.col("t") / 3_600_000_000), F.lit(24)).cast("long").alias("hour"), (F.count_if(F.col("event_type") == "purchase").over(ahead) > 0).alias("label"),
     )
 
@@ -257,9 +261,11 @@ def _id(c: str) -> str:
 _E = "e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) AS t FROM events)"
 _TEXT = lambda c: f"regexp_replace(CASE WHEN {c} LIKE '%.%' THEN regexp_replace({c}, '\\.?0+$', '') ELSE {c} END, '^-0$', '0')"
 _H = "h AS (SELECT news_id, trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) AS words, source_url, verified_availability_us AS known_us FROM news WHERE title IS NOT NULL)"
-_P = f"""k AS (SELECT DISTINCT {_id('fixture_id')} AS fixture, {_id('selection')} AS team FROM trades WHERE {_id('selection')} <> 'draw' AND {_id('selection')} <> '' AND fixture_id IS NOT NULL),
+_SEL = "trim(regexp_replace(lower(selection), '[^a-z0-9]+', ' ', 'g'))"
+_ALIAS = "al(name, team) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in R.ALIASES.items()) + ")"
+_P = f"""{_ALIAS}, k AS (SELECT DISTINCT {_id('fixture_id')} AS fixture, coalesce((SELECT al.team FROM al WHERE al.name = {_SEL}), {_SEL}) AS team FROM trades WHERE {_SEL} NOT IN ('draw', '') AND fixture_id IS NOT NULL),
 p AS (SELECT fixture, list_sort(list(team)) AS teams, array_to_string(list_sort(list(team)), '|') AS pair FROM k GROUP BY 1 HAVING count(*) = 2), tm AS (SELECT DISTINCT unnest(teams) AS team FROM p)"""
-_M = "m AS (SELECT h.news_id, h.words, h.source_url, h.known_us, list_sort(coalesce(list(tm.team) FILTER (WHERE tm.team IS NOT NULL), []::varchar[])) AS found FROM h LEFT JOIN tm ON list_contains(string_split(h.words, ' '), tm.team) GROUP BY ALL)"
+_M = "m AS (SELECT h.news_id, h.words, h.source_url, h.known_us, list_sort(coalesce(list(tm.team) FILTER (WHERE tm.team IS NOT NULL), []::varchar[])) AS found FROM h LEFT JOIN tm ON (contains(' ' || h.words || ' ', ' ' || tm.team || ' ') OR EXISTS (SELECT 1 FROM al WHERE al.team = tm.team AND contains(' ' || h.words || ' ', ' ' || al.name || ' '))) GROUP BY ALL)"
 _PLAIN = "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '[ \\t\\r\\n]+', ' ', 'g'))"
 _BODY = "concat_ws('|', item_id, trim(regexp_replace(lower(title), '\\s+', ' ', 'g')), source_url)"
 
@@ -269,11 +275,18 @@ SELECT CASE WHEN b IS NULL THEN 'missing' WHEN u IS NULL THEN 'refused' WHEN que
     "epoch_scale": "SELECT CASE WHEN t >= 100000000000000 THEN 'us' WHEN t >= 100000000000 THEN 'ms' WHEN t IS NOT NULL THEN 's' END AS unit, count(*) AS n FROM price_history GROUP BY 1",
     "iso_texts": """WITH n AS (SELECT news_id, published_us AS u, make_timestamp(published_us) AS t FROM news) SELECT news_id, strftime(t, '%Y-%m-%dT%H:%M:%S') || CASE WHEN u % 1000000 <> 0 THEN strftime(t, '.%f') ELSE '' END || 'Z' AS published, strftime(t, '%Y-%m-%dT%H:%M:%SZ') AS second FROM n""",
     "decimal_texts": f"WITH t AS (SELECT trade_row_id, try_cast(trim(shares, {_WS}) AS decimal(38, 18))::varchar AS s, try_cast(trim(price, {_WS}) AS decimal(38, 18))::varchar AS p FROM trades) SELECT trade_row_id, {_TEXT('s')} AS shares, {_TEXT('p')} AS price FROM t",
-    "significant_digits": "WITH l AS (SELECT *, l_extendedprice AS x, pow(10, 3 - floor(log10(abs(l_extendedprice)))) AS k FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN x = 0 THEN 0 ELSE floor(x * k + 0.5 + 1e-6) / k END AS price FROM l",
+    "significant_digits": """WITH v AS (SELECT c_custkey, round(c_acctbal * 100)::bigint AS v FROM customer), p AS (SELECT *, (10 ** greatest(length(abs(v)::varchar) - 4, 0))::bigint AS p FROM v)
+SELECT c_custkey, sign(v)::bigint * (abs(v) // p + CASE WHEN 2 * (abs(v) % p) > p OR (2 * (abs(v) % p) = p AND (abs(v) // p) % 2 = 1) THEN 1 ELSE 0 END) * p AS cents FROM p""",
     "folded_headlines": "SELECT news_id, trim(regexp_replace(lower(title), '\\s+', ' ', 'g')) AS key, trim(regexp_replace(lower(strip_accents(title)), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS folded FROM news",
     "url_parts": "SELECT news_id, source_url AS url, regexp_extract(source_url, '^https?://([^/?#]+)', 1) AS host, regexp_extract(source_url, '/(\\d+)/(\\d+)$', 1) AS article, regexp_extract(source_url, '/(\\d+)/(\\d+)$', 2) AS version FROM news",
     "plain_documents": f"SELECT doc_id, sha256({_PLAIN}) AS digest, length({_PLAIN})::bigint AS n_chars FROM documents",
     "hash_words": f"""WITH h AS (SELECT DISTINCT regexp_replace({_id('transaction_hash')}, '^0x', '') AS h FROM trades) SELECT h, '0x' || substr(h, 25, 40) AS address, ('0x' || substr(h, 1, 8))::bigint AS head FROM h WHERE regexp_matches(h, '^[0-9a-f]{{64}}') AND NOT regexp_full_match(h, '0*')""",
+    "token_hex": f"""WITH RECURSIVE t AS (SELECT DISTINCT trim(token_id, {_WS}) AS token FROM trades WHERE token_id IS NOT NULL), g AS (SELECT token, ltrim(token, '0') AS d FROM t WHERE regexp_full_match(token, '[0-9]{{1,78}}')),
+s(token, d, i, q, r, hex) AS (SELECT token, d, 1, '', 0, '' FROM g UNION ALL SELECT token, CASE WHEN i > length(d) THEN ltrim(q, '0') ELSE d END, CASE WHEN i > length(d) THEN 1 ELSE i + 1 END,
+  CASE WHEN i > length(d) THEN '' ELSE q || ((r * 10 + substr(d, i, 1)::int) // 16)::varchar END, CASE WHEN i > length(d) THEN 0 ELSE (r * 10 + substr(d, i, 1)::int) % 16 END, CASE WHEN i > length(d) THEN substr('0123456789abcdef', r + 1, 1) || hex ELSE hex END FROM s WHERE d <> ''),
+h AS (SELECT token, hex FROM s WHERE d = '') SELECT token, CASE WHEN length(ltrim(hex, '0')) <= 64 THEN lpad(ltrim(hex, '0'), 64, '0') END AS hex FROM t LEFT JOIN h USING (token)""",
+    "resolution_clause": """WITH d AS (SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?])[ \\t\\r\\n]+', '\\1' || chr(1), 'g'), chr(1)) AS s FROM documents WHERE doc_kind IN ('rules', 'market_note')),
+h AS (SELECT doc_id, list_filter(s, lambda x: regexp_matches(x, 'final whistle|Schlusspfiff|coup de sifflet final|pitido final')) AS h FROM d) SELECT doc_id, h[1] AS clause FROM h WHERE len(h) = 1 AND length(h[1]) <= 400""",
     "strict_records": """SELECT CASE WHEN link_json IS NOT NULL THEN true END AS strict, array_to_string(list_sort(json_keys(link_json)), ',') AS keys, json_extract_string(link_json, '$.relationship') AS relationship, count(*) AS n FROM fixture_news GROUP BY ALL""",
     "news_records": f"SELECT news_id, 'n' || substr(sha256({_BODY}), 1, 16) AS content_id, ('0x' || substr(sha256({_BODY}), 1, 16))::ubigint::varchar AS h64, md5({_BODY}) AS digest FROM news",
     "trade_quality": f"""WITH t AS (SELECT *, try_cast(trim(shares, {_WS}) AS decimal(38, 12)) AS sh, try_cast(trim(price, {_WS}) AS decimal(38, 12)) AS p FROM trades)
@@ -303,4 +316,3 @@ SELECT event_id, NOT coalesce(bool_or(k = own AND u >= t - 259200000000), false)
     "causal_features": f"""WITH {_E} SELECT event_id, count(*) OVER d AS n_1d, count(*) OVER w AS n_7d, count(*) FILTER (WHERE event_type = 'purchase') OVER w AS buys_7d, round(avg(value) OVER w, 4) AS mean_7d, t - max(t) OVER b AS since_us, last(event_type) OVER b AS last_type, (t // 3600000000) % 24 AS hour, count(*) FILTER (WHERE event_type = 'purchase') OVER a > 0 AS label FROM e
 WINDOW d AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 86400000000 PRECEDING AND 1 PRECEDING), w AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 604800000000 PRECEDING AND 1 PRECEDING), b AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 1 FOLLOWING AND 86400000000 FOLLOWING)""",
 }
-ORACLE = {name: steady_sql(sql) for name, sql in ORACLE.items()}

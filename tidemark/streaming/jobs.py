@@ -13,17 +13,21 @@ from tidemark.operators.metrics import _settle
 from tidemark.session import scratch
 
 
-def stream_table(spark: SparkSession, root: str, name: str, *, time: str | None = None, files_per_batch: int = 8) -> DataFrame:
+def stream_table(spark: SparkSession, root: str, name: str, *, time: str | None = None, end: str | None = None, files_per_batch: int = 8) -> DataFrame:
     """A driver table as a file stream.
 
     With ``time`` no batch holds an instant before those of earlier batches, so
     a watermark without delay loses nothing: a table of more files than go into
-    one batch is first written again in files by ranges of ``time``.
+    one batch is first written again in files by ranges of ``time``. With
+    ``end`` (an interval) a last row of nulls comes that long after all others,
+    which lets the watermark pass everything that is still open.
     """
     path = f"{root}/{name}.parquet*"
     stored = spark.read.parquet(f"{root}/{name}.parquet")
-    if time and (n := len(stored.inputFiles())) > files_per_batch:
-        return ordered_stream(stored, [time], files=n, files_per_batch=files_per_batch)
+    files = len(stored.inputFiles()) if time else 0
+    if time and (end or files > files_per_batch):
+        last = stored.agg((F.max(time) + F.expr(f"INTERVAL {end}")).alias(time)).where(F.col(time).isNotNull()) if end else stored.limit(0)
+        return ordered_stream(stored.unionByName(last.select(F.col(time).cast(stored.schema[time].dataType)), allowMissingColumns=True), [time], files=max(files, 1), files_per_batch=files_per_batch)
     return spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
