@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
+from tidemark.functions.clean import amount, hex_ident, ident, outer_trim
+from tidemark.operators import metrics as M
 from tidemark.operators import prior as P
-from tidemark.operators.asof import DAY_US, micros
+from tidemark.operators.asof import DAY_US, asof_prior, fresh, micros, prior_totals, with_halo
 from tidemark.operators.ledgers import cents
+from tidemark.plans.asof import PRICES, prices
 from tidemark.session import table
 
 DAYS_BACK = 180
@@ -62,7 +66,85 @@ def risk_metrics(spark: SparkSession, root: str) -> DataFrame:
     return P.risk_before(probes, r, least_periods=8, block_us=7 * DAY_US)
 
 
-QUERIES = {f.__name__: f for f in (actor_behaviour, actor_behaviour_lookback, position_metrics, risk_metrics)}
+def _trades(spark: SparkSession, root: str) -> DataFrame:
+    """Trades with canonical keys; shares and notional only where both amounts are usable."""
+    t = table(spark, root, "trades")
+    side, shares, price = F.upper(outer_trim("side")), amount(F.col("shares"), 20, 8), amount(F.col("price"), 13, 12)
+    good = side.isin("BUY", "SELL") & (shares > 0) & (price >= 0) & (price <= 1)
+    return t.select(
+        "trade_row_id", ident(F.col("wallet")).alias("wallet"), hex_ident(F.col("condition_id")).alias("condition"), outer_trim("token_id").alias("token"), ident(F.col("token_outcome")).alias("outcome"),
+        ident(F.col("fixture_id")).alias("fixture"), F.col("query_us").alias("t"), side.alias("side"), F.when(good, shares).alias("shares"), F.when(good, shares * price).cast("decimal(34,20)").alias("notional"),
+    )
+
+
+def _holdings(trades: DataFrame, marks: DataFrame, stale_us: int) -> DataFrame:
+    """(trade_row_id, token, quantity, cost, mark, pnl, reason) of every token the wallet trades in the condition, strictly before each trade."""
+    key = F.concat_ws("/", "wallet", "condition", "token")
+    fills = trades.where("shares IS NOT NULL AND t IS NOT NULL AND wallet IS NOT NULL AND condition IS NOT NULL AND token IS NOT NULL").withColumn("time_us", F.col("t"))
+    states = M.inventory_states(fills, key).select("key", F.col("time_us").alias("t"), "quantity", "cost", F.lit(1).alias("any"))
+    held = fills.select("wallet", "condition", "token", key.alias("key")).distinct()
+    rows = trades.where("t IS NOT NULL").select("trade_row_id", "wallet", "condition", "t").join(held, ["wallet", "condition"])
+    got = asof_prior(rows, states, ["key"], "t", ["quantity", "cost", "any"], prefix="s_", block_us=7 * DAY_US)
+    got = asof_prior(got, marks, ["token"], "t", ["price"], prefix="m_", block_us=7 * DAY_US)
+    mark, late = fresh("m_price", "m_t", "t", stale_us)
+    none, q, c = F.col("s_any").isNull(), F.col("s_quantity"), F.col("s_cost")
+    reason = F.when(none, None).when(q.isNull(), "unmatched_sell").when(q == 0, None).when(c.isNull(), "ambiguous_fill_order").when(late == "no_earlier_observation", "missing_prior_price").when(late == "stale", "stale_prior_price")
+    flat = none | F.coalesce(q == 0, F.lit(False))
+    return got.select("trade_row_id", "token", F.when(none, 0.0).otherwise(q).alias("quantity"), F.when(none, 0.0).otherwise(c).alias("cost"), mark.alias("mark"), F.when(flat, 0.0).when(reason.isNull(), q * mark - c).alias("pnl"), reason.alias("reason"))
+
+
+def unrealised_pnl(spark: SparkSession, root: str) -> DataFrame:
+    """Holdings marked at the price known before each trade, less their remaining cost; null with reasons where that is unknown."""
+    trades = _trades(spark, root)
+    h = _holdings(trades, prices(spark, root).groupBy("token", "t").agg(F.max("price").alias("price")), 300 * 1_000_000)
+    g = h.groupBy("trade_row_id").agg(F.sum("pnl").alias("v"), F.count("reason").alias("n"), F.array_join(F.array_sort(F.collect_set("reason")), "+").alias("reasons"), F.count_if(F.col("quantity") > 0).alias("n_held"))
+    out = trades.where("t IS NOT NULL AND wallet IS NOT NULL AND condition IS NOT NULL").select("trade_row_id").join(g, "trade_row_id", "left")
+    return out.select("trade_row_id", F.when(F.coalesce("n", F.lit(0)) == 0, F.round(F.coalesce("v", F.lit(0.0)), 6)).alias("unrealised"), F.coalesce("n_held", F.lit(0)).alias("n_held"), F.coalesce("reasons", F.lit("")).alias("reasons"))
+
+
+def decision_features(spark: SparkSession, root: str) -> DataFrame:
+    """Causal row of every trade from what its wallet, market and fixture did strictly before, with the label of the next 300 s.
+
+    Activity of the wallet in the condition, its last instant, look-back counts,
+    inventory and marks by outcome, price changes, news of the fixture. Labels
+    look at [t, t + 300 s) beyond the instant itself.
+    """
+    sec, day = 1_000_000, DAY_US
+    trades = _trades(spark, root)
+    probes = trades.where("t IS NOT NULL AND wallet IS NOT NULL AND condition IS NOT NULL").select("trade_row_id", "wallet", "condition", "fixture", "t")
+    by = ["wallet", "condition"]
+    fills = trades.where("shares IS NOT NULL AND t IS NOT NULL AND wallet IS NOT NULL AND condition IS NOT NULL")
+    buy, yes, v = (F.col("side") == "BUY").cast("long"), F.coalesce((F.col("outcome") == "yes").cast("long"), F.lit(0)), F.col("notional").cast("decimal(38,10)")
+    ticks = fills.groupBy(*by, "t").agg(F.count("*").alias("n"), F.sum(buy).alias("buys"), F.sum(yes).alias("yes"), F.sum(v).cast("decimal(38,10)").alias("v"), F.sum(F.when(F.col("side") == "SELL", v).otherwise(-v)).cast("decimal(38,10)").alias("cash"), F.max(v).alias("most"))
+    sums = {"prior_execution_count": F.col("n"), "prior_execution_groups": F.lit(1).cast("long"), "__buys": F.col("buys"), "__yes": F.col("yes"), "__v": F.col("v"), "__cash": F.col("cash")}
+    got = prior_totals(probes, ticks, by, "t", sums, least={"__first": F.col("t"), "__most": -F.col("most")}, block_us=7 * day)
+    got = asof_prior(got, ticks, by, "t", ["n", "buys", "yes", "v"], tie=["n"], prefix="l_", block_us=7 * day)
+    n = F.col("prior_execution_count")
+    part = lambda a, b: F.when(b > 0, a / b)
+    activity = got.select(
+        "trade_row_id", "fixture", "t", "prior_execution_count", "prior_execution_groups", ((F.col("t") - F.col("__first")) / sec).alias("seconds_since_first_execution"), ((F.col("t") - F.col("l_t")) / sec).alias("seconds_since_last_execution"),
+        F.col("__v").cast("string").alias("prior_total_notional"), (-F.col("__most")).cast("string").alias("prior_max_notional"), F.col("__cash").cast("string").alias("prior_net_cashflow"), part(F.col("__buys"), n).alias("prior_buy_fraction"), part(F.col("__yes"), n).alias("prior_yes_fraction"),
+        F.col("l_n").alias("last_group_count"), part(F.col("l_buys"), F.col("l_n")).alias("last_group_buy_fraction"), part(F.col("l_yes"), F.col("l_n")).alias("last_group_yes_fraction"), F.col("l_v").cast("string").alias("last_group_notional"),
+        F.when(F.col("prior_execution_groups") > 1, (F.col("l_t") - F.col("__first")) / ((F.col("prior_execution_groups") - 1) * sec)).alias("mean_gap_seconds"),
+    )
+    line = with_halo(ticks.select(*by, "t", "n").unionByName(probes.select("trade_row_id", *by, "t"), allowMissingColumns=True), by, "t", back_us=3600 * sec, ahead_us=300 * sec)
+    own = [*by, "__b"]
+    count = lambda lo, hi: F.coalesce(F.sum("n").over(W.partitionBy(*own).orderBy("t").rangeBetween(lo, hi)), F.lit(0))
+    recent = line.withColumns({**{f"execution_count_{s}s": count(-s * sec, -1) for s in (300, 900, 3600)}, "label": (count(1, 300 * sec - 1) > 0).cast("int")}).where("__own AND trade_row_id IS NOT NULL").select("trade_row_id", *[f"execution_count_{s}s" for s in (300, 900, 3600)], "label")
+    marks = prices(spark, root).groupBy("token", "t").agg(F.max("price").alias("price"))
+    outcome = trades.where("token IS NOT NULL AND outcome IN ('yes', 'no')").groupBy("token").agg(F.min("outcome").alias("outcome"))
+    held = _holdings(trades, marks, 300 * sec).join(outcome, "token", "left")
+    of = lambda c, o: F.max(F.when(F.col("outcome") == o, F.col(c)))
+    stock = held.groupBy("trade_row_id").agg(*[F.round(of(c, o), 6).alias(f"{o}_{c}") for o in ("yes", "no") for c in ("quantity", "cost", "pnl")], *[of("mark", o).alias(f"{o}_mark") for o in ("yes", "no")], F.count("reason").alias("pnl_missing"))
+    links = table(spark, root, "fixture_news").select(ident(F.col("fixture_id")).alias("fixture"), F.col("eligible_us").alias("t"))
+    dated = probes.where("fixture IS NOT NULL").select("trade_row_id", "fixture", "t")
+    news = prior_totals(dated, links, ["fixture"], "t", {"news_count": F.lit(1).cast("long")}, least={"__last": -F.col("t")}, block_us=7 * day)
+    news = news.select("trade_row_id", "news_count", ((F.col("t") + F.col("__last")) / sec).alias("seconds_since_latest_news"))
+    out = activity.join(recent, "trade_row_id").join(stock, "trade_row_id", "left").join(news, "trade_row_id", "left")
+    return out.drop("fixture", "t")
+
+
+QUERIES = {f.__name__: f for f in (actor_behaviour, actor_behaviour_lookback, position_metrics, risk_metrics, unrealised_pnl, decision_features)}
 
 _CENTS = "round({} * 100)::bigint"
 
@@ -76,7 +158,38 @@ SELECT o_orderkey, n AS n_prior, s::double / nullif(n, 0) AS average_notional, C
  CASE WHEN n = 0 THEN 'no_eligible_captured_executions' WHEN s = 0 THEN 'zero_total_execution_notional' END AS share_reason, CASE WHEN since IS NULL OR since >= t THEN 'no_positive_observation_window' END AS rate_reason FROM x"""
 
 
+_WS = "' ' || chr(9) || chr(10) || chr(13)"
+_TRADES = f"""tr AS (SELECT trade_row_id, lower(trim(wallet, {_WS})) AS wallet, CASE WHEN NOT regexp_full_match(regexp_replace(lower(trim(condition_id, {_WS})), '^0x', ''), '0*') THEN regexp_replace(lower(trim(condition_id, {_WS})), '^0x', '') END AS condition, trim(token_id, {_WS}) AS token,
+ lower(trim(token_outcome, {_WS})) AS outcome, lower(trim(fixture_id, {_WS})) AS fixture, query_us AS t, upper(trim(side, {_WS})) AS side, try_cast(trim(shares, {_WS}) AS decimal(20, 8)) AS shares, try_cast(trim(price, {_WS}) AS decimal(13, 12)) AS price FROM trades),
+fi AS (SELECT *, wallet || '/' || condition || '/' || token AS key, (shares * price)::decimal(34, 20) AS notional FROM tr WHERE side IN ('BUY', 'SELL') AND shares > 0 AND price BETWEEN 0 AND 1 AND t IS NOT NULL AND wallet IS NOT NULL AND condition IS NOT NULL),
+gi AS (SELECT key, t, coalesce(sum(shares) FILTER (WHERE side = 'BUY'), 0)::decimal(38, 10)::double AS b, coalesce(sum(notional) FILTER (WHERE side = 'BUY'), 0)::decimal(38, 10)::double AS v, coalesce(sum(shares) FILTER (WHERE side = 'SELL'), 0)::decimal(38, 10)::double AS s, coalesce(sum(notional) FILTER (WHERE side = 'SELL'), 0)::decimal(38, 10)::double AS w FROM fi WHERE token IS NOT NULL GROUP BY 1, 2),
+ni AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY t) AS i FROM gi),
+st(key, i, t, q, c, ok, flat) AS (SELECT DISTINCT key, 0::bigint, 0::bigint, 0.0::double, 0.0::double, true, true FROM ni UNION ALL
+ SELECT key, i, t, CASE WHEN z THEN 0 ELSE q1 END, CASE WHEN z THEN 0 ELSE c1 END, k1, fl OR z FROM (
+  SELECT *, k1 AND abs(q1) <= 1e-9 AS z FROM (SELECT n.key, n.i, n.t, f.flat AND NOT (n.b > 0 AND n.s > 0) AS fl, f.ok AND n.s <= f.q + n.b + 1e-9 AS k1,
+   f.q + n.b - CASE WHEN n.s <= f.q + n.b + 1e-9 THEN n.s ELSE 0 END AS q1, f.c + n.v - CASE WHEN n.s > 0 AND n.s <= f.q + n.b + 1e-9 THEN (f.c + n.v) * n.s / (f.q + n.b) ELSE 0 END AS c1 FROM st f JOIN ni n ON n.key = f.key AND n.i = f.i + 1))),
+sf AS (SELECT key, t, CASE WHEN ok THEN q END AS q, CASE WHEN ok AND flat THEN c END AS c FROM st WHERE i > 0),
+hd AS (SELECT DISTINCT wallet, condition, token, key FROM fi WHERE token IS NOT NULL), pr AS (SELECT tr.trade_row_id, tr.t, hd.token, hd.key FROM tr JOIN hd USING (wallet, condition) WHERE tr.t IS NOT NULL),
+h1 AS (SELECT pr.*, sf.q, sf.c, sf.t AS st FROM pr ASOF LEFT JOIN sf ON pr.key = sf.key AND pr.t > sf.t), h2 AS (SELECT h1.*, hh.price, hh.t AS mt FROM h1 ASOF LEFT JOIN hh ON h1.token = hh.token AND h1.t > hh.t),
+ho AS (SELECT trade_row_id, token, CASE WHEN st IS NULL THEN 0.0 ELSE q END AS quantity, CASE WHEN st IS NULL THEN 0.0 ELSE c END AS cost, CASE WHEN t - mt <= 300000000 THEN price END AS mark,
+ CASE WHEN st IS NULL THEN NULL WHEN q IS NULL THEN 'unmatched_sell' WHEN q = 0 THEN NULL WHEN c IS NULL THEN 'ambiguous_fill_order' WHEN mt IS NULL THEN 'missing_prior_price' WHEN t - mt > 300000000 THEN 'stale_prior_price' END AS reason FROM h2),
+hp AS (SELECT *, CASE WHEN quantity = 0 THEN 0.0 WHEN reason IS NULL THEN quantity * mark - cost END AS pnl FROM ho)"""
+
 ORACLE = {
+    "unrealised_pnl": f"""WITH RECURSIVE {PRICES}, {_TRADES}, g AS (SELECT trade_row_id, sum(pnl) AS v, count(reason) AS n, string_agg(DISTINCT reason, '+' ORDER BY reason) AS reasons, count(*) FILTER (WHERE quantity > 0) AS n_held FROM hp GROUP BY 1)
+SELECT tr.trade_row_id, CASE WHEN coalesce(n, 0) = 0 THEN round(coalesce(v, 0), 6) END AS unrealised, coalesce(n_held, 0) AS n_held, coalesce(reasons, '') AS reasons FROM tr LEFT JOIN g USING (trade_row_id) WHERE tr.t IS NOT NULL AND wallet IS NOT NULL AND condition IS NOT NULL""",
+    "decision_features": f"""WITH RECURSIVE {PRICES}, {_TRADES}, p AS (SELECT trade_row_id, wallet, condition, fixture, t FROM tr WHERE t IS NOT NULL AND wallet IS NOT NULL AND condition IS NOT NULL),
+k AS (SELECT wallet, condition, t, count(*) AS n, count(*) FILTER (WHERE side = 'BUY') AS buys, count(*) FILTER (WHERE outcome = 'yes') AS yes, sum(notional::decimal(38, 10))::decimal(38, 10) AS v, sum(CASE WHEN side = 'SELL' THEN notional::decimal(38, 10) ELSE -notional::decimal(38, 10) END)::decimal(38, 10) AS cash, max(notional::decimal(38, 10)) AS most FROM fi GROUP BY 1, 2, 3),
+r AS (SELECT *, sum(n) OVER o AS cn, count(*) OVER o AS cg, sum(buys) OVER o AS cb, sum(yes) OVER o AS cy, sum(v) OVER o AS cv, sum(cash) OVER o AS cc, max(most) OVER o AS cm, min(t) OVER o AS t0 FROM k WINDOW o AS (PARTITION BY wallet, condition ORDER BY t)),
+a AS (SELECT p.*, r.* EXCLUDE (wallet, condition, t), r.t AS lt FROM p ASOF LEFT JOIN r ON p.wallet = r.wallet AND p.condition = r.condition AND p.t > r.t),
+c AS (SELECT p.trade_row_id, coalesce(sum(n) FILTER (WHERE k.t >= p.t - 300000000 AND k.t < p.t), 0)::bigint AS c1, coalesce(sum(n) FILTER (WHERE k.t >= p.t - 900000000 AND k.t < p.t), 0)::bigint AS c2, coalesce(sum(n) FILTER (WHERE k.t >= p.t - 3600000000 AND k.t < p.t), 0)::bigint AS c3, (count(*) FILTER (WHERE k.t > p.t AND k.t < p.t + 300000000) > 0)::int AS label
+  FROM p LEFT JOIN k ON k.wallet = p.wallet AND k.condition = p.condition GROUP BY 1),
+oc AS (SELECT token, min(outcome) AS outcome FROM tr WHERE token IS NOT NULL AND outcome IN ('yes', 'no') GROUP BY 1),
+s AS (SELECT trade_row_id, {', '.join(f"round(max({c}) FILTER (WHERE outcome = '{o}'), 6) AS {o}_{c}" for o in ('yes', 'no') for c in ('quantity', 'cost', 'pnl'))}, max(mark) FILTER (WHERE outcome = 'yes') AS yes_mark, max(mark) FILTER (WHERE outcome = 'no') AS no_mark, count(reason) AS pnl_missing FROM hp LEFT JOIN oc USING (token) GROUP BY 1),
+f AS (SELECT lower(trim(fixture_id, {_WS})) AS fixture, eligible_us AS t FROM fixture_news WHERE eligible_us IS NOT NULL), w AS (SELECT p.trade_row_id, count(f.t) AS news_count, (p.t - max(f.t)) / 1e6 AS since FROM p LEFT JOIN f ON f.fixture = p.fixture AND f.t < p.t WHERE p.fixture IS NOT NULL GROUP BY p.trade_row_id, p.t)
+SELECT a.trade_row_id, coalesce(cn, 0)::bigint AS prior_execution_count, coalesce(cg, 0) AS prior_execution_groups, (a.t - t0) / 1e6 AS seconds_since_first_execution, (a.t - lt) / 1e6 AS seconds_since_last_execution, coalesce(cv, 0)::decimal(38, 10)::varchar AS prior_total_notional, cm::varchar AS prior_max_notional, coalesce(cc, 0)::decimal(38, 10)::varchar AS prior_net_cashflow,
+ cb / cn AS prior_buy_fraction, cy / cn AS prior_yes_fraction, n AS last_group_count, buys / n AS last_group_buy_fraction, yes / n AS last_group_yes_fraction, v::varchar AS last_group_notional, CASE WHEN cg > 1 THEN (lt - t0) / ((cg - 1) * 1000000) END AS mean_gap_seconds,
+ c1 AS execution_count_300s, c2 AS execution_count_900s, c3 AS execution_count_3600s, label, s.* EXCLUDE (trade_row_id), news_count, since AS seconds_since_latest_news FROM a JOIN c USING (trade_row_id) LEFT JOIN s ON s.trade_row_id = a.trade_row_id LEFT JOIN w ON w.trade_row_id = a.trade_row_id""",
     "actor_behaviour": _behaviour("UNBOUNDED", "t0"),
     "actor_behaviour_lookback": _behaviour(str(DAYS_BACK * DAY_US), f"t - {DAYS_BACK * DAY_US}"),
     "position_metrics": f"""WITH c AS (SELECT o_custkey AS a, epoch_us(o_orderdate) AS opened, epoch_us(l_shipdate) AS closed, epoch_us(l_shipdate) + (l_linenumber % 3) * 86400000000 AS known, {_CENTS.format('l_extendedprice')} * 100 AS cost, {_CENTS.format('l_extendedprice')} * (5 - {_CENTS.format('l_discount')}) AS pnl FROM lineitem JOIN orders ON l_orderkey = o_orderkey),

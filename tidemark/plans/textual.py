@@ -10,7 +10,7 @@ from tidemark.functions import scalars as S
 from tidemark.functions.clean import amount, hex_ident, ident, outer_trim
 from tidemark.operators import relevance as R
 from tidemark.operators import sequences as Q
-from tidemark.operators.asof import micros, prior_frame
+from tidemark.operators.asof import DAY_US, asof_prior, micros, next_frame, prior_frame, with_halo
 from tidemark.operators.context import headline_key
 from tidemark.operators.ledgers import cents
 from tidemark.session import table
@@ -231,16 +231,19 @@ def watch_deltas(spark: SparkSession, root: str) -> DataFrame:
 
 
 def causal_features(spark: SparkSession, root: str) -> DataFrame:
-    """One feature row per event from strictly earlier events, with its label (G16, G17, reduced)."""
-    e = table(spark, root, "events").select("event_id", "user_id", "event_type", "value", micros("ts").alias("t"))
-    by, day = ["user_id"], 86_400_000_000
-    back = prior_frame(by, "t")
-    w = lambda us: prior_frame(by, "t", us)
-    ahead = W.partitionBy("user_id").orderBy("t").rangeBetween(1, day)
-    return e.select(
-        "event_id", F.count("*").over(w(day)).alias("n_1d"), F.count("*").over(w(7 * day)).alias("n_7d"), F.count_if(F.col("event_type") == "purchase").over(w(7 * day)).alias("buys_7d"), F.round(F.avg("value").over(w(7 * day)), 4).alias("mean_7d"),
-        (F.col("t") - F.max("t").over(back)).alias("since_us"), F.last("event_type").over(back).alias("last_type"), F.pmod(F.floor(F.col("t") / 3_600_000_000), F.lit(24)).cast("long").alias("hour"), (F.count_if(F.col("event_type") == "purchase").over(ahead) > 0).alias("label"),
-    )
+    """Activity row of every event from strictly earlier ones, labelled by another purchase in [t, t + 1 day)."""
+    day = DAY_US
+    e = table(spark, root, "events").select("event_id", "user_id", "event_type", micros("ts").alias("t"), F.round(F.col("value") * 1_000_000).cast("long").alias("v"))
+    by, own = ["user_id", "__b"], F.col("event_type") == "purchase"
+    line = with_halo(e, ["user_id"], "t", back_us=7 * day, ahead_us=day, block_us=7 * day)
+    back = lambda us: prior_frame(by, "t", us)
+    bought = F.count_if(own)
+    flat = line.select(
+        "event_id", "user_id", "t", "__own", F.count("*").over(back(day)).alias("n_1d"), F.count("*").over(back(7 * day)).alias("n_7d"), bought.over(back(7 * day)).alias("buys_7d"), (F.sum("v").over(back(7 * day)) / (F.count("v").over(back(7 * day)) * 1_000_000)).alias("mean_7d"),
+        F.pmod(F.floor(F.col("t") / 3_600_000_000), F.lit(24)).cast("long").alias("hour"), (bought.over(next_frame(by, "t", day)) - F.coalesce(own.cast("int"), F.lit(0)) > 0).alias("label"),
+    ).where("__own").drop("__own")
+    got = asof_prior(flat, e, ["user_id"], "t", ["event_type", "event_id"], tie=["event_id"], block_us=7 * day)
+    return got.select("event_id", "n_1d", "n_7d", "buys_7d", "mean_7d", (F.col("t") - F.col("prior_t")).alias("since_us"), F.col("prior_event_type").alias("last_type"), "hour", "label")
 
 
 QUERIES = {
@@ -313,6 +316,8 @@ f AS (SELECT o_custkey, o_orderkey, i, c AS used, 0::bigint AS chunk FROM o WHER
     "watch_deltas": f"""WITH {_E}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS i, lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) AS tp FROM e),
 l AS (SELECT a.event_id, a.t, a.tp, a.event_type AS own, b.event_type AS k, max(b.t) AS u FROM r a LEFT JOIN r b ON a.user_id = b.user_id AND b.i < a.i GROUP BY ALL)
 SELECT event_id, NOT coalesce(bool_or(k = own AND u >= t - 259200000000), false) AS added, count(*) FILTER (WHERE u < t - 259200000000 AND u >= tp - 259200000000) AS n_expired, count(*) FILTER (WHERE u >= t - 259200000000 AND k <> own) + 1 AS n_watched FROM l GROUP BY event_id""",
-    "causal_features": f"""WITH {_E} SELECT event_id, count(*) OVER d AS n_1d, count(*) OVER w AS n_7d, count(*) FILTER (WHERE event_type = 'purchase') OVER w AS buys_7d, round(avg(value) OVER w, 4) AS mean_7d, t - max(t) OVER b AS since_us, last(event_type) OVER b AS last_type, (t // 3600000000) % 24 AS hour, count(*) FILTER (WHERE event_type = 'purchase') OVER a > 0 AS label FROM e
-WINDOW d AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 86400000000 PRECEDING AND 1 PRECEDING), w AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 604800000000 PRECEDING AND 1 PRECEDING), b AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 1 FOLLOWING AND 86400000000 FOLLOWING)""",
+    "causal_features": f"""WITH {_E}, i AS (SELECT user_id, t, arg_max(event_type, event_id) AS k FROM e GROUP BY 1, 2), f AS (SELECT event_id, user_id, t, count(*) OVER d AS n_1d, count(*) OVER w AS n_7d, count(*) FILTER (WHERE event_type = 'purchase') OVER w AS buys_7d, sum(round(value * 1000000)::bigint) OVER w / (nullif(count(value) OVER w, 0) * 1000000) AS mean_7d,
+ (t // 3600000000) % 24 AS hour, count(*) FILTER (WHERE event_type = 'purchase') OVER a - coalesce((event_type = 'purchase')::int, 0) > 0 AS label FROM e WHERE user_id IS NOT NULL AND t IS NOT NULL
+ WINDOW d AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 86400000000 PRECEDING AND 1 PRECEDING), w AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 604800000000 PRECEDING AND 1 PRECEDING), a AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN CURRENT ROW AND 86399999999 FOLLOWING))
+SELECT event_id, n_1d, n_7d, buys_7d, mean_7d, f.t - i.t AS since_us, i.k AS last_type, hour, label FROM f ASOF LEFT JOIN i ON f.user_id = i.user_id AND f.t > i.t""",
 }
