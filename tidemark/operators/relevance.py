@@ -73,3 +73,39 @@ def classify_pairs(left: DataFrame, right: DataFrame, pair: str, lt: str, rt: st
     n = met.groupBy(lid).agg(F.count("*").alias("n"), F.max("__u").alias("u"))
     kind = F.when(F.col("n").isNull(), "unmatched").when(F.col("u") > 1, "reused").when(F.col("n") == 1, "matched").otherwise("ambiguous")
     return left.join(n, lid, "left").select(lid, kind.alias("kind"))
+
+
+# Words of other competitions, age groups and sports, and how a headline sets two teams against each other.
+OTHER_SCOPE = r"\b(club|women|womens|women s|girls|youth|under ?[0-9]{1,2}|u ?[0-9]{1,2}|rugby|cricket|hockey|basketball|futsal|beach|ski|skiing|esport|esports)\b"
+AGAINST = "v|vs|versus|against|meet|meets|face|faces|play|plays|take on|takes on"
+
+
+def scope_reason(words: Column, path: Column, known_us: Column, name: str, year: str) -> Column:
+    """May a headline of a known capture count for the edition ``year`` of the competition ``name``, and if not, why?
+
+    ``words`` and ``path`` (of the address) are lower case between single blanks.
+    """
+    both = F.concat_ws(" ", words, path)
+    years = F.exists(F.regexp_extract_all(both, F.lit(r"\b((?:19|20)[0-9]{2})\b"), F.lit(1)), lambda y: y != year)
+    return (
+        F.when(both.rlike(OTHER_SCOPE), "other_competition").when(years, "other_edition").when(~both.rlike(rf"\b{name}\b"), "no_scope")
+        .when(~F.coalesce(F.date_format(F.timestamp_micros(known_us), "yyyy") == year, F.lit(False)), "capture_outside_edition").otherwise("captured_scope")
+    )
+
+
+def pair_patterns(fixtures: DataFrame) -> DataFrame:
+    """Fixtures (fixture, teams of two names) with the pattern of their pair, and whether another fixture has the same pair.
+
+    A pair is set against each other by a verb, or as "how a can beat b". Names are words of letters and digits, so
+    they need no escaping; their other names count too.
+    """
+    others = F.create_map(*[F.lit(x) for name in sorted(set(ALIASES.values())) for x in (name, "|".join([name, *sorted(k for k, v in ALIASES.items() if v == name)]))])
+    name = lambda i: F.concat(F.lit("(?:"), F.coalesce(F.element_at(others, F.col("teams")[i]), F.col("teams")[i]), F.lit(")"))
+    a, b, verb = name(0), name(1), F.lit(f" (?:{AGAINST}) ")
+    pattern = F.concat(F.lit(r"\b(?:"), a, verb, b, F.lit("|"), b, verb, a, F.lit("|how "), a, F.lit(" can beat "), b, F.lit("|how "), b, F.lit(" can beat "), a, F.lit(r")\b"))
+    return fixtures.withColumn("pattern", pattern).withColumn("ambiguous", F.count("*").over(W.partitionBy("pair")) > 1)
+
+
+def dash_pattern(pattern: Column) -> Column:
+    """The pattern of the same pair written with a dash, for texts that keep theirs."""
+    return F.replace(pattern, F.lit(f" (?:{AGAINST}) "), F.lit(" ?- ?"))

@@ -155,11 +155,28 @@ def candidate_headlines(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scope_reasons(spark: SparkSession, root: str) -> DataFrame:
-    """Headlines by scope with the reason for refusal."""
-    w = F.col("words")
-    years = F.exists(F.regexp_extract_all("words", F.lit(r"\b((?:19|20)\d{2})\b"), F.lit(1)), lambda y: y != "2026")
-    reason = F.when(years, "other_edition").when(w.rlike(r"\b(women|youth|u21)\b"), "other_competition").when(w.rlike(r"\b(weather|storm|ticket)\b"), "off_topic").otherwise("ok")
-    return _headlines(spark, root).groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+    """Headlines by scope with the reason for refusal, and since when they count globally."""
+    path = _words(F.regexp_extract("source_url", "^https?://[^/?#]+([^?#]*)", 1))
+    reason = R.scope_reason(F.col("words"), path, F.col("known_us"), "(?:cup|final|squad|officials|fixture)", "2026")
+    h = _headlines(spark, root).withColumn("reason", reason)
+    return h.groupBy("reason").agg(F.count("*").alias("n"), F.min(F.when(F.col("reason") == "captured_scope", F.col("known_us"))).alias("first_us"))
+
+
+def pair_links(spark: SparkSession, root: str) -> DataFrame:
+    """Headlines that set the two teams of a fixture against each other, by the compiled pattern of the pair; others blocked with the reason.
+
+    Pairs are joined by the teams a headline names, so each pattern is tried
+    only on headlines that name both.
+    """
+    plain = F.trim(F.regexp_replace(F.regexp_replace(F.lower("title"), "[\u2010-\u2015\u2212]", "-"), "[^a-z0-9-]+", " "))
+    t = table(spark, root, "news").where("title IS NOT NULL").select("news_id", plain.alias("dashed"))
+    h = R.mentioned_teams(_headlines(spark, root).select("news_id", "words", "known_us"), "news_id", "words", _teams(spark, root)).where("size(found) >= 2").join(t, "news_id")
+    pairs = R.pair_patterns(_fixture_pairs(spark, root))
+    two = h.withColumn("a", F.explode("found")).withColumn("b", F.explode("found")).where("a < b").withColumn("pair", F.concat_ws("|", "a", "b"))
+    j = two.join(pairs, "pair")
+    hit = F.expr("rlike(words, pattern)") | F.expr("rlike(dashed, dash)")
+    state = F.when(F.col("ambiguous"), "ambiguous_pair").when(~hit, "no_pair_pattern").when(F.col("known_us").isNull(), "unverified_time").otherwise("direct")
+    return j.withColumn("dash", R.dash_pattern(F.col("pattern"))).select("news_id", "fixture", state.alias("state"))
 
 
 def headline_links(spark: SparkSession, root: str) -> DataFrame:
@@ -250,7 +267,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         instant_parse, epoch_scale, iso_texts, decimal_texts, significant_digits, folded_headlines, url_parts, plain_documents, resolution_clause, hash_words, token_hex, strict_records, news_records, trade_quality, answer_scores,
-        actor_aliases, feature_families, candidate_headlines, scope_reasons, headline_links, link_times, paired_headlines, registry_audit, event_kinds, chat_turns, chunked_sequences, watch_deltas, causal_features,
+        actor_aliases, feature_families, candidate_headlines, scope_reasons, pair_links, headline_links, link_times, paired_headlines, registry_audit, event_kinds, chat_turns, chunked_sequences, watch_deltas, causal_features,
     )
 }
 
@@ -299,7 +316,14 @@ SELECT concat_ws(',', CASE WHEN query_us IS NULL THEN 'time' END, CASE WHEN NOT
     "actor_aliases": f"""WITH x AS (SELECT DISTINCT {_id('actor')} AS a, {_id('condition_id')} AS market FROM executions WHERE actor IS NOT NULL AND condition_id IS NOT NULL) SELECT 'actor_' || substr(sha256(a), 1, 24) AS actor, market, 'm' || lpad((row_number() OVER (PARTITION BY a ORDER BY market))::varchar, 3, '0') AS alias FROM x""",
     "feature_families": " UNION ALL ".join(f"SELECT '{n}' AS name, count({n}) AS n, max({n}) + 0.0 AS most, '{f}' AS family FROM lineitem" for n, f in (("l_quantity", "activity"), ("l_extendedprice", "price"), ("l_discount", "price"), ("l_tax", "cost"))),
     "candidate_headlines": f"WITH {_H}, {_P}, {_M} SELECT news_id, array_to_string(found, '|') AS teams, regexp_matches(words, '\\b(fixture|appointed)\\b') OR len(found) >= 2 OR (len(found) = 1 AND source_url LIKE '%northgoal%') AS candidate FROM m",
-    "scope_reasons": f"""WITH {_H} SELECT CASE WHEN len(list_filter(regexp_extract_all(words, '\\b((?:19|20)\\d{{2}})\\b'), lambda y: y <> '2026')) > 0 THEN 'other_edition' WHEN regexp_matches(words, '\\b(women|youth|u21)\\b') THEN 'other_competition' WHEN regexp_matches(words, '\\b(weather|storm|ticket)\\b') THEN 'off_topic' ELSE 'ok' END AS reason, count(*) AS n FROM h GROUP BY 1""",
+    "scope_reasons": f"""WITH {_H}, c AS (SELECT *, concat_ws(' ', words, trim(regexp_replace(lower(regexp_extract(source_url, '^https?://[^/?#]+([^?#]*)', 1)), '[^a-z0-9]+', ' ', 'g'))) AS b FROM h),
+r AS (SELECT known_us, CASE WHEN regexp_matches(b, '{R.OTHER_SCOPE}') THEN 'other_competition' WHEN len(list_filter(regexp_extract_all(b, '\\b((?:19|20)[0-9]{{2}})\\b', 1), lambda y: y <> '2026')) > 0 THEN 'other_edition' WHEN NOT regexp_matches(b, '\\b(?:cup|final|squad|officials|fixture)\\b') THEN 'no_scope'
+ WHEN NOT coalesce(strftime(make_timestamp(known_us), '%Y') = '2026', false) THEN 'capture_outside_edition' ELSE 'captured_scope' END AS reason FROM c) SELECT reason, count(*) AS n, min(known_us) FILTER (WHERE reason = 'captured_scope') AS first_us FROM r GROUP BY 1""",
+    "pair_links": f"""WITH {_H}, {_P}, {_M}, an AS (SELECT team, string_agg(name, '|' ORDER BY name) AS names FROM al GROUP BY 1), pp AS (SELECT p.*, count(*) OVER (PARTITION BY pair) > 1 AS ambiguous, '(?:' || teams[1] || coalesce('|' || (SELECT names FROM an WHERE an.team = teams[1]), '') || ')' AS a, '(?:' || teams[2] || coalesce('|' || (SELECT names FROM an WHERE an.team = teams[2]), '') || ')' AS b FROM p),
+x AS (SELECT m.*, trim(regexp_replace(regexp_replace(lower(title), '[\u2010-\u2015\u2212]', '-', 'g'), '[^a-z0-9-]+', ' ', 'g')) AS dashed FROM m JOIN news USING (news_id)),
+j AS (SELECT x.news_id, x.words, x.dashed, x.known_us, pp.* FROM x JOIN pp ON list_contains(x.found, pp.teams[1]) AND list_contains(x.found, pp.teams[2])),
+v AS (SELECT *, '\\b(?:' || a || ' (?:{R.AGAINST}) ' || b || '|' || b || ' (?:{R.AGAINST}) ' || a || '|how ' || a || ' can beat ' || b || '|how ' || b || ' can beat ' || a || ')\\b' AS p1, '\\b(?:' || a || ' ?- ?' || b || '|' || b || ' ?- ?' || a || '|how ' || a || ' can beat ' || b || '|how ' || b || ' can beat ' || a || ')\\b' AS p2 FROM j)
+SELECT news_id, fixture, CASE WHEN ambiguous THEN 'ambiguous_pair' WHEN NOT (regexp_matches(words, p1) OR regexp_matches(dashed, p2)) THEN 'no_pair_pattern' WHEN known_us IS NULL THEN 'unverified_time' ELSE 'direct' END AS state FROM v""",
     "headline_links": f"""WITH {_H}, {_P}, {_M} SELECT DISTINCT news_id, fixture, CASE WHEN array_to_string(found, '|') = pair AND regexp_matches(words, '\\b(v|vs|against|face|meet)\\b') THEN 'direct' WHEN array_to_string(found, '|') = pair THEN 'pair' WHEN len(found) = 1 THEN 'team' ELSE 'background' END AS relationship
 FROM m JOIN p ON list_has_any(m.found, p.teams)""",
     "link_times": f"""WITH j AS (SELECT {_id('f.fixture_id')} AS fixture, json_extract_string(link_json, '$.relationship') = 'direct' AS direct, CASE WHEN json_extract_string(record_json, '$.historical_availability_verified') = 'true' AND json_extract_string(link_json, '$.historical_link_verified') = 'true' AND eligible_us IS NOT NULL AND verified_availability_us IS NOT NULL

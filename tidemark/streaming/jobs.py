@@ -36,11 +36,11 @@ def ordered_stream(rows: DataFrame, order: list[str], *, files: int, files_per_b
     spark = rows.sparkSession
     path = scratch(spark, "in-order")
     rows.repartitionByRange(files, *order).write.option("maxRecordsPerFile", 0).parquet(path)
-    _date_in_order(spark, path)
+    date_in_order(spark, path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def _date_in_order(spark: SparkSession, path: str) -> None:
+def date_in_order(spark: SparkSession, path: str) -> None:
     """Date the part files by their numbers, a second apart: a file stream takes the oldest first."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -113,3 +113,23 @@ def running_inventory(fills: DataFrame, delay: str) -> DataFrame:
         yield pd.DataFrame(out, columns=["key", "time_us", "quantity", "cost"])
 
     return fills.withWatermark("ts", delay).groupBy("key").applyInPandasWithState(step, "key string, time_us long, quantity double, cost double", "s binary", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def late_rows(stream: DataFrame, time: str, delay_us: int) -> DataFrame:
+    """All rows of a stream with ``late``: does the row lie more than the delay before the latest instant of earlier batches?
+
+    Late rows go to a side output of their own instead of being dropped. The
+    latest instant is kept beside the results, so a restarted run resumes.
+    """
+    spark = stream.sparkSession
+    base = scratch(spark, "late")
+
+    def take(batch: DataFrame, number: int) -> None:
+        seen = spark.read.parquet(f"{base}/seen").agg(F.max("t")).first()[0] if number else None
+        mark = F.lit(seen).cast("long") - delay_us
+        late = F.coalesce(F.unix_micros(time) < mark, F.lit(False))
+        batch.withColumn("late", late).write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+        batch.agg(F.max(F.unix_micros(time)).alias("t")).write.mode("overwrite").parquet(f"{base}/seen/batch={number}")
+
+    stream.writeStream.foreachBatch(take).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in stream.schema)}, late boolean, batch int").parquet(f"{base}/out").drop("batch")
