@@ -90,27 +90,34 @@ def with_halo(rows: DataFrame, by: list[str], time: str, *, back_us: int = 0, ah
     return rows.dropna(subset=[*by, time]).withColumn("__b", copies).withColumn("__own", F.col("__b") == at(t))
 
 
-def prior_totals(probes: DataFrame, events: DataFrame, by: list[str], time: str, measures: dict[str, Column], *, least: dict[str, Column] | None = None, block_us: int = DAY_US) -> DataFrame:
-    """Probes with sums (and minima) of ``events`` strictly before each.
+def prior_totals(
+    probes: DataFrame, events: DataFrame, by: list[str], time: str, measures: dict[str, Column],
+    *, least: dict[str, Column] | None = None, last: dict[str, Column] | None = None, block_us: int = DAY_US,
+) -> DataFrame:
+    """Probes with sums (minima, latest values) of ``events`` strictly before each.
 
-    Sums over nothing are 0, minima null. Probes without key or time are left
-    out. Same-instant events are merged first, so ties never see each other.
+    Sums over nothing are 0, minima and latest values null. ``last`` skips
+    nulls; of several at one instant the largest is the latest. Probes without
+    key or time are left out. Same-instant events are merged first, so ties
+    never see each other.
     """
-    least = least or {}
+    least, last = least or {}, last or {}
     block = F.floor(F.col(time) / block_us).cast("long")
-    fold = lambda: [F.sum(m).alias(m) for m in measures] + [F.min(m).alias(m) for m in least]
-    ticks = events.dropna(subset=[*by, time]).select(*by, time, *[c.alias(m) for m, c in {**measures, **least}.items()])
-    ticks = ticks.groupBy(*by, time).agg(*fold()).withColumn("__b", block)
+    fold = lambda late: [F.sum(m).alias(m) for m in measures] + [F.min(m).alias(m) for m in least] + [late(m).alias(m) for m in last]
+    latest = lambda m: F.max_by(m, F.when(F.col(m).isNotNull(), F.col(time)))
+    ticks = events.dropna(subset=[*by, time]).select(*by, time, *[c.alias(m) for m, c in {**measures, **least, **last}.items()])
+    ticks = ticks.groupBy(*by, time).agg(*fold(F.max)).withColumn("__b", block)
     asked = probes.dropna(subset=[*by, time]).withColumn("__b", block)
-    per = ticks.groupBy(*by, "__b").agg(*fold()).unionByName(asked.select(*by, "__b").distinct(), allowMissingColumns=True).groupBy(*by, "__b").agg(*fold())
+    some = lambda m: F.first(m, True)
+    per = ticks.groupBy(*by, "__b").agg(*fold(latest)).unionByName(asked.select(*by, "__b").distinct(), allowMissingColumns=True).groupBy(*by, "__b").agg(*fold(some))
     before = W.partitionBy(*by).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
-    base = per.select(*by, "__b", *[F.sum(m).over(before).alias(m) for m in measures], *[F.min(m).over(before).alias(m) for m in least])
+    base = per.select(*by, "__b", *[F.sum(m).over(before).alias(m) for m in measures], *[F.min(m).over(before).alias(m) for m in least], *[F.last(m, True).over(before).alias(m) for m in last])
     line = asked.withColumn("__k", F.lit(1))
     line = line.unionByName(ticks.withColumn("__k", F.lit(2)), allowMissingColumns=True)
     line = line.unionByName(base.withColumn("__k", F.lit(0)).withColumn(time, F.lit(-(2**62)).cast("long")), allowMissingColumns=True)
     run = W.partitionBy(*by, "__b").orderBy(time, "__k").rowsBetween(W.unboundedPreceding, 0)
-    out = line.withColumns({**{m: F.coalesce(F.sum(m).over(run), F.lit(0)) for m in measures}, **{m: F.min(m).over(run) for m in least}})
-    return out.where("__k = 1").select(*probes.columns, *measures, *least)
+    out = line.withColumns({**{m: F.coalesce(F.sum(m).over(run), F.lit(0)) for m in measures}, **{m: F.min(m).over(run) for m in least}, **{m: F.last(m, True).over(run) for m in last}})
+    return out.where("__k = 1").select(*probes.columns, *measures, *least, *last)
 
 
 def prior_rank(probes: DataFrame, events: DataFrame, by: list[str], time: str, name: str, *, block_us: int = DAY_US) -> DataFrame:

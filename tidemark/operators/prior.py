@@ -72,12 +72,11 @@ def positions_before(probes: DataFrame, closed: DataFrame, *, block_us: int = DA
     ``closed``: actor, opened_us, closed_us, known_us, cost, pnl (BIGINT), all
     in one unit; the return on cost is taken to a millionth, rounded down.
     """
-    pnl = F.col("pnl").cast(BIG)
-    zero = F.lit(0).cast(BIG)
-    when = lambda c, x: F.when(c, x).otherwise(zero)
+    pnl = F.col("pnl")
+    when = lambda c, x: F.when(c, x).otherwise(F.lit(0).cast("long"))
     ready = closed.withColumn("time_us", F.greatest("closed_us", "known_us"))
     sums = {
-        "__n": F.lit(1).cast("long"), "__s": pnl, "__r": F.floor((pnl * 1_000_000) / F.col("cost")).cast(BIG), "__wn": F.when(F.col("pnl") > 0, 1).otherwise(0).cast("long"), "__w": when(F.col("pnl") > 0, pnl),
+        "__n": F.lit(1).cast("long"), "__s": pnl, "__r": F.floor((pnl * 1_000_000) / F.col("cost")).cast("long"), "__wn": F.when(F.col("pnl") > 0, 1).otherwise(0).cast("long"), "__w": when(F.col("pnl") > 0, pnl),
         "__ln": F.when(F.col("pnl") < 0, 1).otherwise(0).cast("long"), "__l": when(F.col("pnl") < 0, -pnl), "__h": (F.col("closed_us") - F.col("opened_us")).cast(BIG),
     }
     got = prior_totals(probes, ready, ["actor"], "time_us", sums, block_us=block_us)
@@ -85,7 +84,7 @@ def positions_before(probes: DataFrame, closed: DataFrame, *, block_us: int = DA
     none = F.when(n == 0, "no_eligible_completed_positions")
     got = got.withColumns({
         "n_closed": n, "net_pnl": F.when(n > 0, F.col("__s").cast("double")), "mean_roi": _ratio(F.col("__r"), n * 1_000_000), "win_rate": _ratio(wn, n), "average_win": _ratio(F.col("__w"), wn), "average_loss": _ratio(F.col("__l"), ln),
-        "payoff_ratio": F.when(wn > 0, _ratio(F.col("__w") * ln, F.col("__l") * wn)), "profit_factor": _ratio(F.col("__w"), F.col("__l")), "expectancy": _ratio(F.col("__s"), n), "holding_s": _ratio(F.col("__h"), n * 1_000_000),
+        "payoff_ratio": F.when(wn > 0, _ratio(F.col("__w").cast(BIG) * ln, F.col("__l").cast(BIG) * wn)), "profit_factor": _ratio(F.col("__w"), F.col("__l")), "expectancy": _ratio(F.col("__s"), n), "holding_s": _ratio(F.col("__h"), n * 1_000_000),
         "position_reason": none, "win_reason": F.coalesce(none, F.when(wn == 0, "no_profitable_completed_positions")), "loss_reason": F.coalesce(none, F.when(ln == 0, "no_losing_completed_positions")),
         "payoff_reason": F.coalesce(none, F.when((wn == 0) | (ln == 0), "requires_both_profitable_and_losing_completed_positions")),
     }).drop(*sums)

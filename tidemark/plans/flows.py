@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import ident
 from tidemark.operators.shards import byte_shards, row_shards
-from tidemark.operators.asof import prior_rank
-from tidemark.plans.dealt import _FORCE, _NEWS, p6_found
+from tidemark.operators.asof import prior_totals
+from tidemark.plans.dealt import _FORCE, _NEWS
 from tidemark.session import scratch, table
 from tidemark.sources import readers, sinks
 from tidemark.streaming import jobs
@@ -49,13 +49,20 @@ def capture_index(spark: SparkSession, root: str) -> DataFrame:
 
 
 def context_index(spark: SparkSession, root: str) -> DataFrame:
-    """The context index: every trade with its mapping, news in force and links before it, written partitioned and read back (SK5, J1, J9)."""
+    """The context index: every trade with its mapping, news in force and links before it, written partitioned and read back (SK5, J1, J9).
+
+    One pass over the trades: link counts and the latest news come from the
+    same blocks, so no trade is shuffled twice or joined back.
+    """
     t = table(spark, root, "trades").select("trade_row_id", ident(F.col("fixture_id")).alias("fixture"), ident(F.col("condition_id")).alias("condition"), F.col("query_us").alias("t"), "token_mapping_status")
-    links = table(spark, root, "fixture_news").select(ident(F.col("fixture_id")).alias("fixture"), F.col("eligible_us").alias("t"))
-    n = prior_rank(t.select("trade_row_id", "fixture", "t"), links, ["fixture"], "t", "n_links").select("trade_row_id", "n_links")
-    news = p6_found(spark, root)
-    day = F.date_format(F.timestamp_micros("t"), "yyyy-MM")
-    rows = t.join(n, "trade_row_id", "left").join(news, "trade_row_id", "left").withColumn("month", F.coalesce(day, F.lit("none")))
+    links = table(spark, root, "fixture_news").select(ident(F.col("fixture_id")).alias("fixture"), "news_id", F.col("eligible_us").alias("t"))
+    news = table(spark, root, "news").select("news_id", "version_rank", F.col("verified_availability_us").alias("known"))
+    held = links.where("t IS NOT NULL").join(news.where("known IS NOT NULL"), "news_id").select("fixture", F.greatest("t", "known").alias("t"), F.struct(F.coalesce(-F.col("version_rank"), F.lit(2**31 - 1)), "news_id").alias("x"))
+    changes = held.groupBy("fixture", "t").agg(F.min("x").alias("x")).select("fixture", "t", F.lit(0).cast("long").alias("n"), "x.news_id")
+    events = changes.unionByName(links.select("fixture", "t", F.lit(1).cast("long").alias("n"), F.lit(None).cast("string").alias("news_id")))
+    got = prior_totals(t, events, ["fixture"], "t", {"n_links": F.col("n")}, last={"news_id": F.col("news_id")})
+    rest = t.where("fixture IS NULL OR t IS NULL")
+    rows = got.unionByName(rest, allowMissingColumns=True).withColumn("month", F.coalesce(F.date_format(F.timestamp_micros("t"), "yyyy-MM"), F.lit("none")))
     path = scratch(spark, "context-index")
     sinks.publish(rows, path, by=["month"])
     return readers.read_rows(spark, path, "trade_row_id long, n_links long, news_id string, month string").select("trade_row_id", "news_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("month").cast("string").alias("month"))
