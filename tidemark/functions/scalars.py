@@ -141,6 +141,14 @@ def canonical_url(c: Column) -> Column:
     return F.concat(head, rest, F.when(pairs != "", F.concat(F.lit("?"), pairs)).otherwise(F.lit("")))
 
 
+def request_url(base: Column, params: Column) -> Column:
+    """``base`` with a map of parameters: null ones left out, truth values in lower case, names and values encoded, sorted."""
+    kept = F.filter(F.map_entries(params), lambda e: e["value"].isNotNull())
+    value = lambda e: F.when(e["value"].isin("True", "False"), F.lower(e["value"])).otherwise(e["value"])
+    pairs = F.array_join(F.array_sort(F.transform(kept, lambda e: F.concat(F.url_encode(e["key"]), F.lit("="), F.url_encode(value(e))))), "&")
+    return F.concat(base, F.when(pairs != "", F.concat(F.lit("?"), pairs)).otherwise(F.lit("")))
+
+
 def plain_text(c: Column) -> Column:
     """Mark-up removed, common entities resolved, white space collapsed."""
     t = F.regexp_replace(c, r"<[^>]*>", " ")

@@ -61,18 +61,21 @@ def calibration(rows: DataFrame, bins: int) -> DataFrame:
     return rows.sparkSession.range(bins).withColumnRenamed("id", "bin").join(g, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"), "mean_p", "mean_label")
 
 
-def bootstrap_indices(df: DataFrame, draws: Column) -> Column:
-    """Deterministic draw numbers in place of a random generator."""
-    return F.pmod(F.pmod((F.col("rep") + 1) * 7919 + (F.col("draw") + 1) * 104729 + (F.col("rep") + 1) * (F.col("draw") + 1) * 31, F.lit(2147483647)), draws)
+# 2^32 times the cumulative Poisson(1) probabilities of 0, 1, 2, ...
+POISSON = (1580030168, 3160060337, 3950075421, 4213413783, 4279248373, 4292415291, 4294609777, 4294923276, 4294962463, 4294966817)
 
 
 def cluster_bootstrap(clusters: DataFrame, reps: int) -> DataFrame:
-    """Replicate means of a paired delta over clusters (i, total, n), i from 0 on without gaps."""
-    spark = clusters.sparkSession
-    size = clusters.agg(F.count("*")).scalar()
-    grid = spark.range(reps).withColumnRenamed("id", "rep").withColumn("draw", F.explode(F.sequence(F.lit(0).cast("long"), size - 1)))
-    drawn = grid.withColumn("k", size).withColumn("i", bootstrap_indices(grid, F.col("k"))).select("rep", "i")
-    return drawn.join(clusters, "i").groupBy("rep").agg((F.sum("total") / F.sum("n")).alias("mean"))
+    """Replicate means of a paired delta over clusters (g, total, n), both BIGINT.
+
+    Each cluster counts in each replicate with a Poisson(1) weight drawn from
+    the MD5 of both, so no draw is joined and a cluster's rows stay where they
+    are: replicates are summed in the map stage and only their sums shuffled.
+    """
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", "rep", "g")), 1, 8), 16, 10).cast("long")
+    weight = sum(((u >= t).cast("long") for t in POISSON), F.lit(0).cast("long"))
+    drawn = clusters.withColumn("rep", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(reps - 1).cast("long")))).withColumn("w", weight)
+    return drawn.groupBy("rep").agg(F.sum(F.col("w") * F.col("total")).alias("t"), F.sum(F.col("w") * F.col("n")).alias("n")).select("rep", F.when(F.col("n") > 0, F.col("t") / F.col("n")).alias("mean"))
 
 
 def hash_rank(rows: DataFrame, key: Column, name: str) -> DataFrame:

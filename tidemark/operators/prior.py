@@ -36,16 +36,16 @@ def spread(n: Column, total: Column, squares: Column, *, sample: bool) -> Column
     return F.when(n > (1 if sample else 0), F.sqrt(wide.cast("double") / below))
 
 
-def behaviour_before(probes: DataFrame, fills: DataFrame, *, back_us: int | None = None, block_us: int = DAY_US) -> DataFrame:
+def behaviour_before(probes: DataFrame, fills: DataFrame, *, back_us: int | None = None, since: str = "time_us", block_us: int = DAY_US) -> DataFrame:
     """Probes (actor, time_us, ...) with four figures of what the actor did before, or in the look-back.
 
     ``fills``: actor, time_us, side, notional (BIGINT). ``per_day`` counts from
-    the first fill, or from the start of the look-back.
+    the first fill (the least ``since``), or from the start of the look-back.
     """
     v = F.col("notional").cast(BIG)
     sums = {"__n": F.lit(1).cast("long"), "__s": v, "__q": v * v, "__u": F.when(F.col("side") == "BUY", v).otherwise(F.lit(0).cast(BIG))}
     if back_us is None:
-        got = prior_totals(probes, fills, ["actor"], "time_us", sums, least={"__t": F.col("time_us")}, block_us=block_us)
+        got = prior_totals(probes, fills, ["actor"], "time_us", sums, least={"__t": F.col(since)}, block_us=block_us)
     else:
         ticks = fills.dropna(subset=["actor", "time_us"]).groupBy("actor", "time_us").agg(*[F.sum(c).alias(m) for m, c in sums.items()])
         line = with_halo(probes.withColumn("__k", F.lit(1)).unionByName(ticks, allowMissingColumns=True), ["actor"], "time_us", back_us=back_us, block_us=max(block_us, back_us))

@@ -147,11 +147,11 @@ def occurrence_labels(spark: SparkSession, root: str) -> DataFrame:
 
 
 def historical_universe(spark: SparkSession, root: str) -> DataFrame:
-    """Actors active in [t - 7 d, t) and known before t, for weekly t."""
+    """The actors active in [t - 7 d, t) and known before t, for weekly t."""
     x = table(spark, root, "executions").where("known_us >= time_us").select(ident(F.col("actor")).alias("actor"), "time_us", "known_us").dropna()
     week = 7 * 24 * HOUR
     q = x.withColumn("query_us", (F.floor(F.col("time_us") / week) + 1) * week).where("known_us < query_us")
-    return q.select("query_us", "actor").distinct().groupBy("query_us").agg(F.count("*").alias("n_actors"))
+    return q.groupBy("query_us", "actor").agg(F.count("*").alias("n"))
 
 
 def kickoff_splits(spark: SparkSession, root: str) -> DataFrame:
@@ -313,7 +313,7 @@ kk AS (SELECT window_id, any_value(covered) AS covered, count(*) FILTER (WHERE r
 f AS (SELECT kk.*, (SELECT string_agg(DISTINCT action_id::varchar, ',' ORDER BY action_id::varchar) FROM jj WHERE jj.window_id = kk.window_id AND role = 'taker' AND jj.t = kk.t0) AS ids FROM kk)
 SELECT window_id, CASE WHEN NOT covered OR u > 0 THEN 'CENSORED' WHEN n > 0 THEN 'TRADE' ELSE 'NO_OBSERVED_TRADE' END AS status, CASE WHEN NOT covered THEN 'incomplete_target_source_coverage' WHEN u > 0 THEN 'unclassified_execution_role' END AS censor_reason,
  CASE WHEN covered AND u = 0 THEN n END AS action_count, CASE WHEN covered AND u = 0 THEN ids END AS first_action_ids, CASE WHEN covered AND u = 0 THEN coalesce(contains(ids, ','), false) END AS ordering_ambiguous, CASE WHEN covered AND u = 0 THEN t0 END AS first_us FROM f""",
-    "historical_universe": f"""WITH q AS (SELECT DISTINCT {_id('actor')} AS actor, (time_us // 604800000000 + 1) * 604800000000 AS query_us FROM executions WHERE actor IS NOT NULL AND known_us >= time_us AND known_us < (time_us // 604800000000 + 1) * 604800000000) SELECT query_us, count(*) AS n_actors FROM q GROUP BY 1""",
+    "historical_universe": f"""SELECT (time_us // 604800000000 + 1) * 604800000000 AS query_us, {_id('actor')} AS actor, count(*) AS n FROM executions WHERE actor IS NOT NULL AND known_us >= time_us AND known_us < (time_us // 604800000000 + 1) * 604800000000 GROUP BY 1, 2""",
     "kickoff_splits": """WITH k AS (SELECT fixture_id, epoch_us(kickoff_at) AS kickoff_us FROM tournament_sft_v1 WHERE policy_version = 1 AND fixture_id IS NOT NULL AND kickoff_at IS NOT NULL), r AS (SELECT *, rank() OVER (ORDER BY kickoff_us) - 1 AS b, count(*) OVER () AS n FROM k)
 SELECT fixture_id, kickoff_us, CASE WHEN b < n * 0.7 THEN 'train' WHEN b < n * 0.85 THEN 'validation' ELSE 'test' END AS split FROM r""",
     "split_by_map_and_time": f"""WITH m AS (SELECT {_id('fixture_id')} AS fixture, split, epoch_us(train_before_utc::timestamptz) AS a, epoch_us(validation_before_utc::timestamptz) AS b FROM tournament_sft_v1 WHERE policy_version = 1 AND fixture_id IS NOT NULL),

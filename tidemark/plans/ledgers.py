@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.functions.clean import hex_ident, ident, split_name
+from tidemark.functions.clean import amount, hex_ident, ident, outer_trim, split_name
 from tidemark.operators import ledgers as L
 from tidemark.operators.asof import micros
 from tidemark.session import table
@@ -179,11 +179,13 @@ def positional_compare(spark: SparkSession, root: str) -> DataFrame:
 
 
 def reconcile_tolerance(spark: SparkSession, root: str) -> DataFrame:
-    """Each trade against others of its transaction and token within a price tolerance."""
-    t = table(spark, root, "trades").select("trade_row_id", hex_ident(F.col("transaction_hash")).alias("tx"), F.trim("token_id").alias("token"), F.trim("price").try_cast("double").alias("price")).where("tx IS NOT NULL AND token IS NOT NULL AND price IS NOT NULL AND NOT isnan(price)")
-    o = t.select(F.col("trade_row_id").alias("other"), "tx", "token", F.col("price").alias("p2"))
-    near = t.join(o, ["tx", "token"]).where("other <> trade_row_id AND abs(price - p2) <= 0.01").groupBy("trade_row_id").agg(F.count("*").alias("n"))
-    return t.join(near, "trade_row_id", "left").groupBy(F.when(F.col("n").isNull(), "none").when(F.col("n") == 1, "unique").otherwise("ambiguous").alias("status")).agg(F.count("*").alias("n_rows"))
+    """Each trade by how many others of its transaction and token lie within a price tolerance.
+
+    One range frame over whole units of price; no pair is formed.
+    """
+    t = table(spark, root, "trades").select("trade_row_id", hex_ident(F.col("transaction_hash")).alias("tx"), outer_trim("token_id").alias("token"), (amount(F.col("price"), 18, 8) * 100_000_000).cast("long").alias("u")).where("tx IS NOT NULL AND token IS NOT NULL AND u IS NOT NULL")
+    n = F.count("*").over(W.partitionBy("tx", "token").orderBy("u").rangeBetween(-1_000_000, 1_000_000)) - 1
+    return t.withColumn("n", n).groupBy(F.when(F.col("n") == 0, "none").when(F.col("n") == 1, "unique").otherwise("ambiguous").alias("status")).agg(F.count("*").alias("n_rows"))
 
 
 def band_join_orders(spark: SparkSession, root: str) -> DataFrame:
@@ -191,7 +193,10 @@ def band_join_orders(spark: SparkSession, root: str) -> DataFrame:
     o = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", micros("o_orderdate").alias("t"))
     day = 86_400_000_000
     a, b = o.where("o_orderpriority LIKE '1%'"), o.where("o_orderpriority LIKE '5%'").select(F.col("o_orderkey").alias("k2"), "o_custkey", F.col("t").alias("t2"))
-    met = a.join(b, "o_custkey").where(F.abs(F.col("t") - F.col("t2")) <= 3 * day)
+    # three days are one block, so a partner lies in the same block or a neighbour
+    block = lambda c: F.floor(F.col(c) / (3 * day)).cast("long")
+    b = b.withColumn("block", F.explode(F.sequence(block("t2") - 1, block("t2") + 1)))
+    met = a.withColumn("block", block("t")).join(b, ["o_custkey", "block"]).where(F.abs(F.col("t") - F.col("t2")) <= 3 * day)
     n = met.groupBy("o_orderkey").agg(F.count("*").alias("n"))
     used = met.groupBy("k2").agg(F.count("*").alias("u")).where("u > 1").select("k2")
     twice = met.join(used, "k2", "left_semi").select("o_orderkey", F.lit(True).alias("reused")).distinct()
@@ -285,8 +290,8 @@ FROM t LEFT JOIN (SELECT DISTINCT condition FROM g) c ON t.condition = c.conditi
     "exact_join_coverage": """SELECT count(o_orderkey) AS n_hits, count(*) FILTER (WHERE l_shipdate < o_orderdate) AS n_before_order, count(*) FILTER (WHERE o_orderkey IS NULL) AS n_misses FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
     "positional_compare": """WITH a AS (SELECT s_nationkey, s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS i, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey DESC) AS j FROM supplier)
 SELECT a.s_nationkey, count(*) AS n, count(*) FILTER (WHERE a.s_suppkey = b.s_suppkey) AS n_equal FROM a JOIN a b ON a.s_nationkey = b.s_nationkey AND a.i = b.j GROUP BY 1""",
-    "reconcile_tolerance": f"""WITH t AS (SELECT trade_row_id, {_hex('transaction_hash')} AS tx, trim(token_id) AS token, try_cast(trim(price) AS double) AS price FROM trades), v AS (SELECT * FROM t WHERE tx IS NOT NULL AND token IS NOT NULL AND price IS NOT NULL AND NOT isnan(price)),
-n AS (SELECT a.trade_row_id, count(b.trade_row_id) AS n FROM v a LEFT JOIN v b ON a.tx = b.tx AND a.token = b.token AND a.trade_row_id <> b.trade_row_id AND abs(a.price - b.price) <= 0.01 GROUP BY 1)
+    "reconcile_tolerance": f"""WITH t AS (SELECT trade_row_id, {_hex('transaction_hash')} AS tx, trim(token_id, {_WS}) AS token, (try_cast(trim(price, {_WS}) AS decimal(18, 8)) * 100000000)::bigint AS u FROM trades), v AS (SELECT * FROM t WHERE tx IS NOT NULL AND token IS NOT NULL AND u IS NOT NULL),
+n AS (SELECT a.trade_row_id, count(b.trade_row_id) AS n FROM v a LEFT JOIN v b ON a.tx = b.tx AND a.token = b.token AND a.trade_row_id <> b.trade_row_id AND abs(a.u - b.u) <= 1000000 GROUP BY 1)
 SELECT CASE n WHEN 0 THEN 'none' WHEN 1 THEN 'unique' ELSE 'ambiguous' END AS status, count(*) AS n_rows FROM n GROUP BY 1""",
     "band_join_orders": """WITH a AS (SELECT o_orderkey, o_custkey, o_orderdate AS t FROM orders WHERE o_orderpriority LIKE '1%'), b AS (SELECT o_orderkey AS k2, o_custkey, o_orderdate AS t2 FROM orders WHERE o_orderpriority LIKE '5%'),
 m AS (SELECT a.o_orderkey, k2, count(*) OVER (PARTITION BY k2) AS u FROM a JOIN b USING (o_custkey) WHERE abs(epoch_us(t) - epoch_us(t2)) <= 259200000000), g AS (SELECT o_orderkey, count(*) AS n, max(u) AS u FROM m GROUP BY 1)

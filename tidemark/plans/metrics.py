@@ -99,13 +99,12 @@ def threshold_choice(spark: SparkSession, root: str) -> DataFrame:
 
 
 def paired_bootstrap(spark: SparkSession, root: str) -> DataFrame:
-    """Percentile interval of a paired delta over 2,000 cluster draws."""
-    d = _scored(spark, root).withColumn("delta", F.abs(F.col("p") - F.col("label")) - F.abs(F.lit(0.2) - F.col("label")))
-    c = d.where("g IS NOT NULL").groupBy("g").agg(F.sum("delta").alias("total"), F.count("*").alias("n"))
-    c = E.hash_rank(c, F.col("g"), "r").select((F.col("r") - 1).alias("i"), "total", "n")
+    """Percentile interval of a paired delta over 2,000 Poisson draws of clusters (A23). Scores count in whole 5,040ths."""
+    s = table(spark, root, "events").where("user_id IS NOT NULL").select(F.col("user_id").alias("g"), F.coalesce((F.col("event_type") == "purchase").cast("long"), F.lit(0)).alias("y"), (F.pmod(F.col("event_id") * 7919, F.lit(1009)) * 5).alias("p"))
+    c = s.groupBy("g").agg(F.sum(F.abs(F.col("p") - F.col("y") * 5040) - F.abs(1008 - F.col("y") * 5040)).alias("total"), F.count("*").alias("n"))
     b = E.cluster_bootstrap(c, 2000)
     low, high = (F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY mean)") for q in (0.025, 0.975))
-    return b.agg(F.round(low, 9).alias("low"), F.round(high, 9).alias("high"), F.count("*").alias("reps"))
+    return b.agg((low / 5040).alias("low"), (high / 5040).alias("high"), F.count("mean").alias("reps"))
 
 
 def permutation_importance(spark: SparkSession, root: str) -> DataFrame:
@@ -137,13 +136,13 @@ def merged_records(spark: SparkSession, root: str) -> DataFrame:
 
 
 def size_quantiles(spark: SparkSession, root: str) -> DataFrame:
-    """Nearest-rank quantiles from a weighted histogram."""
+    """Nearest-rank quantiles and the upper median from a weighted histogram."""
     d = table(spark, root, "documents").where("text IS NOT NULL").select(F.lower(F.trim("lang")).alias("lang"), F.size(F.filter(F.split("text", " "), lambda w: w != "")).alias("words"))
     h = d.groupBy("lang", "words").agg(F.count("*").alias("w"))
     by = W.partitionBy("lang")
     c = h.withColumns({"c": F.sum("w").over(by.orderBy("words")), "n": F.sum("w").over(by)})
     q = lambda x: F.min(F.when(F.col("c") >= F.ceil(F.col("n") * x), F.col("words"))).cast("long")
-    return c.groupBy("lang").agg(F.max("n").alias("n"), F.sum(F.col("w") * F.col("words")).cast("long").alias("total"), q(0.5).alias("p50"), q(0.95).alias("p95"), q(0.99).alias("p99"), F.max("words").cast("long").alias("most"))
+    return c.groupBy("lang").agg(F.max("n").alias("n"), F.sum(F.col("w") * F.col("words")).cast("long").alias("total"), q(0.5).alias("p50"), q(0.95).alias("p95"), q(0.99).alias("p99"), F.min(F.when(F.col("c") > F.floor(F.col("n") / 2), F.col("words"))).cast("long").alias("upper_median"), F.max("words").cast("long").alias("most"))
 
 
 def basket_match(spark: SparkSession, root: str) -> DataFrame:
@@ -167,13 +166,14 @@ def scenario_grid(spark: SparkSession, root: str) -> DataFrame:
 def loss_series(spark: SparkSession, root: str) -> DataFrame:
     """Latest value of each step, without steps abandoned by a later resume.
 
-    Error events are resume markers, view events log a step (hour of the month).
+    Error events are resume markers, view events log a step (hour of the
+    month). A logged step is abandoned if a later marker resumes before it:
+    one running minimum from the end of the log.
     """
-    e = table(spark, root, "events").select("event_id", "user_id", "event_type", "value", F.floor(micros("ts") / 3_600_000_000).cast("long").alias("hour"))
-    step = e.where("event_type = 'view'").select("user_id", F.pmod("hour", F.lit(168)).alias("step"), "event_id", "value")
-    mark = e.where("event_type = 'error'").select("user_id", F.pmod("hour", F.lit(168)).alias("from_step"), F.col("event_id").alias("at"))
-    dead = step.join(mark, "user_id").where("at > event_id AND from_step < step").select("user_id", "event_id").distinct()
-    kept = step.join(dead, ["user_id", "event_id"], "left_anti")
+    e = table(spark, root, "events").where("event_type IN ('view', 'error')").select("event_id", "user_id", "event_type", "value", F.pmod(F.floor(micros("ts") / 3_600_000_000), F.lit(168)).cast("long").alias("step"))
+    later = W.partitionBy("user_id").orderBy(F.desc("event_id")).rangeBetween(W.unboundedPreceding, -1)
+    resumed = F.min(F.when(F.col("event_type") == "error", F.col("step"))).over(later)
+    kept = e.withColumn("resumed", resumed).where("event_type = 'view' AND (resumed IS NULL OR resumed >= step)")
     return kept.groupBy("user_id", "step").agg(F.max_by("value", "event_id").alias("value"))
 
 
@@ -239,9 +239,9 @@ SELECT f.key, round(CASE WHEN ok THEN q END, 6) AS quantity, round(CASE WHEN ok
     "calibration_error": f"WITH {_S}, k AS (SELECT least(9, floor(p * 10)::bigint) AS bin, count(*) AS n, avg(p) AS a, avg(label) AS b FROM s GROUP BY 1) SELECT round(sum(n * abs(a - b)) / sum(n), 9) AS ece, sum(n)::bigint AS n FROM k",
     "grouped_report": f"WITH {_S}, m AS ({_binary('g, ', 0.8)}) SELECT round(avg(precision), 9) AS macro_precision, round(avg(recall), 9) AS macro_recall, round(avg(f1), 9) AS macro_f1, round(avg(balanced_accuracy), 9) AS macro_balanced_accuracy, round(avg(brier), 9) AS macro_brier, count(*) AS n_groups FROM (SELECT *, {_RATES} FROM m)",
     "threshold_choice": _CURVE + ", f AS (SELECT p, round(2 * tp / (np + tp + fp), 12) AS f1 FROM v) SELECT round(p, 9) AS threshold, round(f1, 9) AS f1 FROM f ORDER BY f.f1 DESC, p DESC LIMIT 1",
-    "paired_bootstrap": f"""WITH {_S}, c AS (SELECT g, sum(abs(p - label) - abs(0.2 - label)) AS t, count(*) AS n FROM s WHERE g IS NOT NULL GROUP BY 1), i AS (SELECT *, row_number() OVER (ORDER BY md5(g::varchar)) - 1 AS i, count(*) OVER () AS k FROM c),
-d AS (SELECT rep, (((rep + 1) * 7919 + (draw + 1) * 104729 + (rep + 1) * (draw + 1) * 31) % 2147483647) % k AS i FROM (SELECT unnest(range(2000)) AS rep) a, (SELECT i AS draw, k FROM i) b), m AS (SELECT rep, sum(t) / sum(n) AS mean FROM d JOIN i USING (i) GROUP BY 1)
-SELECT round(quantile_disc(mean, 0.025), 9) AS low, round(quantile_disc(mean, 0.975), 9) AS high, count(*) AS reps FROM m""",
+    "paired_bootstrap": f"""WITH s AS (SELECT user_id AS g, coalesce((event_type = 'purchase')::bigint, 0) AS y, (event_id * 7919) % 1009 * 5 AS p FROM events WHERE user_id IS NOT NULL), c AS (SELECT g, sum(abs(p - y * 5040) - abs(1008 - y * 5040))::bigint AS t, count(*) AS n FROM s GROUP BY 1),
+d AS (SELECT rep, t, n, ('0x' || substr(md5(rep || '|' || g), 1, 8))::bigint AS u FROM c, (SELECT unnest(range(2000)) AS rep)), w AS (SELECT rep, t, n, {' + '.join(f"(u >= {x})::bigint" for x in E.POISSON)} AS w FROM d),
+m AS (SELECT rep, CASE WHEN sum(w * n) > 0 THEN sum(w * t)::bigint / sum(w * n)::bigint END AS mean FROM w GROUP BY 1) SELECT quantile_disc(mean, 0.025) / 5040 AS low, quantile_disc(mean, 0.975) / 5040 AS high, count(mean) AS reps FROM m""",
     "permutation_importance": """WITH x AS (SELECT event_id, (event_type = 'purchase')::int::double AS y, value / 100 AS v, (epoch_us(ts) % 86400000000) / 86400000000 AS h FROM events WHERE value IS NOT NULL),
 a AS (SELECT *, row_number() OVER (ORDER BY md5('a' || event_id)) AS r FROM x), b AS (SELECT v AS v2, h AS h2, row_number() OVER (ORDER BY md5('b' || event_id)) AS r FROM x),
 l AS (SELECT avg(pow(1 / (1 + exp(-(v * 0.8 + h * 0.3 - 1.6))) - y, 2)) AS base, avg(pow(1 / (1 + exp(-(v2 * 0.8 + h * 0.3 - 1.6))) - y, 2)) AS value, avg(pow(1 / (1 + exp(-(v * 0.8 + h2 * 0.3 - 1.6))) - y, 2)) AS hour, avg(pow(1 / (1 + exp(-(v2 * 0.8 + h2 * 0.3 - 1.6))) - y, 2)) AS both_ FROM a JOIN b USING (r))
@@ -250,7 +250,7 @@ SELECT 'value' AS feature, round(value - base, 9) AS importance FROM l UNION ALL
     "merged_records": f"""SELECT {_id('observation_id')} AS m, arg_min(wallet, trade_row_id) FILTER (WHERE wallet IS NOT NULL) AS wallet, arg_min(price, trade_row_id) FILTER (WHERE price IS NOT NULL) AS price, arg_min(selection, trade_row_id) FILTER (WHERE selection IS NOT NULL) AS selection,
  coalesce(string_agg(DISTINCT source_page_id::varchar, ',' ORDER BY source_page_id::varchar), '') AS pages, count(*) AS n FROM trades WHERE observation_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
     "size_quantiles": """WITH d AS (SELECT lower(trim(lang)) AS lang, len(list_filter(string_split(text, ' '), lambda w: w <> '')) AS words FROM documents WHERE text IS NOT NULL)
-SELECT lang, count(*) AS n, sum(words)::bigint AS total, quantile_disc(words, 0.5)::bigint AS p50, quantile_disc(words, 0.95)::bigint AS p95, quantile_disc(words, 0.99)::bigint AS p99, max(words)::bigint AS most FROM d GROUP BY 1""",
+SELECT lang, count(*) AS n, sum(words)::bigint AS total, quantile_disc(words, 0.5)::bigint AS p50, quantile_disc(words, 0.95)::bigint AS p95, quantile_disc(words, 0.99)::bigint AS p99, list_sort(list(words))[count(*) // 2 + 1]::bigint AS upper_median, max(words)::bigint AS most FROM d GROUP BY 1""",
     "basket_match": """WITH b AS (SELECT l_orderkey, list_sort(list(l_quantity)) AS a FROM lineitem GROUP BY 1), j AS (SELECT x.a, y.a AS b FROM b x JOIN b y ON y.l_orderkey = x.l_orderkey + 1)
 SELECT count(*) AS n_pairs, count(*) FILTER (WHERE len(a) = len(b)) AS n_same_size, count(*) FILTER (WHERE a = b) AS n_equal, round(avg(list_sum(list_transform(list_zip(a, b), lambda z: abs(z[1] - z[2]))) / len(a)) FILTER (WHERE len(a) = len(b)), 9) AS mean_abs FROM j""",
     "scenario_grid": """WITH n AS (SELECT count(*) AS n, count(DISTINCT wallet) AS w FROM trades) SELECT rate, bytes, round(n / rate, 6) AS seconds, n * bytes AS storage, round(n / w, 6) AS per_wallet FROM n, (SELECT unnest([100, 1000, 10000]) AS rate), (SELECT unnest([500, 767, 1000]) AS bytes)""",
