@@ -11,7 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import session
+from tidemark.functions import scalars as S
 from tidemark.operators import audits as A
+from tidemark.operators import evaluate as E
 from tidemark.operators import relevance as R
 from tidemark.operators.asof import prior_totals
 from tidemark.operators.delivery import possible_repeats
@@ -157,3 +159,58 @@ s.stop()
 """
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120, capture_output=True)
     assert not list(Path(f"{tmp_path}/shared").glob("tidemark-*"))
+
+
+def test_a_drained_stream_goes_on_where_it_stopped(spark, tmp_path):
+    add = lambda *x: spark.createDataFrame([(i,) for i in x], "i long").coalesce(1).write.parquet(f"{tmp_path}/in", mode="append")
+    stream = lambda: spark.readStream.schema("i long").parquet(f"{tmp_path}/in")
+    add(1, 2)
+    assert rows(jobs.drain(stream(), "s", base=f"{tmp_path}/base")) == [(1,), (2,)]
+    add(3)
+    assert rows(jobs.drain(stream(), "s", base=f"{tmp_path}/base")) == [(1,), (2,), (3,)]
+
+
+def test_open_sessions_end_with_the_table(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    e = [(1, "u", 0), (2, "u", 3600), (3, "v", 9000), (4, None, 9000)]
+    df = spark.createDataFrame(e, "event_id long, user_id string, s long").select("event_id", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"), "user_id", F.lit("view").alias("event_type"), F.lit(1.0).alias("value"))
+    df.write.parquet(f"{tmp_path}/events.parquet")
+    got = {(r.user_id, r.n) for r in entry.queries()["stream_sessions"](spark, str(tmp_path)).collect()}
+    assert {("u", 2), ("v", 1)} <= got
+
+
+def test_headlines_of_pages(spark):
+    pages = {
+        '<title>A b</title><meta property="og:title" content="A b"/>': ("A b", None), "<title>A b</title>": ("A b", None), '<meta property="og:title" content="A &amp; b"/>': ("A & b", None), '<title>A b | Site</title><meta property="og:title" content="A b"/>': ("A b", None),
+        '<title>Other</title><meta property="og:title" content="A b"/>': (None, "titles_disagree"), '<meta property="og:title" content="A"/><meta property="og:title" content="B"/>': (None, "several_og_titles"), "<title>Just a moment</title>": (None, "interstitial"), "<p>x": (None, "no_single_title"), "": (None, "no_single_title"),
+    }
+    df = spark.createDataFrame([(p,) for p in pages], "p string")
+    assert {r.p: (r.h.headline, r.h.reason) for r in df.select("p", S.page_headline(F.col("p")).alias("h")).collect()} == pages
+
+
+def test_a_goal_kick_is_no_goal(spark):
+    kinds = ["goal", "goal-kick", "goal---header", "own-goal", "penalty---scored", "penalty---missed", "yellow-card", "corner-kick", None]
+    df = spark.createDataFrame([(k,) for k in kinds], "k string")
+    hits = lambda c: [r.k for r in df.where(S.kind_matches(F.col("k"), c)).collect()]
+    assert hits("goal") == ["goal", "goal---header", "own-goal", "penalty---scored"] and hits("card") == ["yellow-card"] and hits("corner") == ["corner-kick"]
+
+
+def test_request_addresses(spark):
+    m = F.create_map(F.lit("b"), F.lit("x y"), F.lit("a"), F.lit("True"), F.lit("c"), F.lit(None).cast("string"))
+    assert spark.range(1).select(S.request_url(F.lit("https://h/p"), m)).first()[0] == "https://h/p?a=true&b=x+y"
+
+
+def test_poisson_bootstrap_covers_the_mean(spark):
+    c = spark.createDataFrame([(i, (i % 7) - 3, 1) for i in range(400)], "g long, total long, n long")
+    m = sorted(r.mean for r in E.cluster_bootstrap(c, 400).collect())
+    mean, sd = sum((i % 7) - 3 for i in range(400)) / 400, 2.0 / 20
+    assert len(m) == 400 and abs(sum(m) / 400 - mean) < sd / 4 and abs((m[389] - m[10]) / (2 * 1.96 * sd) - 1) < 0.25
+
+
+def test_fitted_line(spark):
+    r = random.Random(2)
+    data = [(v := r.randrange(50), h := r.randrange(24), 3 * v - 2 * h + 7) for _ in range(80)]
+    s = spark.createDataFrame(data, "v long, h long, y long").agg(F.count("*").alias("n"), *[F.sum(F.expr(e)).alias(k) for k, e in {"v": "v", "h": "h", "y": "y", "vv": "v*v", "hh": "h*h", "vh": "v*h", "vy": "v*y", "hy": "h*y"}.items()])
+    got = s.select(*E.fitted_line(F.col("n"), {k: F.col(k) for k in ("v", "h", "y", "vv", "hh", "vh", "vy", "hy")})).first()
+    assert tuple(got) == pytest.approx((7, 3, -2))

@@ -17,6 +17,12 @@ from tidemark.functions.clean import outer_trim
 ZONED = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})$"
 
 
+# Parts of event kinds by category.
+EVENT_TERMS = {
+    "card": ("card",), "shot": ("shot",), "substitution": ("substitution",), "foul": ("foul",), "corner": ("corner",), "delay": ("delay",), "phase": ("kickoff", "half", "end-regular", "full-time"),
+}
+
+
 def instant_us(c: Column) -> Column:
     """Microseconds of a zoned ISO instant; naive or unreadable text is null."""
     bare = outer_trim(c)
@@ -163,6 +169,32 @@ def page_title(html: Column) -> Column:
     return F.when((F.size(found) == 1) & ~F.contains(F.try_element_at(found, F.lit(1)), F.lit("�")), F.try_element_at(found, F.lit(1)))
 
 
+def page_headline(html: Column, interstitial: str = "(?i)just a moment|access denied|are you a robot") -> Column:
+    """STRUCT(headline, reason): the og:title if there is one, else the title; two that disagree, or a page in between, give a reason.
+
+    A title that begins with the og:title and goes on after a separator (the
+    name of the site) agrees with it.
+    """
+    tags = F.regexp_extract_all(html, F.lit(r"(?is)(<meta[^>]*property=[\"']og:title[\"'][^>]*>)"), F.lit(1))
+    og = F.array_distinct(F.filter(F.transform(tags, lambda t: plain_text(F.regexp_extract(t, r"(?is)content=[\"']([^\"']*)[\"']", 1))), lambda x: x != ""))
+    title = page_title(html)
+    first = F.try_element_at(og, F.lit(1))
+    agrees = title.isNull() | (title == first) | (F.startswith(title, first) & F.substr(title, F.length(first) + 1).rlike("^ ?[|\u2013\u2014-] "))
+    reason = (
+        F.when(F.coalesce(F.coalesce(first, title).rlike(interstitial), F.lit(False)), "interstitial").when(F.size(og) > 1, "several_og_titles").when((F.size(og) == 1) & ~agrees, "titles_disagree")
+        .when((F.size(og) == 0) & title.isNull(), "no_single_title")
+    )
+    return F.struct(F.when(reason.isNull(), F.coalesce(first, title)).alias("headline"), reason.alias("reason"))
+
+
+def kind_matches(kind: Column, category: str) -> Column:
+    """Is an event kind (a slug such as own-goal) of the category? A goal kick is no goal."""
+    k = F.lower(F.coalesce(kind, F.lit("")))
+    if category == "goal":
+        return (k == "goal") | k.startswith("goal---") | k.startswith("own-goal") | (k == "penalty---scored")
+    return k.rlike("|".join(EVENT_TERMS[category]))
+
+
 def single_clause(text: Column, pattern: str, longest: int) -> Column:
     """The only sentence that matches, if it is at most ``longest`` characters."""
     hits = F.filter(F.split(text, r"(?<=[.!?])[ \t\r\n]+"), lambda s: s.rlike(pattern))

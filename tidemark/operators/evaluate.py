@@ -78,6 +78,19 @@ def cluster_bootstrap(clusters: DataFrame, reps: int) -> DataFrame:
     return drawn.groupBy("rep").agg(F.sum(F.col("w") * F.col("total")).alias("t"), F.sum(F.col("w") * F.col("n")).alias("n")).select("rep", F.when(F.col("n") > 0, F.col("t") / F.col("n")).alias("mean"))
 
 
+def fitted_line(n: Column, sums: dict[str, Column]) -> tuple[Column, Column, Column]:
+    """Least squares of y on v, h and 1 from exact sums (BIGINT): (one, v, h) coefficients, null where they are not unique."""
+    big = {k: c.cast("decimal(38,0)") for k, c in sums.items()}
+    m = n.cast("decimal(38,0)")
+    vv, hh, vh = (m * big[a + b] - big[a] * big[b] for a, b in (("v", "v"), ("h", "h"), ("v", "h")))
+    vy, hy = (m * big[a + "y"] - big[a] * big["y"] for a in ("v", "h"))
+    d = lambda c: c.cast("double")
+    below = d(vv) * d(hh) - d(vh) * d(vh)
+    b = F.when(below != 0, (d(vy) * d(hh) - d(hy) * d(vh)) / below)
+    c = F.when(below != 0, (d(hy) * d(vv) - d(vy) * d(vh)) / below)
+    return (d(sums["y"]) - b * d(sums["v"]) - c * d(sums["h"])) / d(n), b, c
+
+
 def hash_rank(rows: DataFrame, key: Column, name: str) -> DataFrame:
     """1, 2, ... in the order of ``md5(key)``, two-level over 256 hash slots."""
     r = rows.withColumn("__m", F.md5(key.cast("string"))).withColumn("__s", F.substring("__m", 1, 2))

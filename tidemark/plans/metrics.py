@@ -108,15 +108,31 @@ def paired_bootstrap(spark: SparkSession, root: str) -> DataFrame:
 
 
 def permutation_importance(spark: SparkSession, root: str) -> DataFrame:
-    """Rise of the Brier score when one feature is shuffled by a seeded hash (A29, TK10)."""
-    x = table(spark, root, "events").where("value IS NOT NULL").select("event_id", (F.col("event_type") == "purchase").cast("double").alias("y"), (F.col("value") / 100).alias("value"), (F.pmod(micros("ts"), F.lit(DAY_US)) / DAY_US).alias("hour"))
+    """Rise of the squared error of a fitted line when one feature, or both, are shuffled by a seeded hash, ranked (A29, TK10).
+
+    The line is trained on all rows from exact sums; shuffled errors come from
+    the sums of shuffled products, so no prediction is written.
+    """
+    x = table(spark, root, "events").where("value IS NOT NULL AND ts IS NOT NULL").select("event_id", F.coalesce((F.col("event_type") == "purchase").cast("long"), F.lit(0)).alias("y"), F.round(F.col("value") * 100).cast("long").alias("v"), F.pmod(F.floor(micros("ts") / 3_600_000_000), F.lit(24)).cast("long").alias("h"))
     a = E.hash_rank(x, F.concat(F.lit("a"), F.col("event_id")), "r")
-    b = E.hash_rank(x.select("event_id", F.col("value").alias("v2"), F.col("hour").alias("h2")), F.concat(F.lit("b"), F.col("event_id")), "r").drop("event_id")
-    p = lambda v, h: 1 / (1 + F.exp(-(F.col(v) * 0.8 + F.col(h) * 0.3 - 1.6)))
-    loss = lambda v, h: F.avg(F.pow(p(v, h) - F.col("y"), F.lit(2.0)))
-    base, value, hour = loss("value", "hour"), loss("v2", "hour"), loss("value", "h2")
-    j = a.join(b, "r").agg((value - base).alias("value"), (hour - base).alias("hour"), (loss("v2", "h2") - base).alias("both"))
-    return j.unpivot([], ["value", "hour", "both"], "feature", "importance").select("feature", F.round("importance", 9).alias("importance"))
+    b = E.hash_rank(x.select("event_id", F.col("v").alias("v2"), F.col("h").alias("h2")), F.concat(F.lit("b"), F.col("event_id")), "r").drop("event_id")
+    pairs = {"v": ("v",), "h": ("h",), "y": ("y",), "vv": ("v", "v"), "hh": ("h", "h"), "vh": ("v", "h"), "vy": ("v", "y"), "hy": ("h", "y"), "v2y": ("v2", "y"), "h2y": ("h2", "y"), "v2h": ("v2", "h"), "vh2": ("v", "h2"), "v2h2": ("v2", "h2")}
+    s = a.join(b, "r").agg(F.count("*").alias("n"), *[F.sum(F.col(k[0]) * F.col(k[1]) if len(k) > 1 else F.col(k[0])).alias(name) for name, k in pairs.items()])
+    c = {k: F.col(k) for k in pairs}
+    one, bv, bh = E.fitted_line(F.col("n"), c)
+    s = s.withColumns({"c0": one, "c1": bv, "c2": bh})
+    d = lambda k: F.col(k).cast("double")
+
+    def error(vy: str, hy: str, vh: str) -> F.Column:
+        c0, c1, c2 = F.col("c0"), F.col("c1"), F.col("c2")
+        cross = c0 * d("y") + c1 * d(vy) + c2 * d(hy)
+        square = d("n") * c0 * c0 + c1 * c1 * d("vv") + c2 * c2 * d("hh") + 2 * c0 * c1 * d("v") + 2 * c0 * c2 * d("h") + 2 * c1 * c2 * d(vh)
+        return (d("y") - 2 * cross + square) / d("n")
+
+    base = error("vy", "hy", "vh")
+    rise = [("value", error("v2y", "hy", "v2h") - base), ("hour", error("vy", "h2y", "vh2") - base), ("both", error("v2y", "h2y", "v2h2") - base)]
+    out = s.select(F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), F.round(r, 9).alias("importance")) for k, r in rise])).alias("x")).select("x.*")
+    return out.withColumn("place", F.row_number().over(W.orderBy(F.desc("importance"), "feature")).cast("long"))  # three rows
 
 
 def feature_coverage(spark: SparkSession, root: str) -> DataFrame:
@@ -242,10 +258,13 @@ SELECT f.key, round(CASE WHEN ok THEN q END, 6) AS quantity, round(CASE WHEN ok
     "paired_bootstrap": f"""WITH s AS (SELECT user_id AS g, coalesce((event_type = 'purchase')::bigint, 0) AS y, (event_id * 7919) % 1009 * 5 AS p FROM events WHERE user_id IS NOT NULL), c AS (SELECT g, sum(abs(p - y * 5040) - abs(1008 - y * 5040))::bigint AS t, count(*) AS n FROM s GROUP BY 1),
 d AS (SELECT rep, t, n, ('0x' || substr(md5(rep || '|' || g), 1, 8))::bigint AS u FROM c, (SELECT unnest(range(2000)) AS rep)), w AS (SELECT rep, t, n, {' + '.join(f"(u >= {x})::bigint" for x in E.POISSON)} AS w FROM d),
 m AS (SELECT rep, CASE WHEN sum(w * n) > 0 THEN sum(w * t)::bigint / sum(w * n)::bigint END AS mean FROM w GROUP BY 1) SELECT quantile_disc(mean, 0.025) / 5040 AS low, quantile_disc(mean, 0.975) / 5040 AS high, count(mean) AS reps FROM m""",
-    "permutation_importance": """WITH x AS (SELECT event_id, (event_type = 'purchase')::int::double AS y, value / 100 AS v, (epoch_us(ts) % 86400000000) / 86400000000 AS h FROM events WHERE value IS NOT NULL),
+    "permutation_importance": """WITH x AS (SELECT event_id, coalesce((event_type = 'purchase')::bigint, 0) AS y, round(value * 100)::bigint AS v, (epoch_us(ts) // 3600000000) % 24 AS h FROM events WHERE value IS NOT NULL AND ts IS NOT NULL),
 a AS (SELECT *, row_number() OVER (ORDER BY md5('a' || event_id)) AS r FROM x), b AS (SELECT v AS v2, h AS h2, row_number() OVER (ORDER BY md5('b' || event_id)) AS r FROM x),
-l AS (SELECT avg(pow(1 / (1 + exp(-(v * 0.8 + h * 0.3 - 1.6))) - y, 2)) AS base, avg(pow(1 / (1 + exp(-(v2 * 0.8 + h * 0.3 - 1.6))) - y, 2)) AS value, avg(pow(1 / (1 + exp(-(v * 0.8 + h2 * 0.3 - 1.6))) - y, 2)) AS hour, avg(pow(1 / (1 + exp(-(v2 * 0.8 + h2 * 0.3 - 1.6))) - y, 2)) AS both_ FROM a JOIN b USING (r))
-SELECT 'value' AS feature, round(value - base, 9) AS importance FROM l UNION ALL SELECT 'hour', round(hour - base, 9) FROM l UNION ALL SELECT 'both', round(both_ - base, 9) FROM l""",
+s AS (SELECT count(*)::hugeint AS n, sum(v)::hugeint AS v, sum(h)::hugeint AS h, sum(y)::hugeint AS y, sum(v * v)::hugeint AS vv, sum(h * h)::hugeint AS hh, sum(v * h)::hugeint AS vh, sum(v * y)::hugeint AS vy, sum(h * y)::hugeint AS hy, sum(v2 * y)::hugeint AS v2y, sum(h2 * y)::hugeint AS h2y, sum(v2 * h)::hugeint AS v2h, sum(v * h2)::hugeint AS vh2, sum(v2 * h2)::hugeint AS v2h2 FROM a JOIN b USING (r)),
+d AS (SELECT *, (n * vv - v * v)::double AS dvv, (n * hh - h * h)::double AS dhh, (n * vh - v * h)::double AS dvh, (n * vy - v * y)::double AS dvy, (n * hy - h * y)::double AS dhy FROM s), c AS (SELECT *, (dvy * dhh - dhy * dvh) / (dvv * dhh - dvh * dvh) AS c1, (dhy * dvv - dvy * dvh) / (dvv * dhh - dvh * dvh) AS c2 FROM d),
+k AS (SELECT *, (y::double - c1 * v::double - c2 * h::double) / n::double AS c0 FROM c), q AS (SELECT *, n * c0 * c0 + c1 * c1 * vv + c2 * c2 * hh + 2 * c0 * c1 * v + 2 * c0 * c2 * h AS sq FROM k),
+e AS (SELECT (y - 2 * (c0 * y + c1 * vy + c2 * hy) + sq + 2 * c1 * c2 * vh) / n AS e0, (y - 2 * (c0 * y + c1 * v2y + c2 * hy) + sq + 2 * c1 * c2 * v2h) / n AS e1, (y - 2 * (c0 * y + c1 * vy + c2 * h2y) + sq + 2 * c1 * c2 * vh2) / n AS e2, (y - 2 * (c0 * y + c1 * v2y + c2 * h2y) + sq + 2 * c1 * c2 * v2h2) / n AS e3 FROM q),
+r AS (SELECT 'value' AS feature, round(e1 - e0, 9) AS importance FROM e UNION ALL SELECT 'hour', round(e2 - e0, 9) FROM e UNION ALL SELECT 'both', round(e3 - e0, 9) FROM e) SELECT feature, importance, row_number() OVER (ORDER BY importance DESC, feature) AS place FROM r""",
     "feature_coverage": " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS present, count(*) - count({c}) AS missing, min({c}) + 0.0 AS least, max({c}) + 0.0 AS most, min({c}) < max({c}) AS usable FROM lineitem" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
     "merged_records": f"""SELECT {_id('observation_id')} AS m, arg_min(wallet, trade_row_id) FILTER (WHERE wallet IS NOT NULL) AS wallet, arg_min(price, trade_row_id) FILTER (WHERE price IS NOT NULL) AS price, arg_min(selection, trade_row_id) FILTER (WHERE selection IS NOT NULL) AS selection,
  coalesce(string_agg(DISTINCT source_page_id::varchar, ',' ORDER BY source_page_id::varchar), '') AS pages, count(*) AS n FROM trades WHERE observation_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",

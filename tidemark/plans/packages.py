@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions.clean import amount, hex_ident, ident, outer_trim
-from tidemark.functions.scalars import decimal_text, request_url
+from tidemark.functions.scalars import EVENT_TERMS, decimal_text, kind_matches, request_url, strict_json
 from tidemark.operators import context as C
 from tidemark.operators import relevance as R
 from tidemark.operators import shards
-from tidemark.operators.asof import asof_prior, micros
+from tidemark.operators.asof import asof_prior, micros, prior_rank, prior_totals
 from tidemark.plans import textual as T
-from tidemark.session import scratch, table
+from tidemark.session import materialize, scratch, table
 from tidemark.sources import readers, sinks
 
 HOUR = 3_600_000_000
@@ -114,7 +114,48 @@ def known_behaviour(spark: SparkSession, root: str) -> DataFrame:
     return got.select("actor", F.expr("substring(execution, 2)").alias("execution"), "n_prior", "average_notional", "buy_share", "per_day")
 
 
-QUERIES = {f.__name__: f for f in (normalised_trades, request_urls, conflicting_executions, corpus_samples, ledger_evidence, evidence_package, state_before_trade, article_links, known_behaviour)}
+def strict_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Link records written as lines, those that are strict JSON read back with decimals and a schema, the others counted (SC2)."""
+    f = table(spark, root, "fixture_news").where("link_json IS NOT NULL").select("link_json")
+    good = f.where(F.coalesce(strict_json("link_json"), F.lit(False)))
+    path = scratch(spark, "lines")
+    good.write.text(path)
+    back = readers.read_jsonl_strict(spark, path, "relationship string, historical_link_verified boolean")
+    n_bad = f.where(~F.coalesce(strict_json("link_json"), F.lit(False))).agg(F.count("*")).scalar()
+    return back.groupBy("relationship", "historical_link_verified").agg(F.count("*").alias("n")).withColumn("n_refused", n_bad)
+
+
+def news_since_last_query(spark: SparkSession, root: str) -> DataFrame:
+    """Links of the fixture that became usable between a wallet's previous trade in it and this one."""
+    t = table(spark, root, "trades").select("trade_row_id", ident(F.col("wallet")).alias("wallet"), ident(F.col("fixture_id")).alias("fixture"), F.col("query_us").alias("t")).dropna()
+    f = table(spark, root, "fixture_news").select(ident(F.col("fixture_id")).alias("fixture"), F.col("eligible_us").alias("t"))
+    own = prior_totals(t, t.select("wallet", "fixture", "t"), ["wallet", "fixture"], "t", {}, last={"before": F.col("t")}, block_us=168 * HOUR)
+    now = prior_rank(own, f, ["fixture"], "t", "n_now")
+    then = prior_rank(own.where("before IS NOT NULL").select("trade_row_id", "fixture", F.col("before").alias("t")), f, ["fixture"], "t", "n_then").select("trade_row_id", "n_then")
+    return now.join(then, "trade_row_id", "left").select("trade_row_id", (F.col("n_now") - F.coalesce("n_then", F.lit(0))).alias("n_new"), F.col("n_then").isNull().alias("first_query"))
+
+
+def feature_subset(spark: SparkSession, root: str) -> DataFrame:
+    """Asked features of the activity rows in their canonical order, constant and forbidden ones left out, labels untouched (SK12, F20, F21, F22)."""
+    canonical, forbidden, asked = ("n_1d", "n_7d", "buys_7d", "since_us", "hour", "label"), ("label",), ("since_us", "hour", "n_7d", "label", "n_1d")
+    rows = materialize(T.causal_features(spark, root), "features")
+    names = [c for c in canonical if c in asked and c not in forbidden]
+    one = rows.agg(*[(F.countDistinct(c) > 1).alias(c) for c in names]).first()  # one row of flags
+    names = [c for c in names if one[c]]
+    text = F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{c}":'), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in names]), F.lit("}"))
+    return rows.select("event_id", text.alias("features"), "label")
+
+
+def commentary_events(spark: SparkSession, root: str) -> DataFrame:
+    """Minutes of commentary exploded into events, each once, inside the playing time, by category of their kind (SC13, F18)."""
+    d = table(spark, root, "documents").where("doc_kind = 'commentary' AND text IS NOT NULL").select("doc_id", F.explode(F.split("text", r"\r\n|\n|\r")).alias("line"))
+    minute = F.regexp_extract("line", r"^([0-9]{1,3})' ", 1).try_cast("int")
+    kind = F.regexp_replace(F.lower(F.regexp_replace("line", "^[0-9]{1,3}' ", "")), "[^a-z0-9]+", "-")
+    e = d.select("doc_id", minute.alias("minute"), kind.alias("kind")).where("minute BETWEEN 0 AND 120").distinct()
+    return e.agg(F.count("*").alias("n"), *[F.count_if(kind_matches(F.col("kind"), c)).alias(c) for c in ("goal", *EVENT_TERMS)]).unpivot([], ["n", "goal", *EVENT_TERMS], "category", "events")
+
+
+QUERIES = {f.__name__: f for f in (strict_lines, news_since_last_query, feature_subset, commentary_events, normalised_trades, request_urls, conflicting_executions, corpus_samples, ledger_evidence, evidence_package, state_before_trade, article_links, known_behaviour)}
 
 _WS = "' ' || chr(9) || chr(10) || chr(13)"
 
@@ -139,6 +180,13 @@ kn AS (SELECT actor, execution, min(greatest(time_us, known_us)) AS ready FROM r
 x AS (SELECT one.actor, one.execution, one.time_us, ready, one.side, round(shares * price * 1000000)::bigint AS v FROM one JOIN kn USING (actor, execution) WHERE condition <> '' AND one.side IS NOT NULL AND shares > 0 AND price BETWEEN 0 AND 1 AND one.time_us IS NOT NULL)"""
 
 ORACLE = {
+    "strict_lines": """SELECT json_extract_string(link_json, '$.relationship') AS relationship, json_extract_string(link_json, '$.historical_link_verified')::boolean AS historical_link_verified, count(*) AS n, (SELECT count(*) FILTER (WHERE NOT json_valid(link_json)) FROM fixture_news) AS n_refused FROM fixture_news WHERE json_valid(link_json) GROUP BY 1, 2""",
+    "news_since_last_query": f"""WITH t AS (SELECT trade_row_id, {_id('wallet')} AS wallet, {_id('fixture_id')} AS fixture, query_us AS t FROM trades WHERE wallet IS NOT NULL AND fixture_id IS NOT NULL AND query_us IS NOT NULL), f AS (SELECT {_id('fixture_id')} AS fixture, eligible_us AS e FROM fixture_news WHERE eligible_us IS NOT NULL),
+b AS (SELECT *, max(t) OVER (PARTITION BY wallet, fixture ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM t) SELECT trade_row_id, count(f.e) FILTER (WHERE p IS NULL OR f.e >= p) AS n_new, p IS NULL AS first_query FROM b LEFT JOIN f ON f.fixture = b.fixture AND f.e < b.t GROUP BY trade_row_id, p""",
+    "feature_subset": T.ORACLE["causal_features"].replace("SELECT event_id, n_1d, n_7d", "SELECT * FROM (SELECT event_id, n_1d, n_7d", 1).replace("f.t > i.t", "f.t > i.t)", 1).replace("SELECT * FROM (", """SELECT event_id, '{"n_1d":' || n_1d || ',"n_7d":' || n_7d || ',"since_us":' || coalesce(since_us::varchar, 'null') || ',"hour":' || hour || '}' AS features, label FROM (""", 1),
+    "commentary_events": """WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\\r\\n|\\n|\\r')) AS line FROM documents WHERE doc_kind = 'commentary' AND text IS NOT NULL), e AS (SELECT DISTINCT doc_id, try_cast(regexp_extract(line, '^([0-9]{1,3})'' ', 1) AS int) AS minute, regexp_replace(lower(regexp_replace(line, '^[0-9]{1,3}'' ', '')), '[^a-z0-9]+', '-', 'g') AS kind FROM l),
+k AS (SELECT * FROM e WHERE minute BETWEEN 0 AND 120), m AS (SELECT count(*) AS n, count(*) FILTER (WHERE kind = 'goal' OR starts_with(kind, 'goal---') OR starts_with(kind, 'own-goal') OR kind = 'penalty---scored') AS goal, """ + ", ".join(f"count(*) FILTER (WHERE regexp_matches(kind, '{'|'.join(terms)}')) AS {c}" for c, terms in EVENT_TERMS.items()) + """ FROM k)
+UNPIVOT m ON COLUMNS(*) INTO NAME category VALUE events""",
     "normalised_trades": f"""WITH n AS (SELECT trade_row_id, {_id('wallet')} AS wallet, {_hex('condition_id')} AS condition, trim(token_id, {_WS}) AS token, upper(trim(side, {_WS})) AS side, {_dec('shares')} AS shares, {_dec('price')} AS price, {_id('fixture_id')} AS fixture, {_hex('transaction_hash')} AS tx, query_us AS t,
  try_cast(trim(shares, {_WS}) AS decimal(38, 18)) AS s, try_cast(trim(price, {_WS}) AS decimal(38, 18)) AS p FROM trades)
 SELECT trade_row_id, wallet, condition, token, side, shares, price, fixture, tx, t, md5(concat_ws('|', {', '.join(f"coalesce({c}::varchar, '~')" for c in ('wallet', 'condition', 'token', 'side', 'shares', 'price', 'fixture', 'tx', 't'))})) AS digest

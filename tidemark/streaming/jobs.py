@@ -54,14 +54,16 @@ def date_in_order(spark: SparkSession, path: str) -> None:
         raise ValueError(f"files in {path} cannot be dated, so they cannot be streamed in time order")
 
 
-def drain(stream: DataFrame, name: str, *, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is available and return what it emitted.
+def drain(stream: DataFrame, name: str, *, mode: str = "append", base: str | None = None) -> DataFrame:
+    """Run a stream over all that is available and return what it has emitted.
 
     ``complete`` keeps the last result; ``append`` collects every batch.
-    Checkpoint and results lie in the shared folder, so a run can resume.
+    Checkpoint and results lie in ``base`` (default: a scratch folder); a later
+    run with the same ``base`` goes on where the last one stopped and reads no
+    file twice.
     """
     spark = stream.sparkSession
-    base = scratch(spark, name)
+    base = base or scratch(spark, name)
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
     if mode == "append":
         query = writer.format("parquet").option("path", f"{base}/out").start()
