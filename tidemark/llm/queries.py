@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import epoch_us, hex_ident, ident, outer_trim, unit_price
 from tidemark.llm import leakage, mixture, nearest, overlap, spans, splits
-from tidemark.session import materialize, table
+from tidemark.operators import shards
+from tidemark.session import materialize, scratch, table
+from tidemark.sources import readers, sinks
 
 
 def _transactions(spark: SparkSession, root: str) -> DataFrame:
@@ -126,6 +128,18 @@ def p8_capped_report(spark: SparkSession, root: str) -> DataFrame:
     return _capped(spark, root)[1].select("source", "target_share", "max_repeats", F.col("source_tokens").alias("source_chars"), F.col("planned_tokens").alias("planned_chars"), F.col("mixed_tokens").alias("mixed_chars"), "n_documents", "most_copies", "share_reached")
 
 
+def shard_tokens(spark: SparkSession, root: str) -> DataFrame:
+    """Tokens of an export of 2,000 documents a shard, counted before it was written and again from what was read back."""
+    d = table(spark, root, "documents").where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "source", "text")
+    ranked = shards.row_shards(d, ["doc_id"], 2000)
+    path = scratch(spark, "documents")
+    sinks.write_jsonl_shards(ranked, path, ["line"])
+    back = readers.read_jsonl(spark, path, "doc_id long, source string, text string, line long, shard long")
+    per = lambda rows, name: mixture.count_tokens(rows).join(rows.select("doc_id", "shard"), "doc_id").groupBy("shard").agg(F.count("*").alias(f"n_{name}"), F.sum("tokens").alias(f"tokens_{name}"))
+    j = per(ranked, "stored").join(per(back, "recounted"), "shard", "full")
+    return j.withColumn("equal", F.col("tokens_stored").eqNullSafe(F.col("tokens_recounted")) & F.col("n_stored").eqNullSafe(F.col("n_recounted")))
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
     """Documents with a long span of another, as TESTDATA.md defines them."""
     return spans.shared_blocks(table(spark, root, "documents"), "doc_id", "text").select(F.col("doc").alias("doc_id")).distinct()
@@ -144,7 +158,7 @@ def p9_shared_part(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_counts, p2_found, p2_prices, p5_found, p5_classes, p5_rows, p5_report, p7_found, p7_spans, p8_mixture, p8_report, p8_capped, p8_capped_report, p9_found, p9_spans, p9_shared_part)
+    for f in (p1_found, p1_counts, p2_found, p2_prices, p5_found, p5_classes, p5_rows, p5_report, p7_found, p7_spans, p8_mixture, p8_report, p8_capped, p8_capped_report, shard_tokens, p9_found, p9_spans, p9_shared_part)
 }
 
 _WS = "' ' || chr(9) || chr(10) || chr(13)"
