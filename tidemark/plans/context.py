@@ -216,7 +216,7 @@ def budget_selection(spark: SparkSession, root: str) -> DataFrame:
 
 
 def round_robin(spark: SparkSession, root: str) -> DataFrame:
-    """Turns over the nations: the k-th customer of each by hash, five turns (TK4, TK5)."""
+    """Turns over the nations: the k-th customer of each by hash, five turns (TK5)."""
     c = table(spark, root, "customer").select("c_custkey", "c_nationkey", F.sha2(F.concat(F.lit("rr"), F.col("c_custkey")), 256).alias("h"))
     return c.withColumn("turn", F.row_number().over(W.partitionBy("c_nationkey").orderBy("h", "c_custkey")).cast("long")).where("turn <= 5").drop("h")
 
@@ -230,7 +230,7 @@ def stratified_rows(spark: SparkSession, root: str) -> DataFrame:
 
 
 def best_row(spark: SparkSession, root: str) -> DataFrame:
-    """Best line per order by a tuple of features, and the newest order per customer (TK7, TK8)."""
+    """Best line per order by a tuple of features, and the newest order per customer (TK8)."""
     l = table(spark, root, "lineitem")
     return l.groupBy("l_orderkey").agg(F.max(F.struct("l_quantity", "l_extendedprice", "l_partkey", "l_linenumber")).alias("s")).select("l_orderkey", "s.l_quantity", "s.l_extendedprice", "s.l_partkey")
 

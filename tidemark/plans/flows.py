@@ -26,13 +26,13 @@ def sharded_export(spark: SparkSession, root: str) -> DataFrame:
 
 
 def byte_sized_shards(spark: SparkSession, root: str) -> DataFrame:
-    """News shards by bytes of their record (SK2, SK10, SK11)."""
+    """News shards by bytes of their record (SK2)."""
     n = table(spark, root, "news").select("news_id", F.octet_length(F.concat_ws("|", "news_id", "item_id", "title", "record_json")).alias("bytes"))
     return byte_shards(n, ["news_id"], F.col("bytes"), 16_384).groupBy("shard").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("news_id").alias("first_id"))
 
 
 def csv_aliases(spark: SparkSession, root: str) -> DataFrame:
-    """A CSV with other column names, read through the alias projection (SC3, SC4, SK9)."""
+    """A CSV with other column names, read through the alias projection (SC3, SK9)."""
     path = scratch(spark, "trades") + ".csv"
     t = table(spark, root, "trades").where("observation_id IS NOT NULL").select(F.col("trade_row_id").alias("rowId"), F.col("wallet").alias("proxyWallet"), F.col("price").alias("Price"), F.col("shares").alias("size"))
     sinks.publish(t, path, "csv", header="true", emptyValue="", nullValue="\\N")
@@ -41,7 +41,7 @@ def csv_aliases(spark: SparkSession, root: str) -> DataFrame:
 
 
 def capture_index(spark: SparkSession, root: str) -> DataFrame:
-    """Index lines built from pages, filtered and reduced to one row a digest (SC16, SC20, SC21)."""
+    """Index lines built from pages, filtered and reduced to one row a digest (SC16)."""
     p = table(spark, root, "source_pages").where("uncompressed_sha256 IS NOT NULL AND path IS NOT NULL")
     digest = F.upper(F.translate(F.substring("uncompressed_sha256", 1, 32), "0189", "GHIJ"))
     lines = p.select(F.concat_ws(" ", F.lit("k"), F.coalesce(F.date_format("captured_at", "yyyyMMddHHmmss"), F.lit("-")), F.replace(F.lower("path"), F.lit(" "), F.lit("")), F.lit("text/html"), F.when(F.col("row_count") > 0, "200").otherwise("404"), digest).alias("value"))

@@ -121,7 +121,7 @@ def split_symmetric_difference(spark: SparkSession, root: str) -> DataFrame:
 
 
 def replaced_log(spark: SparkSession, root: str) -> DataFrame:
-    """Customers with a late order are replaced by their fresh rows under new ids (SO2, V10)."""
+    """Customers with a late order are replaced by their fresh rows under new ids (SO2, V10 in part)."""
     o = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     fresh = o.where("o_orderdate >= '1998-01-01'").drop("o_orderdate")
     return L.replace_groups(o.drop("o_orderdate"), fresh, ["o_custkey"], "o_orderkey")
@@ -162,7 +162,7 @@ def token_registry_join(spark: SparkSession, root: str) -> DataFrame:
 
 
 def exact_join_coverage(spark: SparkSession, root: str) -> DataFrame:
-    """Lines must hit their order exactly: hits, misses and late ships."""
+    """Lines must hit their order exactly: hits, misses and late ships."""
     l = table(spark, root, "lineitem").select("l_orderkey", "l_shipdate")
     o = table(spark, root, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     hit = l.join(o, "l_orderkey").agg(F.count("*").alias("n_hits"), F.count_if(F.col("l_shipdate") < F.col("o_orderdate")).alias("n_before_order"))
@@ -212,7 +212,7 @@ def earliest_evidence(spark: SparkSession, root: str) -> DataFrame:
 
 
 def completion_gates(spark: SparkSession, root: str) -> DataFrame:
-    """Named pass/fail checks over several tables."""
+    """Named pass/fail checks over several tables (A20 in part, V8)."""
     t, p, n, f = (table(spark, root, x) for x in ("trades", "source_pages", "news", "fixture_news"))
     none = lambda df: df.agg(F.count("*") == 0)
     return L.gates({

@@ -83,7 +83,7 @@ def token_hex(spark: SparkSession, root: str) -> DataFrame:
 
 
 def strict_records(spark: SparkSession, root: str) -> DataFrame:
-    """Link records that are strict JSON objects with known keys (SF14, SF22, SC2)."""
+    """Link records that are strict JSON objects with known keys (SF14)."""
     f = table(spark, root, "fixture_news").select("link_json", S.strict_json("link_json").alias("strict"), F.array_join(F.array_sort(F.json_object_keys("link_json")), ",").alias("keys"), F.get_json_object("link_json", "$.relationship").alias("relationship"))
     return f.groupBy("strict", "keys", "relationship").agg(F.count("*").alias("n"))
 
@@ -119,7 +119,7 @@ def actor_aliases(spark: SparkSession, root: str) -> DataFrame:
 
 
 def feature_families(spark: SparkSession, root: str) -> DataFrame:
-    """Feature names by family, forbidden ones removed, as a projection of a map (F20, F22, SF24, SK12)."""
+    """Feature names by family, forbidden ones removed, as a projection of a map (SF24)."""
     l = table(spark, root, "lineitem")
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_orderkey"]
     m = F.create_map(*[x for n in names for x in (F.lit(n), F.col(n).cast("double"))])
@@ -220,7 +220,7 @@ def registry_audit(spark: SparkSession, root: str) -> DataFrame:
 
 
 def event_kinds(spark: SparkSession, root: str) -> DataFrame:
-    """Category of an event name by prefix, with the trap that one name contains another."""
+    """Category of an event name by prefix, with the trap that one name contains another."""
     e = table(spark, root, "orders").select("o_orderpriority", micros("o_orderdate").alias("t"))
     p = F.lower("o_orderpriority")
     kind = F.when(p.rlike("^1-"), "top").when(p.contains("low") & ~p.contains("not"), "low").when(p.contains("not"), "unspecified").otherwise("middle")
@@ -228,7 +228,7 @@ def event_kinds(spark: SparkSession, root: str) -> DataFrame:
 
 
 def chat_turns(spark: SparkSession, root: str) -> DataFrame:
-    """Roles and alternation of chat records (V11, V12, SK8, A22)."""
+    """Roles and alternation of chat records (V12, SK8)."""
     c = Q.chat_turns(table(spark, root, "documents").where("doc_kind = 'chat' AND text IS NOT NULL"), "doc_id", "text")
     before = F.lag("role").over(W.partitionBy("doc_id").orderBy("turn"))
     c = c.withColumn("same", before == F.col("role"))
@@ -307,6 +307,9 @@ s(token, d, i, q, r, hex) AS (SELECT token, d, 1, '', 0, '' FROM g UNION ALL SEL
 h AS (SELECT token, hex FROM s WHERE d = '') SELECT token, CASE WHEN length(ltrim(hex, '0')) <= 64 THEN lpad(ltrim(hex, '0'), 64, '0') END AS hex FROM t LEFT JOIN h USING (token)""",
     "resolution_clause": """WITH d AS (SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?])[ \\t\\r\\n]+', '\\1' || chr(1), 'g'), chr(1)) AS s FROM documents WHERE doc_kind IN ('rules', 'market_note')),
 h AS (SELECT doc_id, list_filter(s, lambda x: regexp_matches(x, 'final whistle|Schlusspfiff|coup de sifflet final|pitido final')) AS h FROM d) SELECT doc_id, h[1] AS clause FROM h WHERE len(h) = 1 AND length(h[1]) <= 400""",
+    "chat_turns": """WITH p AS (SELECT doc_id, list_filter(string_split(regexp_replace(text, '\\n((?:system|user|assistant): )', chr(1) || '\\1', 'g'), chr(1)), lambda x: regexp_matches(x, '^(system|user|assistant): ')) AS p FROM documents WHERE doc_kind = 'chat' AND text IS NOT NULL),
+u AS (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM p), r AS (SELECT doc_id, i, string_split(p[i], ': ')[1] AS role FROM u), b AS (SELECT *, lag(role) OVER (PARTITION BY doc_id ORDER BY i) AS q FROM r)
+SELECT doc_id, count(*) AS n_turns, count(*) FILTER (WHERE role = 'user') AS n_user, count(*) FILTER (WHERE role = 'assistant') AS n_assistant, count(*) FILTER (WHERE q = role) AS n_repeated_roles FROM b GROUP BY 1""",
     "strict_records": """SELECT CASE WHEN link_json IS NOT NULL THEN true END AS strict, array_to_string(list_sort(json_keys(link_json)), ',') AS keys, json_extract_string(link_json, '$.relationship') AS relationship, count(*) AS n FROM fixture_news GROUP BY ALL""",
     "news_records": f"SELECT news_id, 'n' || substr(sha256({_BODY}), 1, 16) AS content_id, ('0x' || substr(sha256({_BODY}), 1, 16))::ubigint::varchar AS h64, md5({_BODY}) AS digest FROM news",
     "trade_quality": f"""WITH t AS (SELECT *, try_cast(trim(shares, {_WS}) AS decimal(38, 12)) AS sh, try_cast(trim(price, {_WS}) AS decimal(38, 12)) AS p FROM trades)
