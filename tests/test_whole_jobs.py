@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tidemark.operators import shards
+from tidemark.operators import labels, shards
 from tidemark.plans import context
 
 from .conftest import rows
@@ -24,18 +24,22 @@ def test_every_spelling_of_a_split(spark, tmp_path):
 
 
 def test_every_interval_covers(spark, tmp_path):
-    e = [(i, "u", kind, 1_700_000_000_000_001 + i * 900_000_000) for i, kind in enumerate(["view"] * 9 + ["click"] + ["view"] * 30)]
+    h = context.HOUR
+    # three clicks, starts of every remainder by three, and a view late in the twelve hours of each
+    e = [(3 * i + k, f"u{i}", kind, 1_700_000_000_000_000 + i + (9 * h if k else 0)) for i in range(6) for k, kind in enumerate(["click", "view"])] + [(99, "u0", "view", 1_700_000_000_000_000 + 11 * h)]
     df = spark.createDataFrame(e, "event_id long, user_id string, event_type string, us long")
     _write(df.select("event_id", "user_id", "event_type", F.lit(1.0).alias("value"), F.timestamp_micros("us").cast("timestamp_ntz").alias("ts")), tmp_path, "events")
-    got = {r.event_id: (r.label, r.n) for r in entry.queries()["occurrence_labels"](spark, str(tmp_path)).collect()}
-    assert got == {i: ("OCCURRED", 1) if 1 < i < 9 else ("NOT_OBSERVED", 0) for i in range(40) if i != 9}
+    got = {r.window_id: r.status for r in entry.queries()["occurrence_labels"](spark, str(tmp_path)).collect()}
+    assert got == {3 * i + 1: "NO_OBSERVED_TRADE" for i in range(6)} | {99: "CENSORED"}
 
 
 def test_gaps_of_coverage_censor(spark):
     h = context.HOUR
-    e = spark.createDataFrame([(1, "u", "view", 0), (2, "u", "view", h), (3, "u", "view", 4 * h), (4, "v", "view", 0)], "event_id long, user_id string, event_type string, t long")
+    w = spark.createDataFrame([(1, "u", 0, 2 * h), (2, "u", h, 3 * h), (3, "u", 4 * h, 6 * h), (4, "v", 0, 2 * h)], "window_id long, user_id string, start long, end long")
+    a = spark.createDataFrame([], "user_id string, action_id long, t long, role string")
     c = spark.createDataFrame([("u", 0, h), ("u", h, 2 * h), ("u", 3 * h, 6 * h)], "user_id string, start long, end long")
-    assert rows(context._occurrences(e, c)) == [(1, "NOT_OBSERVED", 0), (2, "CENSORED", 0), (3, "NOT_OBSERVED", 0), (4, "CENSORED", 0)]
+    got = {r.window_id: r.status for r in labels.occurrence(w, a, c, ["user_id"], horizon_us=2 * h).collect()}
+    assert got == {1: "NO_OBSERVED_TRADE", 2: "CENSORED", 3: "NO_OBSERVED_TRADE", 4: "CENSORED"}
 
 
 @pytest.mark.parametrize(("name", "read"), [("stream_windows", "events"), ("stream_sessions", "events"), ("stream_inventory", "orders")])
