@@ -352,10 +352,12 @@ def collection_overview(spark: SparkSession, root: str) -> DataFrame:
 
 
 def late_events(spark: SparkSession, root: str) -> DataFrame:
-    """Events in the order of arrival, 250 a batch, with those a day behind the earlier batches in a side output (§2.14, late rows)."""
-    e = table(spark, root, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.floor(F.col("event_id") / 250).cast("long").alias("arrival"))
-    path = scratch(spark, "arrivals")
+    """Events in the order of their ids in sixteen batches, with those a day behind the earlier batches in a side output (§2.14, late rows)."""
+    e = table(spark, root, "events").where("event_id IS NOT NULL").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    lo, hi = e.agg(F.coalesce(F.min("event_id"), F.lit(0)), F.coalesce(F.max("event_id"), F.lit(0))).first()
+    e = e.withColumn("arrival", F.expr(f"(event_id - {lo}) * 16 div {hi - lo + 1}").cast("long"))
     files = e.agg(F.count_distinct("arrival")).first()[0] or 1
+    path = scratch(spark, "arrivals")
     e.repartitionByRange(files, "arrival").write.option("maxRecordsPerFile", 0).parquet(path)
     jobs.date_in_order(spark, path)
     s = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
@@ -482,6 +484,6 @@ SELECT path, n AS n_captures, CASE WHEN ok AND k <= 1 THEN upper END AS verified
     )),
     "collection_overview": f"""WITH {_K}, l AS (SELECT count(*) AS n, count(DISTINCT wallet) AS w, count(DISTINCT condition) AS c FROM t), r AS (SELECT 'pages_rows' AS report, (SELECT coalesce(sum(row_count), 0)::bigint FROM source_pages) AS reported, n AS logged FROM l UNION ALL SELECT 'ledger_rows', n, n FROM l UNION ALL SELECT 'wallets', w, w FROM l UNION ALL SELECT 'conditions', c, c FROM l)
 SELECT *, reported = logged AS equal FROM r""",
-    "late_events": """WITH b AS (SELECT event_id // 250 AS a, max(epoch_us(ts)) AS m FROM events GROUP BY 1), s AS (SELECT a, max(m) OVER (ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM b)
-SELECT coalesce(epoch_us(ts) < seen - 86400000000, false) AS late, count(*) AS n FROM events e JOIN s ON s.a = e.event_id // 250 GROUP BY 1""",
+    "late_events": """WITH x AS (SELECT epoch_us(ts) AS t, (event_id - min(event_id) OVER ()) * 16 // (max(event_id) OVER () - min(event_id) OVER () + 1) AS a FROM events WHERE event_id IS NOT NULL), b AS (SELECT a, max(t) AS m FROM x GROUP BY 1), s AS (SELECT a, max(m) OVER (ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM b)
+SELECT coalesce(t < seen - 86400000000, false) AS late, count(*) AS n FROM x JOIN s USING (a) GROUP BY 1""",
 }
