@@ -150,12 +150,13 @@ def deletions(text: str, edits: int) -> set[str]:
 
 
 def _lists(shared, q: int, edits: int):
+    """Rows (key, term, w): key is 4 * cid + side; a class's bounds stand under side 0, the rest first, then the threshold."""
     short = q - 1 + q * edits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
-            cols: list[list[np.ndarray]] = [[] for _ in range(6)]
+            cols: list[list[np.ndarray]] = [[] for _ in range(3)]
             sides = (batch.column("n_train").to_numpy() > 0) + 2 * (batch.column("n_eval").to_numpy() > 0)
             texts = batch.column("t").to_pylist()
             for cid, side, text, (t, w) in zip(batch.column("cid").to_pylist(), sides, texts, vectors(texts, weights, q)):
@@ -164,15 +165,16 @@ def _lists(shared, q: int, edits: int):
                     least = need(w, q, edits)
                     rest = np.maximum(least + w[: q * edits].sum() - np.cumsum(w), 0.0)
                     listed = min(int(np.searchsorted(-rest, -least * (1 - 1e-9), side="right")) + 1, len(t))
-                    parts.append((t[:listed], w[:listed], np.full(listed, rest[listed - 1]), np.full(listed, least)))
+                    parts.append((side, t[:listed], w[:listed]))
+                    parts.append((0, np.array([0, 1], np.uint64), np.array([rest[listed - 1], least])))
                 if len(text) <= short + edits:
                     d = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 1 << 40) for x in deletions(text, edits)], np.uint64)
-                    parts.append((d, np.zeros(len(d)), np.zeros(len(d)), np.zeros(len(d))))
-                for t, w, rest_, least_ in parts:
-                    for c, x in zip(cols, (np.full(len(t), cid, np.int64), np.full(len(t), side, np.int32), t.view(np.int64), w, rest_, least_)):
+                    parts.append((side, d, np.full(len(d), np.inf)))  # who meets here is not pruned
+                for own, t, w in parts:
+                    for c, x in zip(cols, (np.full(len(t), 4 * cid + own, np.int64), t.view(np.int64), w)):
                         c.append(x)
             if cols[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["cid", "side", "term", "w", "rest", "least"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["key", "term", "w"])
 
     return run
 
@@ -205,14 +207,18 @@ def overlapping_classes(classes: DataFrame, *, q: int = GRAM, edits: int = EDITS
     spark = classes.sparkSession
     same = classes.where("n_train > 0 AND n_eval > 0").select(F.col("cid").alias("train_cid"), F.col("cid").alias("eval_cid"), F.lit(1.0).alias("cosine"))
     shared = spark.sparkContext.broadcast(term_weights(classes.select("t"), q))  # COUNTERS numbers at any size
-    lists = classes.select("cid", "t", "n_train", "n_eval").mapInArrow(_lists(shared, q, edits), "cid long, side int, term long, w double, rest double, least double")
+    lists = classes.select("cid", "t", "n_train", "n_eval").mapInArrow(_lists(shared, q, edits), "key long, term long, w double")
     lists = materialize(lists, "term-lists")
-    side = lambda c, bit: lists.where(f"side & {bit} > 0").select("term", F.col("cid").alias(f"{c}"), F.col("w").alias(f"w_{c}"), F.col("rest").alias(f"rest_{c}"), F.col("least").alias(f"least_{c}"))
-    met = side("a", 1).join(side("b", 2), "term").where("a <> b")
+    side = lambda c, bit, *more: lists.where(f"key & {bit} > 0").select("term", F.shiftright("key", 2).alias(c), *more)
+    met = side("a", 1, "w").join(side("b", 2), "term").where("a <> b")
+    parts = met.groupBy("a", "b").agg(F.sum("w").alias("part"))
+    # a text short enough for deletion variants only has no bounds
+    bounds = lists.where("key & 3 = 0").groupBy(F.shiftright("key", 2).alias("c")).agg(F.max(F.when(F.col("term") == 0, F.col("w"))).alias("rest"), F.max(F.when(F.col("term") == 1, F.col("w"))).alias("least"))
+    of = lambda c: bounds.select(F.col("c").alias(c), F.col("rest").alias(f"rest_{c}"), F.col("least").alias(f"least_{c}"))
+    known = lambda c: F.coalesce(F.greatest(f"{c}_a", f"{c}_b"), F.lit(0.0))
+    bounded = parts.join(of("a"), "a", "left").join(of("b"), "b", "left")
     # shared terms that did not meet all lie beyond the list that ends first
-    pairs = met.groupBy("a", "b").agg(
-        F.sum("w_a").alias("part"), F.greatest(F.max("rest_a"), F.max("rest_b")).alias("rest"), F.greatest(F.max("least_a"), F.max("least_b")).alias("least"),
-    ).where("part + rest >= least * (1 - 1e-9)").select("a", "b", "least")
+    pairs = bounded.select("a", "b", "part", known("rest").alias("rest"), known("least").alias("least")).where("part + rest >= least * (1 - 1e-9)").select("a", "b", "least")
     text = lambda c: classes.select(F.col("cid").alias(c), F.col("t").alias(f"t{c}"))
     dotted = pairs.join(text("a"), "a").join(text("b"), "b").mapInPandas(_dots(shared, q), "a long, b long, least double, ta string, tb string, dot double, cosine double")
     near = dotted.where("dot >= least * (1 - 1e-9)").where(F.levenshtein("ta", "tb", edits) >= 0).select(F.col("a").alias("train_cid"), F.col("b").alias("eval_cid"), "cosine")
@@ -241,7 +247,8 @@ def overlapping_records(rows: DataFrame) -> DataFrame:
     """All pairs (record_a, record_b) of overlapping train and evaluation records."""
     classes = materialize(class_table(rows), "text-classes")
     pairs = overlapping_classes(classes)
-    member = rows.join(classes.select("t", "cid"), "t").select("cid", "id", "split")
+    digest = lambda df, *c: df.select(F.xxhash64("t").alias("k1"), F.xxhash64(F.lit("other"), "t").alias("k2"), *c)
+    member = digest(rows, "id", "split").join(digest(classes, "cid"), ["k1", "k2"]).select("cid", "id", "split")
     train = member.where("split = 'train'").select(F.col("cid").alias("train_cid"), F.col("id").alias("i"))
     held = member.where("split <> 'train'").select(F.col("cid").alias("eval_cid"), F.col("id").alias("j"))
     both = pairs.join(train, "train_cid").join(held, "eval_cid")
