@@ -15,8 +15,8 @@ thus spreads over its blocks. Blocks with more than ``hot`` left rows get as
 many salts as they hold that number, counted beforehand, so one instant with a
 third of all rows spreads over all cores; other blocks have one, and nothing is
 copied for them. Keys are grouped into shards, four for each shuffle partition,
-so that a batch makes few calls, each on whole arrays. A task holds its shards'
-rows of a batch; between batches the state is what two tolerances reach, as
+so that a batch makes few calls, each on whole arrays. A batch has at most
+250,000 rows a core, and a task holds its shards' share of it; between batches the state is what two tolerances reach, as
 lists of numbers. Entities travel as two independent 64-bit hashes, whatever
 their length.
 
@@ -41,6 +41,8 @@ RIGHT, LEFT, FLUSH = 0, 1, 2
 HOUR_US = 3_600_000_000
 #: Left rows of an entity and time block that one salt takes.
 HOT = 20_000
+#: Rows of both sides that a core takes in one batch.
+ROWS_EACH = 250_000
 FIELDS = ["k1", "k2", "t", "kind", "id"]
 #: The watermark column is kept after 1970, where the first watermark lies, and inside what pandas can hold.
 _FIRST, _LAST = 1_000_000, 9_000_000_000_000_000
@@ -159,7 +161,8 @@ def nearest_time_join(
     rows = _keyed(a.select(*key, "s", "t", "kind", "id").unionByName(c.select(*key, "s", "t", "kind", "id")), shards)
     end = spark.range(shards).select(F.col("id").cast("int").alias("shard"), *[F.lit(FLUSH if f == "kind" else 0).cast("long").alias(f) for f in FIELDS], F.timestamp_micros(F.lit(_LAST)).alias("ts"))
     rows = rows.withColumn("kind", F.col("kind").cast("long")).unionByName(end).withColumn("last", F.col("kind") == FLUSH)
-    files = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    batches = -(-rows.count() // (ROWS_EACH * cores))
+    files = cores * batches
     feed = ordered_stream(rows, ["last", "t", "id"], files=files, files_per_batch=cores).drop("last")
     # rows of one instant may lie in two batches
     out = drain(_joined(feed, tolerance_us, "1 second", in_order=True), "nearest")
