@@ -8,6 +8,10 @@ from pyspark.sql import Window as W
 
 from tidemark.operators.asof import with_halo
 
+# Why a label is censored.
+NOT_COVERED = "incomplete_target_source_coverage"
+UNKNOWN_ROLE = "unclassified_execution_role"
+
 
 def fixed_grid(start: Column, end: Column, step_us: int) -> Column:
     """Half-open windows of ``step_us`` from ``start`` to before ``end``."""
@@ -96,7 +100,7 @@ def occurrence(windows: DataFrame, actions: DataFrame, coverage: DataFrame, by:
     frame = W.partitionBy(*by, "__b").orderBy("t").rangeBetween(0, horizon_us - 1)
     first = F.min(F.when(F.col("n") > 0, F.struct("t", "ids", "n"))).over(frame)
     out = line.withColumns({"__n": F.coalesce(F.sum("n").over(frame), F.lit(0)), "__bad": F.coalesce(F.sum("bad").over(frame), F.lit(0)), "__first": first}).where("__k = 1 AND __own")
-    reason = F.when(~F.col("covered"), "incomplete_target_source_coverage").when(F.col("__bad") > 0, "unclassified_execution_role")
+    reason = F.when(~F.col("covered"), NOT_COVERED).when(F.col("__bad") > 0, UNKNOWN_ROLE)
     known = lambda c: F.when(reason.isNull(), c)
     return out.select(
         "window_id", F.when(reason.isNotNull(), "CENSORED").when(F.col("__n") > 0, "TRADE").otherwise("NO_OBSERVED_TRADE").alias("status"), reason.alias("censor_reason"), known(F.col("__n")).alias("action_count"),

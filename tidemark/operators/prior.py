@@ -22,6 +22,25 @@ from pyspark.sql import Window as W
 from tidemark.operators.asof import DAY_US, asof_prior, prior_frame, prior_totals, with_halo
 
 BIG = "decimal(38,0)"
+# Why a metric is unknown.
+NO_FILLS = "no_eligible_captured_executions"
+ONE_FILL = "fewer_than_two_captured_executions"
+ZERO_MEAN = "zero_mean_execution_notional"
+ZERO_TOTAL = "zero_total_execution_notional"
+NO_WINDOW = "no_positive_observation_window"
+NO_POSITIONS = "no_eligible_completed_positions"
+NO_WINS = "no_profitable_completed_positions"
+NO_LOSSES = "no_losing_completed_positions"
+ONE_SIDED = "requires_both_profitable_and_losing_completed_positions"
+TIED_CLOSES = "ambiguous_close_order"
+NO_RETURNS = "no_eligible_capital_adjusted_return_periods"
+UNEVEN = "return_periods_have_inconsistent_duration"
+GAPS = "return_periods_are_not_contiguous"
+FEW_RETURNS = "insufficient_return_periods"
+FLAT_EXCESS = "zero_excess_return_volatility"
+NO_DOWNSIDE = "zero_target_downside_deviation"
+#: Own reason: the drawdown follows periods in the order in which they become known.
+OUT_OF_ORDER = "return_periods_known_out_of_order"
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -59,10 +78,10 @@ def behaviour_before(probes: DataFrame, fills: DataFrame, *, back_us: int | None
         "notional_cv": F.when((n >= 2) & (s != 0), F.round(spread(n, s, F.col("__q"), sample=False) / (s.cast("double") / n.cast("double")), 9)),
         "buy_share": _ratio(F.col("__u"), s),
         "per_day": _ratio(n * DAY_US, F.col("time_us") - F.col("__t")),
-        "notional_reason": F.when(n == 0, "no_eligible_captured_executions"),
-        "cv_reason": F.when(n == 0, "no_eligible_captured_executions").when(n == 1, "fewer_than_two_captured_executions").when(s == 0, "zero_mean_execution_notional"),
-        "share_reason": F.when(n == 0, "no_eligible_captured_executions").when(s == 0, "zero_total_execution_notional"),
-        "rate_reason": F.when(F.col("__t").isNull() | (F.col("__t") >= F.col("time_us")), "no_positive_observation_window"),
+        "notional_reason": F.when(n == 0, NO_FILLS),
+        "cv_reason": F.when(n == 0, NO_FILLS).when(n == 1, ONE_FILL).when(s == 0, ZERO_MEAN),
+        "share_reason": F.when(n == 0, NO_FILLS).when(s == 0, ZERO_TOTAL),
+        "rate_reason": F.when(F.col("__t").isNull() | (F.col("__t") >= F.col("time_us")), NO_WINDOW),
     }).drop(*sums, "__t")
 
 
@@ -81,12 +100,12 @@ def positions_before(probes: DataFrame, closed: DataFrame, *, block_us: int = DA
     }
     got = prior_totals(probes, ready, ["actor"], "time_us", sums, block_us=block_us)
     n, wn, ln = F.col("__n"), F.col("__wn"), F.col("__ln")
-    none = F.when(n == 0, "no_eligible_completed_positions")
+    none = F.when(n == 0, NO_POSITIONS)
     got = got.withColumns({
         "n_closed": n, "net_pnl": F.when(n > 0, F.col("__s").cast("double")), "mean_roi": _ratio(F.col("__r"), n * 1_000_000), "win_rate": _ratio(wn, n), "average_win": _ratio(F.col("__w"), wn), "average_loss": _ratio(F.col("__l"), ln),
         "payoff_ratio": F.when(wn > 0, _ratio(F.col("__w").cast(BIG) * ln, F.col("__l").cast(BIG) * wn)), "profit_factor": _ratio(F.col("__w"), F.col("__l")), "expectancy": _ratio(F.col("__s"), n), "holding_s": _ratio(F.col("__h"), n * 1_000_000),
-        "position_reason": none, "win_reason": F.coalesce(none, F.when(wn == 0, "no_profitable_completed_positions")), "loss_reason": F.coalesce(none, F.when(ln == 0, "no_losing_completed_positions")),
-        "payoff_reason": F.coalesce(none, F.when((wn == 0) | (ln == 0), "requires_both_profitable_and_losing_completed_positions")),
+        "position_reason": none, "win_reason": F.coalesce(none, F.when(wn == 0, NO_WINS)), "loss_reason": F.coalesce(none, F.when(ln == 0, NO_LOSSES)),
+        "payoff_reason": F.coalesce(none, F.when((wn == 0) | (ln == 0), ONE_SIDED)),
     }).drop(*sums)
     return got.join(streaks_before(probes, ready), "probe")
 
@@ -108,9 +127,9 @@ def _streaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 actor, seen, stop, mixed, later, total, some = a, True, None, False, {}, 0, False
             if not kind:
                 if not some:
-                    out.append((probe, None, "no_eligible_completed_positions"))
+                    out.append((probe, None, NO_POSITIONS))
                 else:
-                    out.append((probe, None, "ambiguous_close_order") if mixed else (probe, total, None))
+                    out.append((probe, None, TIED_CLOSES) if mixed else (probe, total, None))
                 continue
             some = True
             if stop is not None and at < stop:
@@ -147,12 +166,12 @@ def risk_before(probes: DataFrame, returns: DataFrame, *, least_periods: int = 3
     got = asof_prior(got, paths, ["actor"], "time_us", ["n_path", "drawdown"], prefix="__p_", block_us=max(block_us, 7 * DAY_US))
     n = F.col("__n")
     series = (
-        F.when(n == 0, "no_eligible_capital_adjusted_return_periods").when(F.col("__short") != -F.col("__long"), "return_periods_have_inconsistent_duration")
-        .when(-F.col("__last") - F.col("__first") != F.col("__len"), "return_periods_are_not_contiguous").when(~F.col("__p_n_path").eqNullSafe(n), "return_periods_known_out_of_order")
+        F.when(n == 0, NO_RETURNS).when(F.col("__short") != -F.col("__long"), UNEVEN)
+        .when(-F.col("__last") - F.col("__first") != F.col("__len"), GAPS).when(~F.col("__p_n_path").eqNullSafe(n), OUT_OF_ORDER)
     )
-    few = F.coalesce(series, F.when(n < least_periods, "insufficient_return_periods"))
+    few = F.coalesce(series, F.when(n < least_periods, FEW_RETURNS))
     sharpe_sd, down = spread(n, F.col("__x"), F.col("__xx"), sample=True), F.sqrt(F.col("__dd").cast("double") / n.cast("double"))
-    flat_x, flat_d = F.coalesce(few, F.when(sharpe_sd == 0, "zero_excess_return_volatility")), F.coalesce(few, F.when(F.col("__dd") == 0, "zero_target_downside_deviation"))
+    flat_x, flat_d = F.coalesce(few, F.when(sharpe_sd == 0, FLAT_EXCESS)), F.coalesce(few, F.when(F.col("__dd") == 0, NO_DOWNSIDE))
     per = lambda c: c.cast("double") / n.cast("double")
     return got.select(
         "probe", n.alias("n_periods"), F.when(few.isNull(), F.round(spread(n, F.col("__r"), F.col("__rr"), sample=True) / 1e6, 9)).alias("volatility"), F.when(flat_x.isNull(), F.round(per(F.col("__x")) / sharpe_sd, 9)).alias("sharpe"),

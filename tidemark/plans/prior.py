@@ -15,6 +15,11 @@ from tidemark.plans.asof import PRICES, prices
 from tidemark.session import table
 
 DAYS_BACK = 180
+# Why a holding has no value; the last two tell apart what is one case elsewhere.
+UNMATCHED = "unmatched_sell"
+NO_MARK = "missing_prior_price"
+TIED_FILLS = "ambiguous_fill_order"
+STALE_MARK = "stale_prior_price"
 
 
 def _fills(spark: SparkSession, root: str) -> DataFrame:
@@ -88,7 +93,7 @@ def _holdings(trades: DataFrame, marks: DataFrame, stale_us: int) -> DataFrame:
     got = asof_prior(got, marks, ["token"], "t", ["price"], prefix="m_", block_us=7 * DAY_US)
     mark, late = fresh("m_price", "m_t", "t", stale_us)
     none, q, c = F.col("s_any").isNull(), F.col("s_quantity"), F.col("s_cost")
-    reason = F.when(none, None).when(q.isNull(), "unmatched_sell").when(q == 0, None).when(c.isNull(), "ambiguous_fill_order").when(late == "no_earlier_observation", "missing_prior_price").when(late == "stale", "stale_prior_price")
+    reason = F.when(none, None).when(q.isNull(), UNMATCHED).when(q == 0, None).when(c.isNull(), TIED_FILLS).when(late == "no_earlier_observation", NO_MARK).when(late == "stale", STALE_MARK)
     flat = none | F.coalesce(q == 0, F.lit(False))
     return got.select("trade_row_id", "token", F.when(none, 0.0).otherwise(q).alias("quantity"), F.when(none, 0.0).otherwise(c).alias("cost"), mark.alias("mark"), F.when(flat, 0.0).when(reason.isNull(), q * mark - c).alias("pnl"), reason.alias("reason"))
 

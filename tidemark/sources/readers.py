@@ -158,6 +158,7 @@ class SqliteSource(DataSource):
 
 def read_sqlite(spark: SparkSession, path: str, table: str, schema: str, *, partitions: int = 4) -> DataFrame:
     """A table of a SQLite file on storage that all executors see, split by row id."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    if spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") != "true":
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SqliteSource)
     return spark.read.format("sqlite").schema(schema).options(path=path, table=table, partitions=partitions).load()
