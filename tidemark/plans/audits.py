@@ -484,6 +484,16 @@ SELECT path, n AS n_captures, CASE WHEN ok AND k <= 1 THEN upper END AS verified
     )),
     "collection_overview": f"""WITH {_K}, l AS (SELECT count(*) AS n, count(DISTINCT wallet) AS w, count(DISTINCT condition) AS c FROM t), r AS (SELECT 'pages_rows' AS report, (SELECT coalesce(sum(row_count), 0)::bigint FROM source_pages) AS reported, n AS logged FROM l UNION ALL SELECT 'ledger_rows', n, n FROM l UNION ALL SELECT 'wallets', w, w FROM l UNION ALL SELECT 'conditions', c, c FROM l)
 SELECT *, reported = logged AS equal FROM r""",
+    "balanced_wallets": f"""WITH RECURSIVE {_K}, m AS (SELECT fixture, wallet, count(*) AS cost FROM t WHERE fixture IS NOT NULL AND wallet IS NOT NULL GROUP BY 1, 2), r AS (SELECT fixture, cost, row_number() OVER (PARTITION BY fixture ORDER BY sha256('turn|' || fixture || '|' || wallet), wallet) AS rank FROM m),
+e AS (SELECT row_number() OVER (ORDER BY fixture) AS b, fixture, list({{'r': rank, 'c': cost}} ORDER BY rank) AS q FROM r GROUP BY fixture), z AS (SELECT count(*) AS nb FROM e),
+s(i, used, ptr, idle, bucket, rank, cost, place) AS (SELECT 0::bigint, 0::bigint, (SELECT list(0::bigint) FROM e), 0::bigint, NULL::varchar, NULL::bigint, NULL::bigint, 0::bigint UNION ALL
+ SELECT i + 1, used + coalesce(p.c, 0), list_transform(ptr, lambda x, k: CASE WHEN k = b THEN coalesce(p.r, 9223372036854775807) ELSE x END), CASE WHEN p IS NULL THEN idle + 1 ELSE 0 END, fixture, p.r, p.c, place + CASE WHEN p IS NULL THEN 0 ELSE 1 END
+ FROM (SELECT s.i, s.used, s.ptr, s.idle, s.place, e.b, e.fixture, list_filter(e.q, lambda x: x.r > s.ptr[e.b] AND s.used + x.c <= 500)[1] AS p FROM s, z, e WHERE e.b = s.i % z.nb + 1 AND s.used < 500 AND s.idle < z.nb))
+SELECT bucket, rank, cost, place FROM s WHERE rank IS NOT NULL""",
+    "unreused_transactions": f"""WITH RECURSIVE {_K}, {_KICK}, m AS (SELECT t.fixture, coalesce(k.kickoff, 0) AS kickoff, tx, min((-coalesce(t.t, 0), trade_row_id)) AS place FROM t JOIN k ON k.fixture = t.fixture WHERE tx IS NOT NULL GROUP BY 1, 2, 3),
+c AS (SELECT dense_rank() OVER (ORDER BY kickoff, fixture) AS f, fixture, tx, row_number() OVER (PARTITION BY fixture ORDER BY place, tx) AS r FROM m), e AS (SELECT f, any_value(fixture) AS fixture, list(tx ORDER BY r) AS txs FROM c GROUP BY 1),
+s(f, seen, fixture, pick) AS (SELECT 0::bigint, []::varchar[], NULL::varchar, NULL::varchar UNION ALL SELECT f, CASE WHEN pick IS NULL THEN seen ELSE list_append(seen, pick) END, fixture, pick FROM (SELECT e.f, s.seen, e.fixture, list_filter(e.txs, lambda x: NOT list_contains(s.seen, x))[1] AS pick FROM s JOIN e ON e.f = s.f + 1))
+SELECT fixture AS "group", pick AS item FROM s WHERE pick IS NOT NULL""",
     "late_events": """WITH x AS (SELECT epoch_us(ts) AS t, (event_id - min(event_id) OVER ()) * 16 // (max(event_id) OVER () - min(event_id) OVER () + 1) AS a FROM events WHERE event_id IS NOT NULL), b AS (SELECT a, max(t) AS m FROM x GROUP BY 1), s AS (SELECT a, max(m) OVER (ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM b)
 SELECT coalesce(t < seen - 86400000000, false) AS late, count(*) AS n FROM x JOIN s USING (a) GROUP BY 1""",
 }
